@@ -94,6 +94,11 @@ def kilometre_label(metres: Column) -> Column:
     return F.format_string("%.1f", F.round(metres / F.lit(1000.0), 1))
 
 
+def level_position(label: Column, levels: Sequence[str]) -> Column:
+    """Place of a label in an explicit report order, from 0; an unlisted label is NULL."""
+    return case_map([(label == level, place) for place, level in enumerate(levels)])
+
+
 def inverse_transverse_mercator(
     easting: Column,
     northing: Column,
