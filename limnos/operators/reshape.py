@@ -39,16 +39,17 @@ def cast_wide_fill(df: DataFrame, keys: Sequence[str], name: str, value: str, va
     return wide.na.fill(fill, subset=columns)
 
 
-def joined_cell(value: str, sep: str = "|") -> Column:
-    """Aggregate: all present values of a cell in sorted order, NULL when there are none."""
-    return F.nullif(F.array_join(F.array_sort(F.collect_list(value)), sep), F.lit(""))
-
-
 def cast_wide_concat(df: DataFrame, keys: Sequence[str], name: str, value: str, values: Sequence[str],
                      sep: str = "|") -> DataFrame:
-    """Long -> wide; a cell joins its present values. The cell text is the result itself, so its
-    length is that of the data; ``multi_valued_cells`` counts cells that hold more than one."""
-    return pivot_with(df, keys, name, joined_cell(value, sep), values)
+    """Long -> wide; a cell joins its present values in sorted order, NULL when there are none.
+
+    The cell text is the result itself, so it is as long as its data; ``multi_valued_cells`` counts
+    cells that hold more than one value.
+    """
+    wide = pivot_with(df, keys, name, F.collect_list(value), values)
+    return wide.withColumns(
+        {v: F.nullif(F.array_join(F.array_sort(F.col(f"`{v}`")), sep), F.lit("")) for v in values}
+    )
 
 
 def multi_valued_cells(df: DataFrame, columns: Sequence[str], sep: str = "|") -> DataFrame:
