@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from limnos import fixed_values as fixed
 from limnos.operators.joins import join_nullsafe
-from limnos.operators.reshape import melt, transpose_stats
+from limnos.operators.reshape import transpose_stats
 
 
 def _cols(names: Sequence[str]) -> list[Column]:
@@ -237,33 +236,31 @@ def max_of(df: DataFrame, column: str, name: str) -> DataFrame:
 
 def corr_matrix(df: DataFrame, columns: Sequence[str], use: str = "everything", digits: int | None = 2,
                 labels: Mapping[str, str] | None = None) -> DataFrame:
-    """Pearson correlations of the upper triangle as (a, b, r) rows, from one aggregate.
+    """Pearson correlations of the upper triangle as (a, b, r) rows.
 
     ``everything``: a missing value in either column makes the pair missing.
     ``pairwise``: rows complete in both columns are used. A constant column gives NULL.
+
+    Each row yields its column pairs, which are reduced inside the task, so the shuffle carries one
+    row per pair and task. The plan stays the same size for any number of columns.
     """
     if use not in ("everything", "pairwise"):
         raise ValueError(use)
-    values = {c: F.col(f"`{c}`").cast("double") for c in columns}
-    measures = []
-    for a, b in combinations(columns, 2):
-        x, y = values[a], values[b]
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
-        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-        if use == "everything":
-            r = F.when(F.count(x) == F.count(F.lit(1)), r)
-        measures.append((r if digits is None else F.round(r, digits)).alias(f"{a}|{b}"))
-    wide = df.agg(*measures)
     names = labels or {}
-    pair = F.split(F.col("pair"), r"\|")
-
-    def shown(c: Column) -> Column:
-        return reduce(lambda out, kv: F.when(c == kv[0], kv[1]).otherwise(out), names.items(), c)
-
-    return melt(wide, [], wide.columns, "pair", "r", "double").select(
-        shown(pair[0]).alias("a"), shown(pair[1]).alias("b"), "r"
-    )
+    cells = [F.col(f"`{c}`").cast("double") for c in columns]
+    pairs = list(combinations(range(len(columns)), 2))
+    entries = [F.struct(F.lit(k).alias("pair"), cells[i].alias("x"), cells[j].alias("y"))
+               for k, (i, j) in enumerate(pairs)]
+    long = df.select(F.inline(F.array(*entries)))
+    both = F.col("x").isNotNull() & F.col("y").isNotNull()
+    masked = long.withColumns({"x": F.when(both, F.col("x")), "y": F.when(both, F.col("y"))})
+    r = F.try_divide(F.covar_pop("x", "y"), F.stddev_pop("x") * F.stddev_pop("y"))
+    if use == "everything":
+        r = strict(r, F.col("x"))
+    title = [names.get(c, c) for c in columns]
+    left, right = (F.array(*[F.lit(title[p[side]]) for p in pairs]) for side in (0, 1))
+    by_pair = masked.groupBy("pair").agg((r if digits is None else F.round(r, digits)).alias("r"))
+    return by_pair.select(F.get(left, "pair").alias("a"), F.get(right, "pair").alias("b"), "r")
 
 
 def residuals(df: DataFrame, observed: str, predicted: str, name: str = "rawResid") -> DataFrame:
