@@ -53,20 +53,17 @@ def with_cells(df: DataFrame, x: str, y: str, origin: tuple[float, float], side:
     )
 
 
-def kernel_offsets() -> list[tuple[int, int, float]]:
-    """Cell offsets within reach and their Gaussian weights, the bandwidth being two cells."""
-    limit = REACH * CELLS_PER_BAND
-    steps = range(-limit, limit + 1)
-    return [
-        (i, j, math.exp(-0.5 * (i * i + j * j) / CELLS_PER_BAND**2))
-        for i in steps for j in steps if i * i + j * j <= limit * limit
-    ]
+def with_offsets(cells: DataFrame, radius: int) -> DataFrame:
+    """Each row once per cell offset (dx, dy) inside a circle, the radius counted in cells."""
+    steps = F.sequence(F.lit(-radius), F.lit(radius))
+    square = cells.withColumn("dx", F.explode(steps)).withColumn("dy", F.explode(steps))
+    return square.filter(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") <= radius * radius)
 
 
-def _offset_rows() -> Column:
-    return F.array(*[
-        F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy"), F.lit(w).alias("w")) for i, j, w in kernel_offsets()
-    ])
+def kernel_weight() -> Column:
+    """Gaussian weight of a cell offset, the bandwidth being ``CELLS_PER_BAND`` cells."""
+    squared = F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")
+    return F.exp(squared * F.lit(-0.5 / CELLS_PER_BAND**2))
 
 
 def smooth_cells(cells: DataFrame, groups: Sequence[str], columns: Sequence[str],
@@ -76,9 +73,9 @@ def smooth_cells(cells: DataFrame, groups: Sequence[str], columns: Sequence[str]
     ``cells`` has one row per group and occupied cell.
     """
     cx, cy = names
-    spread = cells.select(*groups, cx, cy, *columns, F.inline(_offset_rows())).select(
+    spread = with_offsets(cells.select(*groups, cx, cy, *columns), REACH * CELLS_PER_BAND).select(
         *groups, (F.col(cx) + F.col("dx")).alias(cx), (F.col(cy) + F.col("dy")).alias(cy),
-        *[(F.col("w") * F.col(c)).alias(c) for c in columns],
+        *[(kernel_weight() * F.col(c)).alias(c) for c in columns],
         ((F.col("dx") == 0) & (F.col("dy") == 0)).alias("_here"),
     )
     sums = spread.groupBy(*groups, cx, cy).agg(*[F.sum(c).alias(c) for c in columns], F.max("_here").alias("_here"))
@@ -103,15 +100,11 @@ def neighbour_join(df: DataFrame, x: str, y: str, radius: float, side: float,
 
     The fan-out of a cell is at most the number of cells in the radius, whatever the points are.
     """
-    limit = math.floor(radius / side)
-    offsets = [(i, j) for i in range(-limit, limit + 1) for j in range(-limit, limit + 1)
-               if math.hypot(i, j) * side <= radius]
     cells = with_cells(df, x, y, origin, side).groupBy("cx", "cy").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(n) for n, c in sums.items()]
     )
-    steps = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i, j in offsets])
-    reach = cells.select("cx", "cy", F.inline(steps)).select(
+    reach = with_offsets(cells.select("cx", "cy"), math.floor(radius / side)).select(
         "cx", "cy", (F.col("cx") + F.col("dx")).alias("nx"), (F.col("cy") + F.col("dy")).alias("ny"),
         (F.hypot(F.col("dx"), F.col("dy")) * F.lit(side)).alias("distance"),
-    )
+    ).filter(F.col("distance") <= radius)
     return reach.join(cells.withColumnsRenamed({"cx": "nx", "cy": "ny"}), ["nx", "ny"])

@@ -146,9 +146,7 @@ def _by_model(rows: DataFrame, linear: Mapping[str, LinearPart]) -> DataFrame:
         F.struct(F.lit(name).alias("model"), F.exp(part.eta() + F.col("_effort")).alias("_mu"))
         for name, part in linear.items()
     ])
-    kept = [c for c in rows.columns if c in ("_y", "bx", "by", "_held")]
-    ids = [c for c in rows.columns if c not in kept and not c.startswith("_")][:1]
-    return rows.select(*ids, *kept, F.inline(entries))
+    return rows.select("_y", "bx", "by", "_held", F.inline(entries))
 
 
 def _cell_sums(expanded: DataFrame, hold: bool) -> DataFrame:
@@ -190,9 +188,18 @@ def _apply_step(cells: DataFrame, accepted: Sequence[str]) -> DataFrame:
     )
 
 
-def _attach_spatial(expanded: DataFrame, cells: DataFrame) -> DataFrame:
-    """Rows with the spatial terms of their cell."""
-    return expanded.join(cells.select("model", "bx", "by", "parts"), ["model", "bx", "by"])
+def _attach_spatial(rows: DataFrame, cells: DataFrame, linear: Mapping[str, LinearPart]) -> DataFrame:
+    """Each row once per model, with its linear mean and the spatial terms of its cell.
+
+    The models of a cell travel together, so rows are joined before they are multiplied by models.
+    """
+    per_cell = cells.groupBy("bx", "by").agg(F.collect_list(F.struct("model", "parts")).alias("_models"))
+    means = F.create_map(*[
+        item for name, part in linear.items() for item in (F.lit(name), F.exp(part.eta() + F.col("_effort")))
+    ])
+    joined = rows.withColumn("_means", means).join(per_cell, ["bx", "by"])
+    return joined.select("*", F.inline("_models")).withColumn("_mu", F.col("_means")[F.col("model")]).drop(
+        "_means", "_models")
 
 
 def _spatial_sum(parts: str = "parts") -> Column:
@@ -212,8 +219,7 @@ def select_scales(df: DataFrame, data: ModelData, sets: Sets, ladder: Ladder | N
     try:
         train = rows.filter(~F.col("_held"))
         linear = _fit_all({name: (train, chosen, "_effort") for name, chosen in sets.items()})
-        expanded = _by_model(rows, linear)
-        cells = cut_lineage(_cell_sums(expanded, hold=True))
+        cells = cut_lineage(_cell_sums(_by_model(rows, linear), hold=True))
         bands: dict[str, list[float]] = {name: [] for name in sets}
         gains: dict[str, dict[float, float]] = {name: {} for name in sets}
         failures = dict.fromkeys(sets, 0)
@@ -231,7 +237,7 @@ def select_scales(df: DataFrame, data: ModelData, sets: Sets, ladder: Ladder | N
                 if name in accepted:
                     bands[name].append(bandwidth)
             cells = _apply_step(stepped, accepted)
-        scores = cut_lineage(_holdout_scores(_attach_spatial(expanded.filter("_held"), cells)))
+        scores = cut_lineage(_holdout_scores(_attach_spatial(rows.filter("_held"), cells, linear)))
     finally:
         rows.unpersist()
     return Selection(data, sets, ladder, family, linear, bands, gains, scores)
@@ -257,11 +263,13 @@ def fit_selected(df: DataFrame, selection: Selection) -> SpatialFit:
     for bandwidth in visited:
         accepted = [name for name, chosen in selection.bands.items() if bandwidth in chosen]
         cells = cut_lineage(_apply_step(_local_step(cells, ladder, bandwidth), accepted))
-    fits = {}
-    for name, chosen in selection.sets.items():
-        own = cells.filter(F.col("model") == name).select("bx", "by", _spatial_sum().alias("_spatial"))
-        offset = rows.join(own, ["bx", "by"]).withColumn("_offset", F.col("_effort") + F.col("_spatial"))
-        fits[name] = (offset, chosen, "_offset")
+    # one join brings the spatial terms of all models to the rows; the regressions then only scan
+    terms = cells.groupBy("bx", "by").agg(
+        F.map_from_entries(F.collect_list(F.struct("model", _spatial_sum()))).alias("_terms"))
+    offsets = {name: f"_offset{k}" for k, name in enumerate(selection.sets)}
+    beside = cut_lineage(rows.join(terms, ["bx", "by"]).select(
+        *rows.columns, *[(F.col("_effort") + F.col("_terms")[name]).alias(c) for name, c in offsets.items()]))
+    fits = {name: (beside, chosen, offsets[name]) for name, chosen in selection.sets.items()}
     return SpatialFit(selection, _fit_all(fits), cells, rows, visited)
 
 
@@ -285,8 +293,7 @@ def predict_mean_sd(fit: SpatialFit) -> DataFrame:
     The error is averaged with the kernel of the narrowest visited bandwidth (of the base cells
     without any).
     """
-    means = _attach_spatial(_by_model(fit.rows, fit.linear), fit.cells).withColumn(
-        "pred", F.col("_mu") * F.exp(_spatial_sum()))
+    means = _attach_spatial(fit.rows, fit.cells, fit.linear).withColumn("pred", F.col("_mu") * F.exp(_spatial_sum()))
     factor = fit.selection.ladder.bandwidths[-1] / (fit.visited[-1] if fit.visited else fit.selection.ladder.bandwidths[-1])
     placed = means.withColumns(
         {n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("int") for n, b in (("cx", "bx"), ("cy", "by"))}
