@@ -1 +1,159 @@
-"""Queries."""
+"""Neighbourhoods, local means and the multi-scale count models."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from limnos.operators import lattice as L
+from limnos.operators.columns import poly_features
+from limnos.plans import spatial_counts as M
+from limnos.registry.core import query, table
+
+# ---------------------------------------------------------------- neighbourhoods
+
+@query("neighbour_join", """WITH c AS (SELECT CAST(floor(l_suppkey / 4.0e0) AS INTEGER) AS cx, CAST(floor(l_quantity / 4.0e0) AS INTEGER) AS cy,
+    count(*) AS n, sum(l_linenumber)::BIGINT AS total FROM lineitem GROUP BY ALL)
+  SELECT a.cx, a.cy, b.cx AS nx, b.cy AS ny, sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy)::DOUBLE) * 4 AS distance, b.n, b.total
+  FROM c a JOIN c b ON b.cx BETWEEN a.cx - 3 AND a.cx + 3 AND sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy)::DOUBLE) * 4 <= 12""")
+def neighbour_join(spark, sf):
+    """Cells of 4 within a distance of 12."""
+    return L.neighbour_join(table(spark, sf, "lineitem"), "l_suppkey", "l_quantity", 12.0, 4.0, (0.0, 0.0), {"total": "l_linenumber"})
+
+
+_LOCAL_MEAN = """WITH c AS (SELECT CAST(floor(l_suppkey / 5.0e0) AS INTEGER) AS cx, CAST(floor(l_quantity / 5.0e0) AS INTEGER) AS cy,
+    count(*) AS n, sum(l_linenumber)::DOUBLE AS total FROM lineitem GROUP BY ALL),
+  w AS (SELECT a.cx, a.cy, exp(-((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy)) / 8.0e0) AS w, b.n, b.total
+    FROM c a JOIN c b ON b.cx BETWEEN a.cx - 6 AND a.cx + 6 AND (a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy) <= 36)
+  SELECT cx, cy, round(sum(w * total) / sum(w * n), 9) AS local_mean FROM w GROUP BY cx, cy"""
+
+
+@query("kernel_local_mean", _LOCAL_MEAN)
+def kernel_local_mean(spark, sf):
+    local = L.kernel_local_mean(table(spark, sf, "lineitem"), "l_suppkey", "l_quantity", "l_linenumber", 10.0, (0.0, 0.0))
+    return local.withColumn("local_mean", F.round("local_mean", 9))
+
+
+@query("bandwidth_ladder", "SELECT k, round((max(l_extendedprice) - min(l_extendedprice)) / 2 * power(0.5, k), 6) AS band FROM lineitem, "
+                           "generate_series(0, 7) AS g(k) GROUP BY k")
+def bandwidth_ladder(spark, sf):
+    ladder = L.bandwidth_ladder(table(spark, sf, "lineitem"), "l_extendedprice", "l_quantity")
+    rows = [(k, b) for k, b in enumerate(ladder.bandwidths)]
+    return spark.createDataFrame(rows, "k bigint, b double").select("k", F.round("b", 6).alias("band"))
+
+
+# ---------------------------------------------------------------- models
+
+COVARIATES = ["TN", "Temp", "Tot_P"]
+DATA = M.ModelData("site", "rich", "east", "north")
+SCALES = 5
+
+
+def sites(spark, sf):
+    """Vectors as sites: two components as coordinates, three as covariates, the label as richness."""
+    columns = table(spark, sf, "embeddings").selectExpr(
+        "vec_id AS site", "label AS rich", "embedding[0] * 1e6 AS east", "embedding[1] * 1e6 AS north",
+        "CAST(embedding[2] AS DOUBLE) AS TN", "CAST(embedding[3] AS DOUBLE) AS Temp", "CAST(embedding[4] AS DOUBLE) AS Tot_P",
+        "1.0D AS log_one")
+    return poly_features(columns, {"TN": "TNsq", "Temp": "Tsq", "Tot_P": "TPsq"})
+
+
+def _one_fit(spark, sf, covariates=("TN", "Temp")):
+    df = sites(spark, sf)
+    return M.fit_coarse_to_fine(df, M.holdout_select(df, DATA, covariates, scales=SCALES))
+
+
+@query("holdout_select")
+def holdout_select(spark, sf):
+    """Gain of held-out likelihood per visited bandwidth."""
+    selection = M.holdout_select(sites(spark, sf), DATA, ("TN", "Temp"), scales=SCALES)
+    rows = [(m, b, g, b in selection.bands[m]) for m, gains in selection.gains.items() for b, g in gains.items()]
+    return spark.createDataFrame(rows, "model string, band double, gain double, selected boolean")
+
+
+@query("fit_coarse_to_fine")
+def fit_coarse_to_fine(spark, sf):
+    fit = _one_fit(spark, sf)
+    return fit.cells.select("model", "bx", "by", "fitted")
+
+
+@query("predict_mean_sd")
+def predict_mean_sd(spark, sf):
+    return M.predict_mean_sd(_one_fit(spark, sf))
+
+
+@query("scale_component")
+def scale_component(spark, sf):
+    return M.scale_components_long(_one_fit(spark, sf))
+
+
+@query("coefficients")
+def coefficients(spark, sf):
+    return M.coefficients(_one_fit(spark, sf))
+
+
+@query("scores")
+def scores(spark, sf):
+    return M.holdout_select(sites(spark, sf), DATA, ("TN",), scales=SCALES).scores
+
+
+@query("offset_effort")
+def offset_effort(spark, sf):
+    """The level with and without a constant log effort differs by that constant."""
+    df = sites(spark, sf)
+    with_effort = M.ModelData("site", "rich", "east", "north", "log_one")
+    selection = M.holdout_select(df, with_effort, ("TN",), scales=2)
+    return M.coefficients(M.fit_coarse_to_fine(df, selection))
+
+
+def _sets_sql() -> str:
+    columns = {"TN": "embedding[3]", "Temp": "embedding[4]", "Tot_P": "embedding[5]"}
+    base = "WITH t AS (SELECT label, " + ", ".join(
+        f"CASE WHEN {c} > {cut} THEN {c} END AS {n}" for (n, c), cut in zip(columns.items(), (-0.1, -0.05, 0.0))) + " FROM embeddings), "
+    base += "s AS (SELECT label, TN, TN * TN AS TNsq, Temp, Temp * Temp AS Tsq, Tot_P, Tot_P * Tot_P AS TPsq FROM t) "
+    return base + " UNION ALL ".join(
+        f"SELECT '{name}' AS model, count_if({' AND '.join(c + ' IS NOT NULL' for c in chosen)}) AS n_complete FROM s"
+        for name, chosen in M.candidate_sets().items())
+
+
+@query("candidate_sets", _sets_sql())
+def candidate_sets(spark, sf):
+    """Complete rows available to each of the candidate models."""
+    gaps = sites(spark, sf).withColumns({n: F.when(F.col(n) > F.lit(cut), F.col(n))
+                                         for n, cut in zip(COVARIATES, (-0.1, -0.05, 0.0))})
+    gaps = poly_features(gaps, {"TN": "TNsq", "Temp": "Tsq", "Tot_P": "TPsq"})
+    entries = [F.struct(F.lit(name).alias("model"),
+                        F.forall(F.array(*chosen), lambda v: v.isNotNull()).alias("complete"))
+               for name, chosen in M.candidate_sets().items()]
+    return gaps.select(F.inline(F.array(*entries))).groupBy("model").agg(F.count_if("complete").alias("n_complete"))
+
+
+def _sweep(spark, sf):
+    sets = M.candidate_sets({"TN": "TNsq", "Temp": "Tsq"})
+    return M.model_sweep(sites(spark, sf), DATA, sets, scales=4)
+
+
+@query("model_sweep")
+def model_sweep(spark, sf):
+    """All 26 candidate models and the null model: scores."""
+    return M.scores_by_model(M.model_sweep(sites(spark, sf), DATA, scales=4))
+
+
+@query("band_score_matrix")
+def band_score_matrix(spark, sf):
+    return M.band_score_matrix(_sweep(spark, sf))
+
+
+@query("band_report")
+def band_report(spark, sf):
+    return M.band_report(_sweep(spark, sf))
+
+
+@query("selected_bands")
+def selected_bands(spark, sf):
+    return M.selected_bands(_sweep(spark, sf))
+
+
+@query("effect_table")
+def effect_table(spark, sf):
+    df = sites(spark, sf)
+    return M.effect_table(_sweep(spark, sf), M.covariate_means(df, ["TN", "TNsq", "Temp", "Tsq"]))
