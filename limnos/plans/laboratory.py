@@ -20,7 +20,8 @@ from limnos.operators.columns import filter_in
 from limnos.operators.joins import join_nullsafe_left, semi_join
 from limnos.operators.nested import unnest_with_prefix
 from limnos.operators.picks import later_occurrences, shallowest, sort_rows
-from limnos.sources.landed import restrict_to_stations
+from limnos.session import new_path
+from limnos.sources.landed import restrict_to_stations, save_and_reload
 
 OCCASION = ["samplingSiteId", "samplingDate", "propertyAbbrevName"]
 DICTIONARY = ["propertyCode", "propertyAbbrevName", "propertyName", "unit"]
@@ -81,11 +82,15 @@ def mean_same_depth(df: DataFrame, keys: Sequence[str] = fixed.DEPTH_MEAN_KEYS)
 
 def chemistry_clean(samples: DataFrame, stations: DataFrame, dictionary: DataFrame,
                     product_type: str | None = None, years: tuple[int, int] | None = None) -> DataFrame:
-    """From nested samples to the shallowest value per site, date and parameter (long form)."""
+    """From nested samples to the shallowest value per site, date and parameter (long form).
+
+    The depth means are saved in the shared folder: picking the shallowest reads them twice, and
+    flattening and parsing the samples a second time would cost more than that.
+    """
     kept = restrict_to_stations(samples, stations, product_type, years)
     values = measured_values(flatten_laboratory(kept))
-    recoded = alk_acid_rule(harmonise_units(values, unit_factors(dictionary)))
-    return shallowest(mean_same_depth(recoded), OCCASION)
+    means = mean_same_depth(alk_acid_rule(harmonise_units(values, unit_factors(dictionary))))
+    return shallowest(save_and_reload(means, new_path(means.sparkSession, "depth-means")), OCCASION)
 
 
 def duplicate_unit_entries(flat: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from limnos import fixed_values as fixed
 from limnos.functions import text, values
 from limnos.operators.aggregates import covariate_summary, taxon_frequency
 from limnos.operators.columns import neq_flag, onehot_flags, presence_flag, valid_sites
-from limnos.operators.joins import full_join, join_nullsafe, lookup_join
+from limnos.operators.joins import join_nullsafe, lookup_join
 from limnos.operators.nested import eav_to_columns, explode_outer, parse_kv
 from limnos.operators.picks import highest_effort
 from limnos.operators.reshape import cast_wide_fill
@@ -190,13 +190,15 @@ def select_surveys(df: DataFrame) -> DataFrame:
 
 
 def community_surveys(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(selected surveys with covariates, their taxa in long form)."""
-    base, observations = survey_flatten(samples)
-    taxa = survey_taxa(observations)
-    merged = full_join(survey_covariates(taxa), base, [SURVEY])
-    chosen = select_surveys(fix_attributes(merged))
-    kept = join_nullsafe(present_taxa(taxa), chosen.select(SURVEY), [SURVEY], "left_semi")
-    return chosen, kept
+    """(selected surveys with covariates, their taxa in long form).
+
+    Which surveys are selected depends on their own attributes only, so they are selected first, and
+    only their observations are summarised.
+    """
+    chosen = select_surveys(fix_attributes(survey_base(samples)))
+    wanted = join_nullsafe(samples.select(SURVEY, "samplingDate", "observations"), chosen.select(SURVEY), [SURVEY], "left_semi")
+    taxa = survey_taxa(survey_observations(wanted))
+    return join_nullsafe(chosen, survey_covariates(taxa), [SURVEY], "left"), present_taxa(taxa)
 
 
 def community_table(samples: DataFrame, names: Sequence[str]) -> DataFrame:

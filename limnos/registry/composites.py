@@ -34,7 +34,7 @@ m AS (SELECT samplingSiteId, samplingDate, minDepth, maxDepth, stationId, proper
 def _lab_inputs(spark, sf):
     samples = lab_samples(spark, sf)
     stations = table(spark, sf, "supplier").filter("s_acctbal > 1000").selectExpr("s_suppkey AS stationId")
-    return samples, stations, unit_dictionary(P.flatten_laboratory(samples))
+    return samples, stations, unit_dictionary(spark, sf)
 
 
 @query("chemistry_clean", f"""WITH {_MEASURED_SQL}, s AS (SELECT * FROM m QUALIFY rank() OVER (PARTITION BY samplingSiteId, samplingDate, propertyAbbrevName

@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from limnos.session import new_path, spread
+
 Runner = Callable[[SparkSession, str], DataFrame]
 
 _RUNNERS: dict[str, Runner] = {}
@@ -139,13 +141,25 @@ SAMPLE_COLUMNS = ["sampleId", "productType", "stationId", "samplingSiteId", "sam
                   "minDepth", "maxDepth"]
 
 
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived input, written to the shared folder by the first query of an application that needs it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _LANDED:
+        path = new_path(spark, name)
+        build().write.parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def lab_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested laboratory samples; each is built from its own row, so nothing is grouped."""
-    empty = f"filter(array({_MAIN}), o -> false)"
-    return LAB.df(spark, sf_dir).selectExpr(
+    """Nested laboratory samples as landed; each is built from its own row, so nothing is grouped."""
+    return landed_once(spark, sf_dir, "lab-samples", lambda: spread(LAB.df(spark, sf_dir)).selectExpr(
         *SAMPLE_COLUMNS,
-        f"CASE WHEN empty THEN {empty} WHEN warm THEN array({_MAIN}, {_WARM}) ELSE array({_MAIN}) END AS observations",
-    )
+        f"slice(array({_MAIN}, {_WARM}), 1, CASE WHEN empty THEN 0 WHEN warm THEN 2 ELSE 1 END) AS observations",
+    ))
 
 
 LAB_LONG_SQL = f"""

@@ -21,16 +21,16 @@ DICTIONARY_SQL = """SELECT DISTINCT propertyAbbrevName, unit AS unitC,
   FROM lab_long WHERE propertyAbbrevName <> 'Färg'"""
 
 
-def unit_dictionary(flat):
+def unit_dictionary(spark, sf):
+    """The same dictionary from the flat columns."""
+    lab = LAB.df(spark, sf).filter("NOT empty")
+    warm = lab.filter("warm").selectExpr("'Temp' AS propertyAbbrevName", "'°C' AS unit")
+    pairs = distinct_rows(lab.select("propertyAbbrevName", "unit").union(warm), ["propertyAbbrevName", "unit"])
     abbrev, unit = F.col("propertyAbbrevName"), F.col("unit")
-    return (
-        distinct_rows(flat, ["propertyAbbrevName", "unit"])
-        .filter(abbrev != "Färg")
-        .select(
-            abbrev, unit.alias("unitC"),
-            F.when(abbrev == "Alk/Acid", "mekv/l").when(abbrev == "Tot-P", "µg/l").otherwise(unit).alias("unitAlt"),
-            F.when(unit == "mg/l", "1000").when(unit == "°C", "0,001").otherwise("1").alias("convFactRaw"),
-        )
+    return pairs.filter(abbrev != "Färg").select(
+        abbrev, unit.alias("unitC"),
+        F.when(abbrev == "Alk/Acid", "mekv/l").when(abbrev == "Tot-P", "µg/l").otherwise(unit).alias("unitAlt"),
+        F.when(unit == "mg/l", "1000").when(unit == "°C", "0,001").otherwise("1").alias("convFactRaw"),
     )
 
 
@@ -39,7 +39,7 @@ def unit_dictionary(flat):
                              "AND l.unit IS NOT DISTINCT FROM d.unitC")
 def join_nullsafe_left(spark, sf):
     flat = flatten_laboratory(lab_samples(spark, sf)).select("observationId", "propertyAbbrevName", "unit")
-    joined = J.join_nullsafe_left(flat.withColumnRenamed("unit", "unitC"), unit_dictionary(flat), ["propertyAbbrevName", "unitC"])
+    joined = J.join_nullsafe_left(flat.withColumnRenamed("unit", "unitC"), unit_dictionary(spark, sf), ["propertyAbbrevName", "unitC"])
     return joined.select("observationId", F.col("unitC").alias("unit"), "unitAlt", "convFactRaw")
 
 
@@ -50,7 +50,7 @@ def join_nullsafe_left(spark, sf):
   WHERE num IS NOT NULL""")
 def harmonise(spark, sf):
     flat = flatten_laboratory(lab_samples(spark, sf))
-    return harmonise_units(measured_values(flat), unit_factors(unit_dictionary(flat))).select("observationId", "unitF", "valF")
+    return harmonise_units(measured_values(flat), unit_factors(unit_dictionary(spark, sf))).select("observationId", "unitF", "valF")
 
 
 _SURVEYED = "SELECT o_custkey AS site, CAST(year(o_orderdate) AS INTEGER) AS yr, o_totalprice AS v FROM orders WHERE o_orderstatus = 'F'"

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from limnos import fixed_values as fixed
-from limnos.registry.core import Role
+from limnos.registry.core import Role, landed_once
+from limnos.session import spread
 
 _K = "CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 8 AS INT)"
 _DAY = "CAST(o_orderdate AS DATE)"
@@ -91,11 +92,11 @@ def plant_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested survey samples, each built from its own row."""
     parts = f"array(named_struct('indexQualityFlag', 'ok', 'indexList', array({_INDEX_LIST})))"
     full = f"array({_A}, {_B}, {_C})"
-    return PLANTS.df(spark, sf_dir).selectExpr(
-        *ATTRIBUTES, f"{_METADATA} AS sampleMetadata", f"filter({parts}, p -> indexed) AS sampleIndices",
-        f"filter({full}, o -> NOT bare) AS observations", "CAST(NULL AS STRING) AS stationMetadata",
+    return landed_once(spark, sf_dir, "plant-samples", lambda: spread(PLANTS.df(spark, sf_dir)).selectExpr(
+        *ATTRIBUTES, f"{_METADATA} AS sampleMetadata", f"slice({parts}, 1, CASE WHEN indexed THEN 1 ELSE 0 END) AS sampleIndices",
+        f"slice({full}, 1, CASE WHEN bare THEN 0 ELSE 3 END) AS observations", "CAST(NULL AS STRING) AS stationMetadata",
         "'n' AS nationalStationId", "'n' AS nationalSiteId",
-    )
+    ))
 
 
 # What each recorded name should become, written out by hand.

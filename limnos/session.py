@@ -38,6 +38,12 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/limnos/{label}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for row-heavy work on an input of few splits; larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so that a lost executor does not replay an iteration."""
     context = df.sparkSession.sparkContext
