@@ -23,14 +23,18 @@ def local_session(cores: str = "*", app: str = "limnos", shuffle_partitions: int
     )
 
 
+_OWN_FOLDER: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a fresh local one only where none is set."""
+    """The shared folder named by the cluster; a fresh local one only where none is set, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    fresh = tempfile.mkdtemp(prefix="limnos-")
-    spark.conf.set("spark.checkpoint.dir", fresh)
-    return fresh
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDER:
+        _OWN_FOLDER[application] = tempfile.mkdtemp(prefix="limnos-")
+    return _OWN_FOLDER[application]
 
 
 def new_path(spark: SparkSession, label: str) -> str:
