@@ -53,9 +53,10 @@ def with_cells(df: DataFrame, x: str, y: str, origin: tuple[float, float], side:
     )
 
 
-def with_offsets(cells: DataFrame, radius: int) -> DataFrame:
+def with_offsets(cells: DataFrame, radius: float) -> DataFrame:
     """Each row once per cell offset (dx, dy) inside a circle, the radius counted in cells."""
-    steps = F.sequence(F.lit(-radius), F.lit(radius))
+    limit = math.floor(radius)
+    steps = F.sequence(F.lit(-limit), F.lit(limit))
     square = cells.withColumn("dx", F.explode(steps)).withColumn("dy", F.explode(steps))
     return square.filter(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy") <= radius * radius)
 
@@ -103,8 +104,8 @@ def neighbour_join(df: DataFrame, x: str, y: str, radius: float, side: float,
     cells = with_cells(df, x, y, origin, side).groupBy("cx", "cy").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(n) for n, c in sums.items()]
     )
-    reach = with_offsets(cells.select("cx", "cy"), math.floor(radius / side)).select(
+    reach = with_offsets(cells.select("cx", "cy"), radius / side).select(
         "cx", "cy", (F.col("cx") + F.col("dx")).alias("nx"), (F.col("cy") + F.col("dy")).alias("ny"),
         (F.hypot(F.col("dx"), F.col("dy")) * F.lit(side)).alias("distance"),
-    ).filter(F.col("distance") <= radius)
+    )
     return reach.join(cells.withColumnsRenamed({"cx": "nx", "cy": "ny"}), ["nx", "ny"])

@@ -204,6 +204,6 @@ def community_surveys(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
 def community_table(samples: DataFrame, names: Sequence[str]) -> DataFrame:
     """The flat survey table: attributes and covariates, then one column per listed taxon."""
     chosen, kept = community_surveys(samples)
-    wide = community_wide(kept, names)
-    joined = join_nullsafe(chosen, wide, [SURVEY], "left").na.fill(0, subset=sorted(names))
+    columns = [n for n in names if n != fixed.PLACEHOLDER_TAXON]
+    joined = join_nullsafe(chosen, community_wide(kept, columns), [SURVEY], "left").na.fill(0, subset=columns)
     return joined.drop(*DROPPED_AT_END)
