@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Up to here one ``percentile`` aggregate may hold every distinct value.
@@ -13,39 +14,73 @@ DIRECT_LIMIT = 200_000
 SKETCH_ACCURACY = 10_000
 
 
-def _order_statistic(values: DataFrame, rank: int, rows: int, direct_limit: int) -> float:
-    """The value with ``rank`` smaller-or-equal predecessors (from 0) among ``rows`` values of ``v``.
-
-    A mergeable sketch brackets the rank, rows below the bracket are counted, and the search goes on
-    inside it. Each pass leaves about one part in ``SKETCH_ACCURACY`` of the rows, so no task ever
-    holds the column.
+@dataclass
+class _Search:
+    """An interval ``(above, upto]`` of values known to hold the wanted rank (counted inside it)."""
+
+    rank: int
+    rows: int
+    above: float | None = None
+    upto: float | None = None
+    found: float | None = None
+
+    def inside(self) -> Column:
+        v, held = F.col("v"), F.lit(True)
+        if self.above is not None:
+            held = held & (v > F.lit(self.above))
+        if self.upto is not None:
+            held = held & (v <= F.lit(self.upto))
+        return F.when(held, v)
+
+
+def _narrow(values: DataFrame, searches: list[_Search], margin: float) -> None:
+    """Two aggregates for all searches: bracket each rank by a mergeable sketch, then count below it."""
+    ends = []
+    for search in searches:
+        low, high = search.rank / search.rows - margin, (search.rank + 1) / search.rows + margin
+        ends.append((low, high, F.percentile_approx(
+            search.inside(), F.array(F.lit(max(low, 0.0)), F.lit(min(high, 1.0))), F.lit(SKETCH_ACCURACY))))
+    bracket = values.agg(*[e[2].alias(f"b{i}") for i, e in enumerate(ends)]).first()
+    counts = []
+    for i, search in enumerate(searches):
+        v, (low, high) = search.inside(), bracket[i]
+        counts += [F.count_if(v < low), F.count_if(v == low), F.count_if((v > low) & (v <= high))]
+    counted = values.agg(*[c.alias(f"c{i}") for i, c in enumerate(counts)]).first()
+    for i, search in enumerate(searches):
+        (low, high), (below, equal, between) = bracket[i], counted[3 * i: 3 * i + 3]
+        if search.rank < below:
+            search.upto, search.rows = low, below + equal  # the sketch missed on the low side
+        elif search.rank < below + equal:
+            search.found = low
+        elif search.rank < below + equal + between:
+            search.above, search.upto = low, high
+            search.rank, search.rows = search.rank - below - equal, between
+        else:
+            search.above = high  # and here on the high side
+            search.rank, search.rows = search.rank - below - equal - between, search.rows - below - equal - between
+
+
+def _order_statistics(values: DataFrame, ranks: Sequence[int], rows: int, direct_limit: int) -> dict[int, float]:
+    """Values at the given ranks (from 0) of column ``v``.
+
+    Each round leaves about one part in ``SKETCH_ACCURACY`` of the rows around a rank, and a value that
+    fills the bracket is found at once, so no task ever holds the column. The last round reads all
+    small intervals together.
     """
-    margin = 2.0 / SKETCH_ACCURACY
-    while rows > direct_limit:
-        low_p, high_p = max(rank / rows - margin, 0.0), min((rank + 1) / rows + margin, 1.0)
-        low, high, smallest, largest = values.agg(
-            F.percentile_approx("v", low_p, SKETCH_ACCURACY),
-            F.percentile_approx("v", high_p, SKETCH_ACCURACY),
-            F.min("v"),
-            F.max("v"),
-        ).first()
-        low, high = (smallest if low_p == 0.0 else low), (largest if high_p == 1.0 else high)
-        below, at_low, inside = values.agg(
-            F.count_if(F.col("v") < low),
-            F.count_if(F.col("v") == low),
-            F.count_if(F.col("v").between(low, high)),
-        ).first()
-        if not below <= rank < below + inside:
-            margin *= 2  # the sketch missed its bound; look wider
-            continue
-        if rank < below + at_low:
-            return low
-        # the rank lies above every copy of ``low``, so a frequent value cannot stay in the bracket
-        values = values.filter((F.col("v") > low) & (F.col("v") <= high))
-        rank, rows = rank - below - at_low, inside - at_low
-    # half a rank below the wanted one names it without rounding trouble
-    share = (rank + 0.5) / rows
-    return values.agg(F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY v)")).first()[0]
+    searches = {rank: _Search(rank, rows) for rank in ranks}
+    while pending := [s for s in searches.values() if s.found is None and s.rows > direct_limit]:
+        _narrow(values, pending, 2.0 / SKETCH_ACCURACY)
+    small = [s for s in searches.values() if s.found is None]
+    if small:
+        # half a rank below the wanted one names it without rounding trouble
+        measures = []
+        for i, search in enumerate(small):
+            share = (search.rank + 0.5) / search.rows
+            measures.append(F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY s{i}) AS p{i}"))
+        row = values.select(*[s.inside().alias(f"s{i}") for i, s in enumerate(small)]).agg(*measures).first()
+        for i, search in enumerate(small):
+            search.found = row[i]
+    return {rank: search.found for rank, search in searches.items()}
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
@@ -57,19 +92,14 @@ def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
         return [None] * len(probs)
     if rows <= direct_limit:
         return list(values.agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in probs]))).first()[0])
-    found: dict[int, float] = {}
-
-    def at(rank: int) -> float:
-        if rank not in found:
-            found[rank] = _order_statistic(values, rank, rows, direct_limit)
-        return found[rank]
-
+    places = [(rows - 1) * p for p in probs]
+    ranks = sorted({math.floor(h) for h in places} | {math.ceil(h) for h in places})
+    at = _order_statistics(values, ranks, rows, direct_limit)
     out = []
-    for p in probs:
-        place = (rows - 1) * p
-        low = math.floor(place)
-        share = place - low
-        out.append(at(low) if share == 0.0 else at(low) * (1 - share) + at(low + 1) * share)
+    for place in places:
+        low, high = at[math.floor(place)], at[math.ceil(place)]
+        share = place - math.floor(place)
+        out.append(low if share == 0.0 else low * (1 - share) + high * share)
     return out
 
 

@@ -38,7 +38,7 @@ from limnos.session import cut_lineage
 
 NULL_MODEL = "Null"
 PRIOR_COUNT = 1.0
-HOLDOUT_PARTS = 4
+HOLDOUT_DIGITS = ["0", "1", "2", "3"]  # first digit of the hashed id: a quarter of the rows
 WALD_95 = 1.959963984540054
 STATS = ["R2", "RMSE", "MAE"]
 PARALLEL_FITS = 4
@@ -110,8 +110,8 @@ def _prepare(df: DataFrame, data: ModelData, sets: Sets, ladder: Ladder) -> Data
         F.col(data.x).cast("double").alias("_px"), F.col(data.y).cast("double").alias("_py"),
         *[F.col(c).cast("double").alias(c) for c in names],
     ).dropna()
-    held = F.pmod(F.xxhash64(F.col(data.id)), F.lit(HOLDOUT_PARTS)) == HOLDOUT_PARTS - 1
-    placed = with_cells(rows, "_px", "_py", ladder.origin, ladder.base_side, ("bx", "by"))
+    held = F.substring(F.md5(F.col(data.id).cast("string")), 1, 1).isin(*HOLDOUT_DIGITS)
+    placed = with_cells(rows, "_px", "_py", ladder.origin, ladder.base_side, ("base_x", "base_y"))
     return placed.drop("_px", "_py").withColumn("_held", held)
 
 
@@ -146,14 +146,14 @@ def _by_model(rows: DataFrame, linear: Mapping[str, LinearPart]) -> DataFrame:
         F.struct(F.lit(name).alias("model"), F.exp(part.eta() + F.col("_effort")).alias("_mu"))
         for name, part in linear.items()
     ])
-    return rows.select("_y", "bx", "by", "_held", F.inline(entries))
+    return rows.select("_y", "base_x", "base_y", "_held", F.inline(entries))
 
 
 def _cell_sums(expanded: DataFrame, hold: bool) -> DataFrame:
     """Observed and fitted counts per model and base cell, held-out rows apart."""
     held = F.col("_held") if hold else F.lit(False)
     y, mu = F.col("_y"), F.col("_mu")
-    return expanded.groupBy("model", "bx", "by").agg(
+    return expanded.groupBy("model", "base_x", "base_y").agg(
         F.sum(F.when(~held, y).otherwise(0.0)).alias("seen"), F.sum(F.when(~held, mu).otherwise(0.0)).alias("fitted"),
         F.sum(F.when(held, y).otherwise(0.0)).alias("held_seen"), F.sum(F.when(held, mu).otherwise(0.0)).alias("held_fitted"),
     ).withColumn("parts", F.array().cast("array<double>"))
@@ -163,7 +163,7 @@ def _local_step(cells: DataFrame, ladder: Ladder, bandwidth: float) -> DataFrame
     """Cells with the log ratio of observed to fitted counts around them at one bandwidth."""
     factor = ladder.bandwidths[-1] / bandwidth
     placed = cells.withColumns(
-        {n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("int") for n, b in (("cx", "bx"), ("cy", "by"))}
+        {n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("int") for n, b in (("cx", "base_x"), ("cy", "base_y"))}
     )
     coarse = placed.groupBy("model", "cx", "cy").agg(F.sum("seen").alias("seen"), F.sum("fitted").alias("fitted"))
     around = smooth_cells(coarse, ["model"], ["seen", "fitted"])
@@ -193,11 +193,11 @@ def _attach_spatial(rows: DataFrame, cells: DataFrame, linear: Mapping[str, Line
 
     The models of a cell travel together, so rows are joined before they are multiplied by models.
     """
-    per_cell = cells.groupBy("bx", "by").agg(F.collect_list(F.struct("model", "parts")).alias("_models"))
+    per_cell = cells.groupBy("base_x", "base_y").agg(F.collect_list(F.struct("model", "parts")).alias("_models"))
     means = F.create_map(*[
         item for name, part in linear.items() for item in (F.lit(name), F.exp(part.eta() + F.col("_effort")))
     ])
-    joined = rows.withColumn("_means", means).join(per_cell, ["bx", "by"])
+    joined = rows.withColumn("_means", means).join(per_cell, ["base_x", "base_y"])
     return joined.select("*", F.inline("_models")).withColumn("_mu", F.col("_means")[F.col("model")]).drop(
         "_means", "_models")
 
@@ -264,10 +264,10 @@ def fit_selected(df: DataFrame, selection: Selection) -> SpatialFit:
         accepted = [name for name, chosen in selection.bands.items() if bandwidth in chosen]
         cells = cut_lineage(_apply_step(_local_step(cells, ladder, bandwidth), accepted))
     # one join brings the spatial terms of all models to the rows; the regressions then only scan
-    terms = cells.groupBy("bx", "by").agg(
+    terms = cells.groupBy("base_x", "base_y").agg(
         F.map_from_entries(F.collect_list(F.struct("model", _spatial_sum()))).alias("_terms"))
     offsets = {name: f"_offset{k}" for k, name in enumerate(selection.sets)}
-    beside = cut_lineage(rows.join(terms, ["bx", "by"]).select(
+    beside = cut_lineage(rows.join(terms, ["base_x", "base_y"]).select(
         *rows.columns, *[(F.col("_effort") + F.col("_terms")[name]).alias(c) for name, c in offsets.items()]))
     fits = {name: (beside, chosen, offsets[name]) for name, chosen in selection.sets.items()}
     return SpatialFit(selection, _fit_all(fits), cells, rows, visited)
@@ -296,7 +296,7 @@ def predict_mean_sd(fit: SpatialFit) -> DataFrame:
     means = _attach_spatial(fit.rows, fit.cells, fit.linear).withColumn("pred", F.col("_mu") * F.exp(_spatial_sum()))
     factor = fit.selection.ladder.bandwidths[-1] / (fit.visited[-1] if fit.visited else fit.selection.ladder.bandwidths[-1])
     placed = means.withColumns(
-        {n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("int") for n, b in (("cx", "bx"), ("cy", "by"))}
+        {n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("int") for n, b in (("cx", "base_x"), ("cy", "base_y"))}
     )
     error = F.col("_y") - F.col("pred")
     sums = placed.groupBy("model", "cx", "cy").agg(
@@ -310,8 +310,8 @@ def scale_component(fit: SpatialFit, low: float = 0.0, high: float | None = None
     """(model, id, component): the log-mean terms whose bandwidth lies in [low, high), summed per row."""
     chosen = [k for k, b in enumerate(fit.visited) if b >= low and (high is None or b < high)]
     total = sum((F.get("parts", F.lit(k)) for k in chosen), F.lit(0.0))
-    rows = fit.rows.select(fit.selection.data.id, "bx", "by")
-    return rows.join(fit.cells.select("model", "bx", "by", total.alias(name)), ["bx", "by"]).select(
+    rows = fit.rows.select(fit.selection.data.id, "base_x", "base_y")
+    return rows.join(fit.cells.select("model", "base_x", "base_y", total.alias(name)), ["base_x", "base_y"]).select(
         "model", fit.selection.data.id, name)
 
 

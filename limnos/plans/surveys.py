@@ -138,8 +138,7 @@ def _summary(df: DataFrame, keys: Sequence[str], suffixed: bool, sums: dict[str,
         means={"inorgSubstrateMean": "inorgSubstrateMean" if suffixed else rank},
         texts={"siteCoordCRS": "siteCoordCRS"},
     )
-    finite = values.null_nonfinite(summary)
-    return finite.withColumn(
+    return summary.withColumn(
         "inorgSubstrateMed",
         values.round_median_toward_mean(F.col("inorgSubstrateMed"), F.col("inorgSubstrateMean")),
     )

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from limnos.operators import lattice as L
+from limnos.operators.aggregates import residuals
 from limnos.operators.columns import poly_features
+from limnos.operators.joins import attach_predictions
 from limnos.plans import spatial_counts as M
 from limnos.registry.core import query, table
 
@@ -57,48 +59,141 @@ def sites(spark, sf):
     return poly_features(columns, {"TN": "TNsq", "Temp": "Tsq", "Tot_P": "TPsq"})
 
 
-def _one_fit(spark, sf, covariates=("TN", "Temp")):
+def _null_selection(spark, sf):
     df = sites(spark, sf)
-    return M.fit_coarse_to_fine(df, M.holdout_select(df, DATA, covariates, scales=SCALES))
-
-
-@query("holdout_select")
+    return df, M.holdout_select(df, DATA, scales=SCALES)
+
+
+def _null_fit(spark, sf):
+    return M.fit_coarse_to_fine(*_null_selection(spark, sf))
+
+
+# The whole search for the null model, stated step by step for the checking engine.
+
+
+def _around(source: str, columns: tuple[str, ...]) -> str:
+    sums = ", ".join(f"sum(exp(-((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy)) / 8.0e0) * b.{c}) AS {c}" for c in columns)
+    return (f"SELECT a.cx, a.cy, {sums} FROM {source} a JOIN {source} b ON b.cx BETWEEN a.cx - 6 AND a.cx + 6 "
+            "AND (a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy) <= 36 GROUP BY a.cx, a.cy")
+
+
+def _coarse(k: int) -> str:
+    factor = 0.5 ** (SCALES - 1 - k)
+    return ", ".join(f"CAST(floor((base_{n} + 0.5e0) * {factor!r}) AS INTEGER) AS c{n}" for n in "xy")
+
+
+def _model_sql(result: str, more: str = "") -> str:
+    """CTEs r (rows), g (gain and decision per bandwidth), f (cells of the final fit), lv (its level), then the result."""
+    steps = [
+        "e AS MATERIALIZED (SELECT vec_id AS site, label::DOUBLE AS y, embedding[1] * 1e6 AS px, embedding[2] * 1e6 AS py, "
+        "md5(CAST(vec_id AS VARCHAR))[1:1] IN ('0', '1', '2', '3') AS held FROM embeddings)",
+        "w AS MATERIALIZED (SELECT min(px) AS x0, min(py) AS y0, greatest(max(px) - min(px), max(py) - min(py)) / 2 AS widest FROM e)",
+        f"r AS MATERIALIZED (SELECT site, y, held, CAST(floor((px - x0) / (widest * {0.5 ** (SCALES - 1)!r} / 2)) AS INTEGER) AS base_x, "
+        f"CAST(floor((py - y0) / (widest * {0.5 ** (SCALES - 1)!r} / 2)) AS INTEGER) AS base_y FROM e, w)",
+        "l0 AS MATERIALIZED (SELECT sum(y) / count(*) AS mu FROM r WHERE NOT held)",
+        "c0 AS MATERIALIZED (SELECT base_x, base_y, sum(CASE WHEN held THEN 0 ELSE y END) AS seen, sum(CASE WHEN held THEN 0 ELSE mu END) AS fitted, "
+        "sum(CASE WHEN held THEN y ELSE 0 END) AS hseen, sum(CASE WHEN held THEN mu ELSE 0 END) AS hfitted, 0.0e0 AS s, 0 AS fails FROM r, l0 GROUP BY base_x, base_y)",
+        "f0 AS MATERIALIZED (SELECT base_x, base_y, sum(y) AS seen, sum(mu) AS fitted, 0.0e0 AS s, 0.0e0 AS wide FROM r, l0 GROUP BY base_x, base_y)",
+    ]
+    for k in range(SCALES):
+        steps += [
+            f"p{k} AS MATERIALIZED (SELECT *, {_coarse(k)} FROM c{k})",
+            f"q{k} AS MATERIALIZED (SELECT cx, cy, sum(seen) AS seen, sum(fitted) AS fitted FROM p{k} GROUP BY cx, cy)",
+            f"a{k} AS MATERIALIZED ({_around(f'q{k}', ('seen', 'fitted'))})",
+            f"j{k} AS MATERIALIZED (SELECT p.*, ln((a.seen + 1) / (a.fitted + 1)) AS step FROM p{k} p JOIN a{k} a USING (cx, cy))",
+            f"g{k} AS MATERIALIZED (SELECT max(fails) < 2 AS running, sum(hseen * step - hfitted * (exp(step) - 1)) AS gain FROM j{k})",
+            f"c{k + 1} AS MATERIALIZED (SELECT base_x, base_y, seen, CASE WHEN running AND gain > 0 THEN fitted * exp(step) ELSE fitted END AS fitted, hseen, "
+            f"CASE WHEN running AND gain > 0 THEN hfitted * exp(step) ELSE hfitted END AS hfitted, CASE WHEN running AND gain > 0 THEN s + step ELSE s END AS s, "
+            f"CASE WHEN NOT running THEN fails WHEN gain > 0 THEN 0 ELSE fails + 1 END AS fails FROM j{k}, g{k})",
+            f"fp{k} AS MATERIALIZED (SELECT *, {_coarse(k)} FROM f{k})",
+            f"fq{k} AS MATERIALIZED (SELECT cx, cy, sum(seen) AS seen, sum(fitted) AS fitted FROM fp{k} GROUP BY cx, cy)",
+            f"fa{k} AS MATERIALIZED ({_around(f'fq{k}', ('seen', 'fitted'))})",
+            f"f{k + 1} AS MATERIALIZED (SELECT base_x, base_y, p.seen, CASE WHEN running AND gain > 0 THEN p.fitted * (a.seen + 1) / (a.fitted + 1) ELSE p.fitted END AS fitted, "
+            f"CASE WHEN running AND gain > 0 THEN s + ln((a.seen + 1) / (a.fitted + 1)) ELSE s END AS s, "
+            f"CASE WHEN running AND gain > 0 AND widest * {0.5 ** k!r} >= 100000 THEN wide + ln((a.seen + 1) / (a.fitted + 1)) ELSE wide END AS wide "
+            f"FROM fp{k} p JOIN fa{k} a USING (cx, cy), g{k}, w)",
+        ]
+    gains = " UNION ALL ".join(f"SELECT {k} AS k, widest * {0.5 ** k!r} AS band, gain, running, running AND gain > 0 AS selected FROM g{k}, w" for k in range(SCALES))
+    steps += [
+        f"g AS MATERIALIZED ({gains})",
+        f"f AS MATERIALIZED (SELECT * FROM f{SCALES})",
+        "lv AS MATERIALIZED (SELECT sum(y) / sum(exp(s)) AS level FROM r JOIN f USING (base_x, base_y))",
+    ]
+    return f"WITH {', '.join(steps)}{', ' + more if more else ''} {result}"
+
+
+@query("holdout_select", _model_sql("SELECT 'Null' AS model, round(band, 3) AS band, round(gain, 6) AS gain, selected FROM g WHERE running"))
 def holdout_select(spark, sf):
     """Gain of held-out likelihood per visited bandwidth."""
-    selection = M.holdout_select(sites(spark, sf), DATA, ("TN", "Temp"), scales=SCALES)
+    _, selection = _null_selection(spark, sf)
     rows = [(m, b, g, b in selection.bands[m]) for m, gains in selection.gains.items() for b, g in gains.items()]
-    return spark.createDataFrame(rows, "model string, band double, gain double, selected boolean")
+    found = spark.createDataFrame(rows, "model string, band double, gain double, selected boolean")
+    return found.withColumns({"band": F.round("band", 3), "gain": F.round("gain", 6)})
 
 
-@query("fit_coarse_to_fine")
+@query("fit_coarse_to_fine", _model_sql("SELECT 'Null' AS model, base_x, base_y, round(fitted, 6) AS fitted FROM f"))
 def fit_coarse_to_fine(spark, sf):
-    fit = _one_fit(spark, sf)
-    return fit.cells.select("model", "bx", "by", "fitted")
+    return _null_fit(spark, sf).cells.select("model", "base_x", "base_y", F.round("fitted", 6).alias("fitted"))
+
+
+_SPREAD_SQL = (
+    "z AS MATERIALIZED (SELECT coalesce(min(band), max(base)) / max(base) AS times FROM (SELECT (SELECT min(band) FROM g) AS base) LEFT JOIN g ON selected), "
+    "m AS MATERIALIZED (SELECT site, y, level * exp(s) AS pred, CAST(floor((base_x + 0.5e0) / times) AS INTEGER) AS cx, CAST(floor((base_y + 0.5e0) / times) AS INTEGER) AS cy "
+    "FROM r JOIN f USING (base_x, base_y), lv, z), "
+    "v AS MATERIALIZED (SELECT cx, cy, sum((y - pred) * (y - pred)) AS squared, count(*)::DOUBLE AS n FROM m GROUP BY cx, cy), "
+    f"va AS MATERIALIZED ({_around('v', ('squared', 'n'))}) "
+)
 
 
-@query("predict_mean_sd")
+@query("predict_mean_sd", _model_sql("SELECT 'Null' AS model, site, round(pred, 6) AS pred, round(sqrt(squared / n), 6) AS pred_sd "
+                                     "FROM m JOIN va USING (cx, cy)", _SPREAD_SQL))
 def predict_mean_sd(spark, sf):
-    return M.predict_mean_sd(_one_fit(spark, sf))
+    predicted = M.predict_mean_sd(_null_fit(spark, sf))
+    return predicted.withColumns({"pred": F.round("pred", 6), "pred_sd": F.round("pred_sd", 6)})
 
 
-@query("scale_component")
+@query("scale_component", _model_sql("SELECT 'Null' AS model, site, round(wide, 6) AS wide, round(s - wide, 6) AS narrow FROM r JOIN f USING (base_x, base_y)"))
 def scale_component(spark, sf):
-    return M.scale_components_long(_one_fit(spark, sf))
+    """Terms of 100 km and wider beside all narrower ones."""
+    fit = _null_fit(spark, sf)
+    wide, narrow = M.scale_component(fit, 100000.0, None, "wide"), M.scale_component(fit, 0.0, 100000.0, "narrow")
+    joined = wide.join(narrow, ["model", "site"])
+    return joined.withColumns({"wide": F.round("wide", 6), "narrow": F.round("narrow", 6)})
+
+
+_HELD_SQL = f"h AS MATERIALIZED (SELECT y, y - mu * exp(s) AS error FROM r JOIN c{SCALES} USING (base_x, base_y), l0 WHERE held)"
+
+
+@query("scores", _model_sql("SELECT 'Null' AS model, 'R2' AS stat, round(1 - sum(error * error) / (var_pop(y) * count(*)), 6) AS value FROM h "
+                            "UNION ALL SELECT 'Null', 'RMSE', round(sqrt(avg(error * error)), 6) FROM h "
+                            "UNION ALL SELECT 'Null', 'MAE', round(avg(abs(error)), 6) FROM h", _HELD_SQL))
+def scores(spark, sf):
+    return _null_selection(spark, sf)[1].scores.withColumn("value", F.round("value", 6))
+
+
+@query("residuals_by_observed", _model_sql("SELECT y AS rich, count(*) AS n, round(avg(y - level * exp(s)), 6) AS mean_resid FROM r JOIN f USING (base_x, base_y), lv GROUP BY y"))
+def residuals_by_observed(spark, sf):
+    """Mean residual of the null model per observed richness, as its residual plots summarise."""
+    predicted = M.predict_mean_sd(_null_fit(spark, sf)).select("site", "pred")
+    joined = attach_predictions(sites(spark, sf).select("site", F.col("rich").cast("double")), predicted, "site")
+    return residuals(joined, "rich", "pred").groupBy("rich").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("rawResid"), 6).alias("mean_resid"))
 
 
 @query("coefficients")
 def coefficients(spark, sf):
-    return M.coefficients(_one_fit(spark, sf))
+    df = sites(spark, sf)
+    return M.coefficients(M.fit_coarse_to_fine(df, M.holdout_select(df, DATA, ("TN", "Temp"), scales=SCALES)))
 
 
-@query("scores")
-def scores(spark, sf):
-    return M.holdout_select(sites(spark, sf), DATA, ("TN",), scales=SCALES).scores
+@query("scale_components_long")
+def scale_components_long(spark, sf):
+    return M.scale_components_long(_null_fit(spark, sf))
 
 
 @query("offset_effort")
 def offset_effort(spark, sf):
-    """The level with and without a constant log effort differs by that constant."""
+    """A model whose exposure is a column on the log scale."""
     df = sites(spark, sf)
     with_effort = M.ModelData("site", "rich", "east", "north", "log_one")
     selection = M.holdout_select(df, with_effort, ("TN",), scales=2)
