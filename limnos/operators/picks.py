@@ -31,21 +31,28 @@ def _sort_value(df: DataFrame, name: str, direction: str) -> Column:
     raise TypeError(f"descending order needs a number or a date, not {kind}")
 
 
-def _best_key(df: DataFrame, order: Sequence[Order]) -> Column:
-    """Order key whose minimum is the first row: ascending per field, missing last."""
-    parts: list[Column] = []
-    for i, item in enumerate(order):
-        name, direction = (item, "asc") if isinstance(item, str) else item
-        value = _sort_value(df, name, direction)
-        parts += [value.isNull().alias(f"m{i}"), value.alias(f"v{i}")]
-    return F.struct(*parts)
+def _with_order(df: DataFrame, order: Sequence[Order]) -> tuple[DataFrame, list[str]]:
+    """Order values as columns that sort ascending."""
+    pairs = [(item, "asc") if isinstance(item, str) else item for item in order]
+    names = [f"_order{i}" for i in range(len(pairs))]
+    return df.withColumns({n: _sort_value(df, *pair) for n, pair in zip(names, pairs)}), names
+
+
+def _first_key(keyed: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Per group the lexicographically smallest order values, missing last."""
+    grouped = keyed.groupBy(*[F.col(f"`{k}`") for k in keys])
+    if len(names) == 1:  # a plain minimum skips missing values and aggregates by hashing
+        return grouped.agg(F.min(names[0]).alias(names[0]))
+    parts = [c for n in names for c in (F.col(n).isNull().alias(f"{n}_missing"), F.col(n))]
+    smallest = grouped.agg(F.min(F.struct(*parts)).alias("_first"))
+    return smallest.select(*[F.col(f"`{k}`") for k in keys], *[F.col("_first")[n].alias(n) for n in names])
 
 
 def pick_min(df: DataFrame, keys: Sequence[str], order: Sequence[Order]) -> DataFrame:
     """Rows of each group with the lexicographically smallest order key; ties are kept, missing sorts last."""
-    keyed = df.withColumn("_order", _best_key(df, order))
-    best = keyed.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min("_order").alias("_order"))
-    return join_nullsafe(keyed, best, [*keys, "_order"], "left_semi").drop("_order")
+    keyed, names = _with_order(df, order)
+    best = _first_key(keyed, keys, names)
+    return join_nullsafe(keyed, best, [*keys, *names], "left_semi").drop(*names)
 
 
 def shallowest(df: DataFrame, keys: Sequence[str], depths: tuple[str, str] = ("minDepth", "maxDepth")) -> DataFrame:
@@ -65,10 +72,8 @@ def highest_effort(df: DataFrame, site: str, date: str, effort: str) -> DataFram
 
 def later_occurrences(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """All rows of a group but its first. The order columns must tell rows of a group apart."""
-    keyed = df.withColumn("_order", _best_key(df, order))
-    first = keyed.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min("_order").alias("_first"))
-    joined = join_nullsafe(keyed, first, keys, "left")
-    return joined.filter(F.col("_order") != F.col("_first")).drop("_order", "_first")
+    keyed, names = _with_order(df, order)
+    return join_nullsafe(keyed, _first_key(keyed, keys, names), [*keys, *names], "left_anti").drop(*names)
 
 
 def sort_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:

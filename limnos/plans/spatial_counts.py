@@ -161,10 +161,7 @@ def _cell_sums(expanded: DataFrame, hold: bool) -> DataFrame:
 
 def _local_step(cells: DataFrame, ladder: Ladder, bandwidth: float) -> DataFrame:
     """Cells with the log ratio of observed to fitted counts around them at one bandwidth."""
-    factor = ladder.bandwidths[-1] / bandwidth
-    placed = cells.withColumns(
-        {n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("int") for n, b in (("cx", "base_x"), ("cy", "base_y"))}
-    )
+    placed = _with_coarse_cells(cells, ladder, bandwidth)
     coarse = placed.groupBy("model", "cx", "cy").agg(F.sum("seen").alias("seen"), F.sum("fitted").alias("fitted"))
     around = smooth_cells(coarse, ["model"], ["seen", "fitted"])
     ratio = (F.col("seen") + F.lit(PRIOR_COUNT)) / (F.col("fitted") + F.lit(PRIOR_COUNT))
@@ -188,12 +185,13 @@ def _apply_step(cells: DataFrame, accepted: Sequence[str]) -> DataFrame:
     )
 
 
-def _attach_spatial(rows: DataFrame, cells: DataFrame, linear: Mapping[str, LinearPart]) -> DataFrame:
-    """Each row once per model, with its linear mean and the spatial terms of its cell.
+def _attach_spatial(rows: DataFrame, cells: DataFrame, linear: Mapping[str, LinearPart],
+                    columns: Sequence[str] = ("parts",)) -> DataFrame:
+    """Each row once per model, with its linear mean and the columns of its cell.
 
-    The models of a cell travel together, so rows are joined before they are multiplied by models.
+    The models of a cell travel together, so rows are shuffled before they are multiplied by models.
     """
-    per_cell = cells.groupBy("base_x", "base_y").agg(F.collect_list(F.struct("model", "parts")).alias("_models"))
+    per_cell = cells.groupBy("base_x", "base_y").agg(F.collect_list(F.struct("model", *columns)).alias("_models"))
     means = F.create_map(*[
         item for name, part in linear.items() for item in (F.lit(name), F.exp(part.eta() + F.col("_effort")))
     ])
@@ -202,6 +200,14 @@ def _attach_spatial(rows: DataFrame, cells: DataFrame, linear: Mapping[str, Line
         "_means", "_models")
 
 
+def _with_coarse_cells(cells: DataFrame, ladder: Ladder, bandwidth: float) -> DataFrame:
+    """Add the cell of a wider bandwidth, found from the centre of the base cell."""
+    factor = ladder.bandwidths[-1] / bandwidth
+    return cells.withColumns({
+        n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("int") for n, b in (("cx", "base_x"), ("cy", "base_y"))
+    })
+
+
 def _spatial_sum(parts: str = "parts") -> Column:
     return F.aggregate(parts, F.lit(0.0), lambda total, part: total + part)
 
@@ -291,19 +297,21 @@ def predict_mean_sd(fit: SpatialFit) -> DataFrame:
     """(model, id, pred, pred_sd): mean, and the square root of the local mean squared error.
 
     The error is averaged with the kernel of the narrowest visited bandwidth (of the base cells
-    without any).
+    without any). It is summed per cell first and comes back to the rows with the spatial terms.
     """
-    means = _attach_spatial(fit.rows, fit.cells, fit.linear).withColumn("pred", F.col("_mu") * F.exp(_spatial_sum()))
-    factor = fit.selection.ladder.bandwidths[-1] / (fit.visited[-1] if fit.visited else fit.selection.ladder.bandwidths[-1])
-    placed = means.withColumns(
-        {n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("int") for n, b in (("cx", "base_x"), ("cy", "base_y"))}
-    )
-    error = F.col("_y") - F.col("pred")
-    sums = placed.groupBy("model", "cx", "cy").agg(
+    ladder = fit.selection.ladder
+    predicted = F.col("_mu") * F.exp(_spatial_sum())
+    error = F.col("_y") - predicted
+    errors = _attach_spatial(fit.rows, fit.cells, fit.linear).groupBy("model", "base_x", "base_y").agg(
         F.sum(error * error).alias("squared"), F.count(F.lit(1)).cast("double").alias("n"))
-    spread = smooth_cells(sums, ["model"], ["squared", "n"]).select(
+    placed = _with_coarse_cells(errors, ladder, fit.visited[-1] if fit.visited else ladder.bandwidths[-1])
+    coarse = placed.groupBy("model", "cx", "cy").agg(F.sum("squared").alias("squared"), F.sum("n").alias("n"))
+    spread = smooth_cells(coarse, ["model"], ["squared", "n"]).select(
         "model", "cx", "cy", F.sqrt(F.col("squared") / F.col("n")).alias("pred_sd"))
-    return placed.join(spread, ["model", "cx", "cy"]).select("model", fit.selection.data.id, "pred", "pred_sd")
+    known = placed.join(spread, ["model", "cx", "cy"]).select("model", "base_x", "base_y", "pred_sd")
+    cells = fit.cells.join(known, ["model", "base_x", "base_y"])
+    rows = _attach_spatial(fit.rows, cells, fit.linear, ("parts", "pred_sd"))
+    return rows.select("model", fit.selection.data.id, predicted.alias("pred"), "pred_sd")
 
 
 def scale_component(fit: SpatialFit, low: float = 0.0, high: float | None = None, name: str = "component") -> DataFrame:

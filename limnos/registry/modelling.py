@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from limnos import fixed_values as fixed
 from limnos.operators import lattice as L
 from limnos.operators.aggregates import residuals
 from limnos.operators.columns import poly_features
 from limnos.operators.joins import attach_predictions
+from limnos.operators.sets import append
+from limnos.plans import reporting as R
 from limnos.plans import spatial_counts as M
 from limnos.registry.core import query, table
 
@@ -59,13 +62,27 @@ def sites(spark, sf):
     return poly_features(columns, {"TN": "TNsq", "Temp": "Tsq", "Tot_P": "TPsq"})
 
 
+_KEPT: dict[tuple[str, str, str], object] = {}
+
+
+def _kept(spark, sf, name, build):
+    """A fitted model that several reports of one application read; its tables lie in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _KEPT:
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
 def _null_selection(spark, sf):
-    df = sites(spark, sf)
-    return df, M.holdout_select(df, DATA, scales=SCALES)
+    return _kept(spark, sf, "selection", lambda: M.holdout_select(sites(spark, sf), DATA, scales=SCALES))
 
 
 def _null_fit(spark, sf):
-    return M.fit_coarse_to_fine(*_null_selection(spark, sf))
+    return _kept(spark, sf, "fit", lambda: M.fit_coarse_to_fine(sites(spark, sf), _null_selection(spark, sf)))
+
+
+def _sweep(spark, sf):
+    return _kept(spark, sf, "sweep", lambda: M.model_sweep(sites(spark, sf), DATA, scales=SCALES))
 
 
 # The whole search for the null model, stated step by step for the checking engine.
@@ -125,7 +142,7 @@ def _model_sql(result: str, more: str = "") -> str:
 @query("holdout_select", _model_sql("SELECT 'Null' AS model, round(band, 3) AS band, round(gain, 6) AS gain, selected FROM g WHERE running"))
 def holdout_select(spark, sf):
     """Gain of held-out likelihood per visited bandwidth."""
-    _, selection = _null_selection(spark, sf)
+    selection = _null_selection(spark, sf)
     rows = [(m, b, g, b in selection.bands[m]) for m, gains in selection.gains.items() for b, g in gains.items()]
     found = spark.createDataFrame(rows, "model string, band double, gain double, selected boolean")
     return found.withColumns({"band": F.round("band", 3), "gain": F.round("gain", 6)})
@@ -168,7 +185,7 @@ _HELD_SQL = f"h AS MATERIALIZED (SELECT y, y - mu * exp(s) AS error FROM r JOIN
                             "UNION ALL SELECT 'Null', 'RMSE', round(sqrt(avg(error * error)), 6) FROM h "
                             "UNION ALL SELECT 'Null', 'MAE', round(avg(abs(error)), 6) FROM h", _HELD_SQL))
 def scores(spark, sf):
-    return _null_selection(spark, sf)[1].scores.withColumn("value", F.round("value", 6))
+    return _null_selection(spark, sf).scores.withColumn("value", F.round("value", 6))
 
 
 @query("residuals_by_observed", _model_sql("SELECT y AS rich, count(*) AS n, round(avg(y - level * exp(s)), 6) AS mean_resid FROM r JOIN f USING (base_x, base_y), lv GROUP BY y"))
@@ -222,15 +239,10 @@ def candidate_sets(spark, sf):
     return gaps.select(F.inline(F.array(*entries))).groupBy("model").agg(F.count_if("complete").alias("n_complete"))
 
 
-def _sweep(spark, sf):
-    sets = M.candidate_sets({"TN": "TNsq", "Temp": "Tsq"})
-    return M.model_sweep(sites(spark, sf), DATA, sets, scales=4)
-
-
 @query("model_sweep")
 def model_sweep(spark, sf):
     """All 26 candidate models and the null model: scores."""
-    return M.scores_by_model(M.model_sweep(sites(spark, sf), DATA, scales=4))
+    return M.scores_by_model(_sweep(spark, sf))
 
 
 @query("band_score_matrix")
@@ -251,4 +263,22 @@ def selected_bands(spark, sf):
 @query("effect_table")
 def effect_table(spark, sf):
     df = sites(spark, sf)
-    return M.effect_table(_sweep(spark, sf), M.covariate_means(df, ["TN", "TNsq", "Temp", "Tsq"]))
+    return M.effect_table(_sweep(spark, sf), M.covariate_means(df, [c for pair in fixed.MODEL_COVARIATES.items() for c in pair]))
+
+
+@query("run_model")
+def run_model(spark, sf):
+    """One model of the sweep: its coefficients."""
+    return M.coefficients(_sweep(spark, sf)).filter(F.col("model") == "TN;Temp")
+
+
+@query("model_report")
+def model_report(spark, sf):
+    """Correlations, scores and goodness of fit of a report in one long table."""
+    columns = ["rich", "east", "north", *COVARIATES]
+    report = _kept(spark, sf, "report", lambda: R.model_report(sites(spark, sf).drop("TNsq", "Tsq", "TPsq"), DATA, columns, columns,
+                                                               {"TN": "TNsq", "Temp": "Tsq"}, scales=3))
+    pairs = report.correlations.select(F.lit("correlation").alias("part"), F.concat_ws("|", "a", "b").alias("item"), F.col("r").alias("value"))
+    scored = report.scores.select(F.lit("R2").alias("part"), F.col("model").alias("item"), F.col("R2").alias("value"))
+    fitted = report.goodness.select(F.lit("pearson_gof").alias("part"), F.lit("Null").alias("item"), F.col("pearson_gof").alias("value"))
+    return append(pairs, scored, fitted)

@@ -63,9 +63,9 @@ def scan_reference_list(spark, sf):
     return landed.scan_reference_list(spark, path)
 
 
-@query("save_and_reload", f"WITH lab AS ({LAB.sql}) SELECT sampleId, CASE WHEN empty THEN 0 WHEN warm THEN 2 ELSE 1 END AS n_obs, "
+@query("checkpoint", f"WITH lab AS ({LAB.sql}) SELECT sampleId, CASE WHEN empty THEN 0 WHEN warm THEN 2 ELSE 1 END AS n_obs, "
                           "CASE WHEN NOT empty THEN propertyCode END AS first_code FROM lab")
-def save_and_reload(spark, sf):
+def checkpoint(spark, sf):
     saved = landed.save_and_reload(lab_samples(spark, sf), new_path(spark, "saved"))
     return saved.select("sampleId", F.size("observations").alias("n_obs"),
                         F.get("observations", F.lit(0))["propertyCode"].alias("first_code"))

@@ -38,6 +38,13 @@ def survey_covariates_twice(spark, sf):
     return A.covariate_summary(first, ["supp"], sums={"total": "total"}, minima={"lo": "lo"}, medians={"med": "med"})
 
 
+@query("covariate_extent", """SELECT l_orderkey, min(l_partkey) AS startMin, max(l_partkey) AS startMax, min(l_suppkey) AS endMin,
+  max(l_suppkey) AS endMax FROM lineitem GROUP BY l_orderkey""")
+def covariate_extent(spark, sf):
+    return A.covariate_summary(table(spark, sf, "lineitem"), ["l_orderkey"], minima={"startMin": "l_partkey", "endMin": "l_suppkey"},
+                               maxima={"startMax": "l_partkey", "endMax": "l_suppkey"})
+
+
 @query("concat_distinct", f"WITH t AS ({MEASUREMENTS.sql}) SELECT site, coalesce(string_agg(DISTINCT unit, ';' ORDER BY unit), '') AS unit FROM t GROUP BY site")
 def concat_distinct(spark, sf):
     return A.concat_distinct(MEASUREMENTS.df(spark, sf), ["site"], "unit")
