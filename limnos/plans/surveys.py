@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from limnos import fixed_values as fixed
 from limnos.functions import text, values
 from limnos.operators.aggregates import covariate_summary, taxon_frequency
-from limnos.operators.columns import neq_flag, onehot_flags, presence_flag, valid_sites
+from limnos.operators.columns import neq_flag, onehot_flags, presence_flag, split_constant_columns, valid_sites
 from limnos.operators.joins import join_nullsafe, lookup_join
 from limnos.operators.nested import eav_to_columns, explode_outer, parse_kv
 from limnos.operators.picks import highest_effort
@@ -42,8 +42,19 @@ def index_inputs(indices: str) -> Column:
     return F.nullif(F.array_join(texts, "|"), F.lit(""))
 
 
-def survey_base(samples: DataFrame) -> DataFrame:
-    """One row per sample: attributes, sample metadata and the three survey indices.
+def prune_by_content(samples: DataFrame) -> DataFrame:
+    """Drop attributes without any value or with a single one; nested columns and keys stay. Runs one job."""
+    needed = {SURVEY, "samplingDate", *[n for n, kind in samples.dtypes if kind.startswith("array")]}
+    varying, _ = split_constant_columns(samples.drop(*needed))
+    return samples.select([F.col(f"`{n}`") for n in samples.columns if n in needed or n in varying.columns])
+
+
+def survey_base(
+    samples: DataFrame,
+    sample_labels: Mapping[str, str] = fixed.SAMPLE_METADATA_NAMES,
+    station_labels: Mapping[str, str] = {},
+) -> DataFrame:
+    """One row per sample: attributes, sample (and chosen station) metadata and the survey indices.
 
     Everything is read out of the row's own arrays, so the step needs no shuffle.
     """
@@ -59,7 +70,9 @@ def survey_base(samples: DataFrame) -> DataFrame:
         indexed, fixed.INDEX_INPUTS, fixed.INDEX_PRODUCT_SUM, fixed.INDEX_WEIGHT_PREFIX,
         ("productSum", "weightFactorSum"),
     )
-    labelled = eav_to_columns(parsed, "sampleMetadata", fixed.SAMPLE_METADATA_NAMES)
+    labelled = eav_to_columns(parsed, "sampleMetadata", sample_labels)
+    if station_labels:
+        labelled = eav_to_columns(labelled, "stationMetadata", station_labels)
     return labelled.drop("sampleIndices", fixed.INDEX_INPUTS, "observations", "stationMetadata", "stdSamplingMethod")
 
 
@@ -73,9 +86,10 @@ def survey_observations(samples: DataFrame) -> DataFrame:
     return columns.select(*keep, *fixed.OBSERVATION_METADATA_NAMES.values())
 
 
-def survey_flatten(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
+def survey_flatten(samples: DataFrame, prune: bool = False) -> tuple[DataFrame, DataFrame]:
     """(one row per survey, one row per recorded value)."""
-    return survey_base(samples), survey_observations(samples)
+    kept = prune_by_content(samples) if prune else samples
+    return survey_base(kept), survey_observations(samples)
 
 
 def clean_taxon_name(name: Column) -> Column:

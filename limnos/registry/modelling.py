@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from limnos import fixed_values as fixed
 from limnos.operators import lattice as L
-from limnos.operators.aggregates import residuals
+from limnos.operators.aggregates import corr_matrix, residuals
 from limnos.operators.columns import poly_features
 from limnos.operators.joins import attach_predictions
 from limnos.operators.sets import append
@@ -276,8 +276,9 @@ def run_model(spark, sf):
 def model_report(spark, sf):
     """Correlations, scores and goodness of fit of a report in one long table."""
     columns = ["rich", "east", "north", *COVARIATES]
-    report = _kept(spark, sf, "report", lambda: R.model_report(sites(spark, sf).drop("TNsq", "Tsq", "TPsq"), DATA, columns, columns,
-                                                               {"TN": "TNsq", "Temp": "Tsq"}, scales=3))
+    df = sites(spark, sf).drop("TNsq", "Tsq", "TPsq")
+    both = tuple(corr_matrix(df, columns, use) for use in ("everything", "pairwise"))
+    report = _kept(spark, sf, "report", lambda: R.model_report(df, DATA, {"TN": "TNsq", "Temp": "Tsq"}, both, scales=3))
     pairs = report.correlations.select(F.lit("correlation").alias("part"), F.concat_ws("|", "a", "b").alias("item"), F.col("r").alias("value"))
     scored = report.scores.select(F.lit("R2").alias("part"), F.col("model").alias("item"), F.col("R2").alias("value"))
     fitted = report.goodness.select(F.lit("pearson_gof").alias("part"), F.lit("Null").alias("item"), F.col("pearson_gof").alias("value"))

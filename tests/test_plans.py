@@ -129,6 +129,14 @@ def test_survey_base_is_one_row_per_sample(spark, tmp_path):
     assert (first["productSum"], first["weightFactorSum"], first["secchi"]) == ("55.6", "7.3", "1,8-4,5")
 
 
+def test_attributes_without_variation_are_pruned(spark, tmp_path):
+    samples = plant_samples(spark, tmp_path).withColumn("fixed", F.lit(1)).withColumn("none", F.lit(None).cast("string"))
+    pruned = V.prune_by_content(samples)
+    assert not {"fixed", "none"} & set(pruned.columns) and {"sampleId", "observations", "samplingSiteId"} <= set(pruned.columns)
+    base, _ = V.survey_flatten(samples, prune=True)
+    assert base.count() == len(PLANTS)
+
+
 def test_survey_selection_and_community(spark, tmp_path):
     samples = plant_samples(spark, tmp_path)
     chosen, taxa = V.community_surveys(samples)
@@ -180,3 +188,13 @@ def test_batches_with_absent_columns(spark):
     out = landed.union_evolving(a, b, schema=fields(x=T.LongType(), y=S, z=D))
     assert out.dtypes == [("x", "bigint"), ("y", "string"), ("z", "double")]
     assert sorted(map(tuple, out.collect())) == [(1, None, None), (2, "q", None)]
+
+
+def test_correlation_tables_use_report_names(spark):
+    from limnos.plans.reporting import correlation_tables
+
+    names = {**fixed.CORRELATION_COLUMNS, **fixed.CORRELATION_COLUMNS_FULL}
+    rows = [tuple(float((i * k) % 7 + i) if not (i == 2 and k > 12) else None for k in range(1, len(names) + 1)) for i in range(1, 9)]
+    few, full = correlation_tables(spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)))
+    assert few.count() == 45 and full.count() == 153
+    assert {"WFD Richness", "TP"} <= {r["a"] for r in full.collect()} | {r["b"] for r in full.collect()}
