@@ -1,7 +1,8 @@
 """Time the headline queries: ``python bench.py`` prints one JSON line.
 
-Each query is planned and run to a sink that discards rows. Derived nested inputs are landed before
-the clock starts, as loading.
+Each query is planned and run to a sink that discards rows, twice; the second run is reported and the
+first, with compilation, is in ``first_run``. Derived nested inputs are landed before the clock starts,
+as loading. Fitted models are not kept between runs.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import os
 import time
 
 from limnos import registry
+from limnos.registry import modelling
 from limnos.registry.core import lab_samples
 from limnos.registry.plants import plant_samples
 from limnos.session import local_session
@@ -31,13 +33,17 @@ def main() -> None:
     runners = registry.runners()
     for landed in (lab_samples, plant_samples):
         landed(spark, sf_dir)
+    first: dict[str, float] = {}
     seconds: dict[str, float] = {}
     for name in HEADLINE:
-        start = time.perf_counter()
-        runners[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - start, 3)
+        for record in (first, seconds):
+            modelling._KEPT.clear()
+            start = time.perf_counter()
+            runners[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            record[name] = round(time.perf_counter() - start, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": float(sf)}))
+    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds, "sf": float(sf),
+                      "first_run": round(sum(first.values()), 3)}))
     spark.stop()
 
 

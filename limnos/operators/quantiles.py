@@ -33,14 +33,29 @@ class _Search:
         return F.when(held, v)
 
 
+def _brackets(values: DataFrame, searches: list[_Search], margin: float) -> list[tuple[float, float]]:
+    """Values just below and above each rank, from one sketch per distinct interval."""
+    by_interval: dict[tuple, list[int]] = {}
+    for i, search in enumerate(searches):
+        by_interval.setdefault((search.above, search.upto), []).append(i)
+    sketches = []
+    for members in by_interval.values():
+        probs = []
+        for search in (searches[i] for i in members):
+            probs += [max(search.rank / search.rows - margin, 0.0), min((search.rank + 1) / search.rows + margin, 1.0)]
+        ends = F.array(*[F.lit(p) for p in probs])
+        sketches.append(F.percentile_approx(searches[members[0]].inside(), ends, F.lit(SKETCH_ACCURACY)))
+    row = values.agg(*[c.alias(f"b{k}") for k, c in enumerate(sketches)]).first()
+    out = {}
+    for k, members in enumerate(by_interval.values()):
+        for place, i in enumerate(members):
+            out[i] = (row[k][2 * place], row[k][2 * place + 1])
+    return [out[i] for i in range(len(searches))]
+
+
 def _narrow(values: DataFrame, searches: list[_Search], margin: float) -> None:
     """Two aggregates for all searches: bracket each rank by a mergeable sketch, then count below it."""
-    ends = []
-    for search in searches:
-        low, high = search.rank / search.rows - margin, (search.rank + 1) / search.rows + margin
-        ends.append((low, high, F.percentile_approx(
-            search.inside(), F.array(F.lit(max(low, 0.0)), F.lit(min(high, 1.0))), F.lit(SKETCH_ACCURACY))))
-    bracket = values.agg(*[e[2].alias(f"b{i}") for i, e in enumerate(ends)]).first()
+    bracket = _brackets(values, searches, margin)
     counts = []
     for i, search in enumerate(searches):
         v, (low, high) = search.inside(), bracket[i]
