@@ -15,6 +15,8 @@ from limnos.operators.joins import join_nullsafe, lookup_join
 from limnos.operators.nested import eav_to_columns, explode_outer, parse_kv
 from limnos.operators.picks import highest_effort
 from limnos.operators.reshape import cast_wide_fill
+from limnos.session import new_path
+from limnos.sources.landed import save_and_reload
 
 SURVEY = "sampleId"
 MINIMA = ["waterDepth", "siteCoordStartX", "siteCoordStartY", "siteCoordEndX", "siteCoordEndY"]
@@ -206,11 +208,14 @@ def community_surveys(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(selected surveys with covariates, their taxa in long form).
 
     Which surveys are selected depends on their own attributes only, so they are selected first, and
-    only their observations are summarised.
+    only their observations are summarised. Both tables are read more than once and therefore saved in
+    the shared folder, so the nested samples are not unpacked again.
     """
-    chosen = select_surveys(fix_attributes(survey_base(samples)))
-    wanted = join_nullsafe(samples.select(SURVEY, "samplingDate", "observations"), chosen.select(SURVEY), [SURVEY], "left_semi")
-    taxa = survey_taxa(survey_observations(wanted))
+    spark = samples.sparkSession
+    chosen = save_and_reload(select_surveys(fix_attributes(survey_base(samples))), new_path(spark, "chosen-surveys"))
+    recorded = samples.select(SURVEY, "samplingDate", "observations")
+    wanted = join_nullsafe(recorded, chosen.select(SURVEY), [SURVEY], "left_semi")
+    taxa = save_and_reload(survey_taxa(survey_observations(wanted)), new_path(spark, "survey-taxa"))
     return join_nullsafe(chosen, survey_covariates(taxa), [SURVEY], "left"), present_taxa(taxa)
 
 
