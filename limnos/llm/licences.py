@@ -120,9 +120,12 @@ def grams(words_column: str) -> Column:
 
 
 def paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, paragraph, words): the lines of each whole text that hold a word, numbered from 0."""
-    lines = id_and_text(docs, id_column, text_column).select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line"))
-    return lines.select("doc_id", "paragraph", words(F.col("line")).alias("words")).where(F.size("words") > 0)
+    """(doc_id, paragraph, words): the lines of each whole text that hold a word, numbered from 0.
+
+    Words come out of the generator, so that no later filter computes them anew.
+    """
+    lines = F.transform(F.split("text", "\n"), words)
+    return id_and_text(docs, id_column, text_column).select("doc_id", F.posexplode(lines).alias("paragraph", "words")).where(F.size("words") > 0)
 
 
 def templates(spark: SparkSession) -> DataFrame:
@@ -132,7 +135,7 @@ def templates(spark: SparkSession) -> DataFrame:
 
 
 def _vectors(df: DataFrame) -> DataFrame:
-    return HashingTF(numFeatures=BUCKETS, binary=True, inputCol="grams", outputCol="features").transform(df.withColumn("grams", grams("words")))
+    return HashingTF(numFeatures=BUCKETS, binary=True, inputCol="grams", outputCol="features").transform(df.select("*", F.explode(F.array(grams("words"))).alias("grams")))
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Scanner:
@@ -144,10 +147,10 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -
     order = [F.xxhash64("words"), F.col("words")]
     sample = saved(paragraphs(docs, id_column, text_column).select("words").orderBy(*order).limit(BACKGROUND), "licence-background")
     # background that is itself near a template has no place in the unknown class
-    met = sample.distinct().withColumn("grams", F.array_distinct(grams("words")))
-    known = [F.array(*map(F.lit, row["template_grams"])) for row in templates(spark).collect()]  # of fixed size
-    shares = [F.size(F.array_intersect("grams", t)) / F.size(t) for t in known]
-    background = saved(met.where(F.greatest(*shares) < SIMILARITY / 2).select("words"), "licence-background")
+    own = sample.distinct().select("words", F.explode(F.array_distinct(grams("words"))).alias("gram"))
+    known = templates(spark).select("template", F.size("template_grams").alias("n"), F.explode("template_grams").alias("gram"))  # of fixed size
+    near = (own.join(F.broadcast(known), "gram").groupBy("words", "template", "n").count().where(F.col("count") >= SIMILARITY / 2 * F.col("n")).select("words").distinct())
+    background = saved(sample.distinct().join(near, "words", "left_anti"), "licence-background")
     half = F.pmod(F.xxhash64("words", F.lit(1)), F.lit(2))
     training = labelled.withColumn("weight", F.lit(20.0)).unionByName(background.where(half == 0).select("words", F.lit(0.0).alias("label"), F.lit(1.0).alias("weight")))
     model = LogisticRegression(family="multinomial", weightCol="weight", regParam=2e-4, elasticNetParam=0.9, maxIter=40).fit(_vectors(training.coalesce(1)))
