@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from limnos.llm import decontaminate, packing, quality, secrets, simhash
 from limnos.llm.queries import TOKENIZER
-from limnos.llm.shared import saved, table
+from limnos.llm.shared import on_workers, saved, table
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +39,11 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [
-    ("quality_classifier", good_documents),
-    ("simhash_near_dedup", distinct_documents),
-    ("benchmark_decontamination", decontaminated_documents),
-    ("secret_scans", redacted_documents),
-    ("best_fit_packing", packed_sequences),
+    ("quality_classifier", on_workers(good_documents)),
+    ("simhash_near_dedup", on_workers(distinct_documents)),
+    ("benchmark_decontamination", on_workers(decontaminated_documents)),
+    ("secret_scans", on_workers(redacted_documents)),
+    ("best_fit_packing", on_workers(packed_sequences)),
 ]
 ORACLE_SQL = None  # a trained classifier and a tokenizer are beyond SQL; tested against brute force
 

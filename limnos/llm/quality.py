@@ -3,8 +3,9 @@
 A document is described by the shares of its character classes and of pairs of neighbouring classes, and by how often
 a word repeats the one before. A logistic model minimises the non-negative unbiased risk: trusted positives carry the
 positive loss, unlabelled web text the negative loss, from which the positives' part, weighted by the class prior, is
-taken away, but never below zero. The prior is estimated from all documents: a first model tells positives from
-unlabelled text, and the least ratio between the unlabelled and the positive share above a threshold bounds it.
+taken away, but never below zero. The prior is estimated from all documents: a first model, fitted on half of the
+positives, tells positives from unlabelled text, and the least ratio between the unlabelled share and the other
+half's share above a threshold bounds it.
 
 Only quality labels equal to 1 are used, none of them from a held-out row. Null text is an empty text, which is scored
 like any other. Labels of null, or of documents that don't occur, count for nothing; a document labelled more than
@@ -25,8 +26,8 @@ from limnos.llm.shared import id_and_text, map_slices, quoted, saved
 FIT_POSITIVES, FIT_UNLABELLED = 6_000, 12_000  # most rows that the model is fitted on
 HELD_OUT_FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
-BINS = 200  # of the first model's scores, for the prior
-STEPS, RATE, RIDGE = 800, 0.05, 1e-4
+BINS = 2000  # of the first model's scores, for the prior
+STEPS, RATE, RIDGE = 800, 0.05, 3e-3
 
 _GROUPS = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " ", "\n\r\t", ".,;:", "!?", "|", "#$%&*@^~",
            "\"'()[]{}<>-/_=+\\`")
@@ -108,7 +109,7 @@ def _scored(described: DataFrame, model: Model) -> DataFrame:
         rows = np.asarray(batch.column(0).flatten()).reshape(-1, N_FEATURES)
         return pa.RecordBatch.from_arrays([pa.array(model.scores(rows), pa.float64()), batch.column(1)], ["score", "positive"])
 
-    return map_slices(described.select("features", "positive"), work, "score double, positive boolean")
+    return map_slices(described.select("features", F.col("positive") & ~F.col("half")), work, "score double, positive boolean")
 
 
 def estimated_prior(described: DataFrame, model: Model) -> float:
@@ -120,8 +121,8 @@ def estimated_prior(described: DataFrame, model: Model) -> float:
         counts[row["bin"]] += row["n"], row["p"]
     above = counts[::-1].cumsum(0)
     shares = above / np.maximum(above[-1], 1)
-    enough = shares[:, 1] >= 0.2
-    return float(np.clip((shares[enough, 0] / shares[enough, 1]).min(), 0.05, 0.99))
+    enough = shares[:, 1] >= 0.5
+    return float(np.clip((shares[enough, 0] / shares[enough, 1]).min(initial=1.0), 0.05, 0.99))
 
 
 def _sample(rows: DataFrame, limit: int) -> np.ndarray:
@@ -141,13 +142,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     positives = (labels.where(quoted("quality") == 1).select(quoted("doc_id").cast("bigint").alias("doc_id")).distinct()
                  .withColumn("positive", F.lit(True)))
     described = saved(map_slices(learnable, describe, "doc_id bigint, features array<float>")
-                      .join(positives, "doc_id", "left").withColumn("positive", F.coalesce("positive", F.lit(False))), "quality-features")
-    positive, unlabelled = _sample(described.where("positive"), FIT_POSITIVES), _sample(described, FIT_UNLABELLED)
+                      .join(positives, "doc_id", "left").withColumn("positive", F.coalesce("positive", F.lit(False)))
+                      .withColumn("half", F.pmod(F.xxhash64("features", F.lit(1)), F.lit(2)) == 0), "quality-features")
+    halves = [_sample(described.where(F.col("positive") & (F.col("half") == first)), FIT_POSITIVES // 2) for first in (True, False)]
+    positive, unlabelled = np.concatenate(halves), _sample(described, FIT_UNLABELLED)
     if not len(positive):
         return None
     centre, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-3
-    p, u = (np.clip((x - centre) / scale, -8, 8) for x in (positive, unlabelled))
-    prior = estimated_prior(described, Model(centre, scale, *_descend(p, u, None), 0.0))
+    h, p, u = (np.clip((x - centre) / scale, -8, 8) for x in (halves[0] if len(halves[0]) else positive, positive, unlabelled))
+    prior = estimated_prior(described, Model(centre, scale, *_descend(h, u, None), 0.0))
     return Model(centre, scale, *_descend(p, u, prior), prior)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from limnos.llm import decontaminate, licences, packing, pages, quality, secrets, simhash, token_files, urls, vectors
-from limnos.llm.shared import table
+from limnos.llm.shared import on_workers, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,7 +57,7 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runners() -> dict[str, Runner]:
-    return {f.__name__: f for f in (op1_secret_scan, op2_licence_scan, op3_quality, op4_token_files, op5_best_fit_packing, op6_url_filter,
+    return {f.__name__: on_workers(f) for f in (op1_secret_scan, op2_licence_scan, op3_quality, op4_token_files, op5_best_fit_packing, op6_url_filter,
                                     op7_html_text, op8_vector_links, op9_simhash_groups, op10_contamination)}
 
 
