@@ -65,8 +65,8 @@ def year_of(date: Column) -> Column:
 
 def date_parts(df: DataFrame, text: str, date: str = "samplingDateD", year: str = "samplingYr",
                month: str = "samplingM") -> DataFrame:
-    """Date text (or timestamp) -> date, year and month columns."""
-    return df.withColumn(date, F.to_date(F.col(text))).withColumns(
+    """Date text (or timestamp) -> date, year and month columns; text that is no date gives NULL in all three."""
+    return df.withColumn(date, F.col(text).try_cast("date")).withColumns(
         {year: F.year(F.col(date)), month: F.month(F.col(date))}
     )
 

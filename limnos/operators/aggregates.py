@@ -215,10 +215,13 @@ def freq_table(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
-def crosstab(df: DataFrame, a: str, b: str, values: Sequence) -> DataFrame:
-    """Two-way counts with the listed values of ``b`` as columns, missing excluded."""
+def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None) -> DataFrame:
+    """Two-way counts with all values of ``b`` as columns, or the listed ones; missing excluded.
+
+    ``unlisted_labels`` tells what a list leaves out.
+    """
     complete = df.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
-    return complete.groupBy(a).pivot(b, list(values)).agg(F.count(F.lit(1))).na.fill(0)
+    return complete.groupBy(a).pivot(b, None if values is None else list(values)).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def column_means(df: DataFrame, columns: Sequence[str], name: str = "var", value: str = "meanEff") -> DataFrame:
@@ -273,10 +276,19 @@ def pearson_gof(df: DataFrame, residual: str, predicted: str) -> DataFrame:
     return df.agg(F.sum(F.try_divide(r * r, p)).alias("pearson_gof"))
 
 
-def histogram(df: DataFrame, column: str, low: float, high: float, bins: int = 30) -> DataFrame:
-    """Rows per equal-width bin of [low, high]; the top edge belongs to the last bin."""
+def histogram(df: DataFrame, column: str, low: float | None = None, high: float | None = None, bins: int = 30) -> DataFrame:
+    """Rows per equal-width bin of [low, high]; the top edge belongs to the last bin.
+
+    Bounds that are not given are the column's own least and greatest value. Rows below and above given
+    bounds are counted in the bins -1 and ``bins``. Missing values have no bin.
+    """
     c = F.col(column).cast("double")
-    place = F.least(F.floor((c - F.lit(low)) / F.lit((high - low) / bins)).cast("int"), F.lit(bins - 1))
-    return (
-        df.filter(c.between(low, high)).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    )
+    if low is None or high is None:
+        own = df.agg(F.min(c), F.max(c)).first()
+        low, high = own[0] if low is None else low, own[1] if high is None else high
+        if low is None or high is None:  # no value at all
+            low = high = 0.0
+    width = (high - low) / bins
+    inside = F.least(F.floor((c - F.lit(low)) / F.lit(width)).cast("int"), F.lit(bins - 1)) if width else F.lit(0)
+    place = F.when(c < low, -1).when(c > high, bins).otherwise(inside)
+    return df.filter(c.isNotNull()).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))

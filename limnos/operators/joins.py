@@ -44,15 +44,15 @@ def lookup_join(df: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
 
 
 def full_join(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join with NULL keys matching.
+    """Full outer join with NULL keys matching; each input is computed once.
 
-    Written as a left join plus the unmatched right rows, because AQE splits a hot key in those
-    two but not in a full outer join.
+    Meant for inputs with few rows a key, such as one row per site and year: AQE does not split a hot key here.
     """
-    matched = join_nullsafe(a, b, keys, "left")
-    seen = a.select([F.col(f"`{k}`") for k in keys]).distinct()
-    only_right = join_nullsafe(b, seen, keys, "left_anti")
-    return matched.unionByName(only_right, allowMissingColumns=True)
+    renamed, condition = _null_safe(a, b, keys)
+    joined = a.join(renamed, condition, "full_outer")
+    shared = [F.coalesce(a[f"`{k}`"], renamed[f"`_right_{k}`"]).alias(k) for k in keys]
+    return joined.select(*[shared[keys.index(n)] if n in keys else a[f"`{n}`"] for n in a.columns],
+                         *[renamed[f"`{n}`"] for n in renamed.columns if n not in {f"_right_{k}" for k in keys}])
 
 
 def semi_join(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -39,7 +39,7 @@ def bandwidth_ladder(df: DataFrame, x: str, y: str, scales: int = 8, ratio: floa
 
 
 def cell_of(value: Column, origin: float, side: float) -> Column:
-    return F.floor((value - F.lit(origin)) / F.lit(side)).cast("int")
+    return F.floor((value - F.lit(origin)) / F.lit(side)).cast("bigint")
 
 
 def with_cells(df: DataFrame, x: str, y: str, origin: tuple[float, float], side: float,

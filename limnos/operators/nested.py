@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from limnos.functions.text import extract_group
+from limnos.operators.reshape import cast_wide
 
 
 def _fields(df: DataFrame, column: str) -> list[str]:
@@ -78,9 +79,10 @@ def eav_to_columns(df: DataFrame, column: str, labels: Mapping[str, str] | Seque
     return df.withColumns({name: eav_value(column, label) for label, name in names.items()}).drop(column)
 
 
-def eav_pivot(df: DataFrame, keys: Sequence[str], label: str, value: str, labels: Sequence[str]) -> DataFrame:
-    """Label/value rows become one column per listed label, one row per key group."""
-    return df.groupBy(*keys).pivot(label, list(labels)).agg(F.max(value))
+def eav_pivot(df: DataFrame, keys: Sequence[str], label: str, value: str, labels: Sequence[str] | None = None,
+              several: str = "raise") -> DataFrame:
+    """Label/value rows become one column per label, all or the listed ones, one row per key group."""
+    return cast_wide(df, keys, label, value, labels, several)
 
 
 def parse_kv(df: DataFrame, column: str, first_pattern: str, prefix_pattern: str,

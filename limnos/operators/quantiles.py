@@ -9,9 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to here one ``percentile`` aggregate may hold every distinct value.
-DIRECT_LIMIT = 200_000
 SKETCH_ACCURACY = 10_000
+REMAINDER = 200_000  # rows around a rank that one aggregate may hold in the end
 
 
 @dataclass
@@ -75,16 +74,21 @@ def _narrow(values: DataFrame, searches: list[_Search], margin: float) -> None:
             search.rank, search.rows = search.rank - below - equal - between, search.rows - below - equal - between
 
 
-def _order_statistics(values: DataFrame, ranks: Sequence[int], rows: int, direct_limit: int) -> dict[int, float]:
+def _order_statistics(values: DataFrame, ranks: Sequence[int], rows: int, remainder: int) -> dict[int, float]:
     """Values at the given ranks (from 0) of column ``v``.
 
     Each round leaves about one part in ``SKETCH_ACCURACY`` of the rows around a rank, and a value that
-    fills the bracket is found at once, so no task ever holds the column. The last round reads all
-    small intervals together.
+    fills the bracket is found at once, so no task ever holds the column. Every search takes at least
+    one round; the last reads all small intervals together.
     """
     searches = {rank: _Search(rank, rows) for rank in ranks}
-    while pending := [s for s in searches.values() if s.found is None and s.rows > direct_limit]:
+    pending = list(searches.values())
+    while pending:
+        before = [s.rows for s in pending]
         _narrow(values, pending, 2.0 / SKETCH_ACCURACY)
+        if any(s.found is None and s.rows >= n > remainder for s, n in zip(pending, before)):
+            raise RuntimeError("a sketch bracket did not narrow the search for a quantile")
+        pending = [s for s in pending if s.found is None and s.rows > remainder]
     small = [s for s in searches.values() if s.found is None]
     if small:
         # half a rank below the wanted one names it without rounding trouble
@@ -99,17 +103,15 @@ def _order_statistics(values: DataFrame, ranks: Sequence[int], rows: int, direct
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: Sequence[float],
-                    direct_limit: int = DIRECT_LIMIT) -> list[float | None]:
+                    remainder: int = REMAINDER) -> list[float | None]:
     """Quantiles by linear interpolation between order statistics (type 7), at any table size."""
     values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
     rows = values.count()
     if rows == 0:
         return [None] * len(probs)
-    if rows <= direct_limit:
-        return list(values.agg(F.percentile("v", F.array(*[F.lit(float(p)) for p in probs]))).first()[0])
     places = [(rows - 1) * p for p in probs]
     ranks = sorted({math.floor(h) for h in places} | {math.ceil(h) for h in places})
-    at = _order_statistics(values, ranks, rows, direct_limit)
+    at = _order_statistics(values, ranks, rows, remainder)
     out = []
     for place in places:
         low, high = at[math.floor(place)], at[math.ceil(place)]

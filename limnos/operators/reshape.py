@@ -1,4 +1,5 @@
-"""Long <-> wide. Wide columns are always listed by the caller, so no job runs to find them."""
+"""Long <-> wide. A caller who lists the wide columns saves the job that finds them; ``unlisted_labels``
+tells what such a list leaves out. A cell that would have to choose between different values raises."""
 
 from __future__ import annotations
 
@@ -21,21 +22,48 @@ def relabel_melted(df: DataFrame, label: str, name: str, value: str, source: str
     return df.withColumn(label, F.when(chosen, F.lit(new_label)).otherwise(F.col(label)))
 
 
-def pivot_with(df: DataFrame, keys: Sequence[str], name: str, cell: Column, values: Sequence) -> DataFrame:
-    """Long -> wide with any aggregate as the cell."""
-    return df.groupBy(*[F.col(f"`{k}`") for k in keys]).pivot(name, list(values)).agg(cell)
+def pivot_with(df: DataFrame, keys: Sequence[str], name: str, cell: Column, values: Sequence | None = None) -> DataFrame:
+    """Long -> wide with any aggregate as the cell; without a list, all labels become columns."""
+    return df.groupBy(*[F.col(f"`{k}`") for k in keys]).pivot(name, None if values is None else list(values)).agg(cell)
 
 
-def cast_wide(df: DataFrame, keys: Sequence[str], name: str, value: str, values: Sequence) -> DataFrame:
+def unlisted_labels(df: DataFrame, name: str, values: Sequence) -> DataFrame:
+    """Labels that a list of wide columns leaves out, with their rows."""
+    known = [v for v in values if v is not None]
+    return df.filter(F.col(name).isNull() | ~F.col(name).isin(known)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+
+
+def only_value(value: str, several: str = "raise") -> Column:
+    """The one value of a cell. Different ones end the job, unless the caller asks for the ``greatest``."""
+    if several == "greatest":
+        return F.max(value)
+    if several != "raise":
+        raise ValueError(several)
+    conflict = F.raise_error(F.lit(f"a cell of {value} holds different values"))
+    return F.when(F.min(value) < F.max(value), conflict).otherwise(F.max(value))
+
+
+def conflicting_cells(df: DataFrame, keys: Sequence[str], name: str, value: str) -> DataFrame:
+    """Cells that hold different values, with their least, greatest and number of rows."""
+    cells = df.groupBy(*[F.col(f"`{k}`") for k in [*keys, name]])
+    spread = cells.agg(F.min(value).alias("least"), F.max(value).alias("greatest"), F.count(value).alias("n"))
+    return spread.filter("least < greatest")
+
+
+def cast_wide(df: DataFrame, keys: Sequence[str], name: str, value: str, values: Sequence | None = None,
+              several: str = "raise") -> DataFrame:
     """Long -> wide; cells without a row are NULL."""
-    return pivot_with(df, keys, name, F.max(value), values)
+    return pivot_with(df, keys, name, only_value(value, several), values)
 
 
-def cast_wide_fill(df: DataFrame, keys: Sequence[str], name: str, value: str, values: Sequence,
-                   fill: float = 0, placeholder: str | None = None) -> DataFrame:
+def cast_wide_fill(df: DataFrame, keys: Sequence[str], name: str, value: str, values: Sequence | None = None,
+                   fill: float = 0, placeholder: str | None = None, several: str = "raise") -> DataFrame:
     """Long -> wide; cells without a row are filled. A group that only holds the placeholder stays."""
-    columns = sorted(v for v in values if v != placeholder)
-    wide = pivot_with(df, keys, name, F.max(value), columns)
+    columns = None if values is None else sorted(v for v in values if v != placeholder)
+    wide = pivot_with(df, keys, name, only_value(value, several), columns)
+    if columns is None:
+        wide = wide.drop(placeholder) if placeholder is not None else wide
+        columns = [c for c in wide.columns if c not in keys]
     return wide.na.fill(fill, subset=columns)
 
 
@@ -58,9 +86,10 @@ def multi_valued_cells(df: DataFrame, columns: Sequence[str], sep: str = "|") ->
     return transpose_stats(df.agg(*counts), "column", "n_multi", "bigint")
 
 
-def scores_wide(df: DataFrame, model: str, stat: str, value: str, stats: Sequence[str]) -> DataFrame:
+def scores_wide(df: DataFrame, model: str, stat: str, value: str, stats: Sequence[str] | None = None,
+                several: str = "raise") -> DataFrame:
     """(model, stat, value) rows -> one row per model."""
-    return pivot_with(df, [model], stat, F.max(value), stats)
+    return pivot_with(df, [model], stat, only_value(value, several), stats)
 
 
 def transpose_stats(df: DataFrame, name: str = "column", value: str = "value", kind: str = "double") -> DataFrame:

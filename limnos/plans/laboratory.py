@@ -39,7 +39,7 @@ def measured_values(flat: DataFrame, parameters: Sequence[str] = fixed.PARAMETER
         filter_in(flat, "propertyName", parameters)
         .withColumn("valueNew", parse_censored(F.col("value")))
         .filter(F.col("valueNew").isNotNull())
-        .withColumn("editDate", F.to_date("lastEdit"))
+        .withColumn("editDate", F.col("lastEdit").try_cast("date"))
     )
 
 

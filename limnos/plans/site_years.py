@@ -32,7 +32,7 @@ def seasonal_chemistry(chemistry: DataFrame, surveys: DataFrame,
     """
     dated = (
         chemistry.filter(F.col("val").isNotNull())
-        .withColumn("_date", F.to_date("samplingDate"))
+        .withColumn("_date", F.col("samplingDate").try_cast("date"))
         .withColumn("samplingYr", F.year("_date"))
     )
     wanted = join_nullsafe(dated, surveys.select(*SITE_YEAR), SITE_YEAR, "left_semi")

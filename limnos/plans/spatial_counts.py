@@ -204,7 +204,7 @@ def _with_coarse_cells(cells: DataFrame, ladder: Ladder, bandwidth: float) -> Da
     """Add the cell of a wider bandwidth, found from the centre of the base cell."""
     factor = ladder.bandwidths[-1] / bandwidth
     return cells.withColumns({
-        n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("int") for n, b in (("cx", "base_x"), ("cy", "base_y"))
+        n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("bigint") for n, b in (("cx", "base_x"), ("cy", "base_y"))
     })
 
 

@@ -175,7 +175,7 @@ def site_year_chemistry(spark, sf):
 @query("coalesce_priority", f"WITH t AS ({CHEMISTRY.sql}), w AS (SELECT site, " + ", ".join(
     f"max(CASE WHEN code = '{c}' THEN val END) AS c{c}" for c in _CODES) + " FROM t GROUP BY site) SELECT site, c4 AS \"4\", c5 AS \"5\", coalesce(c3, c1, c2) AS best FROM w")
 def coalesce_priority(spark, sf):
-    wide = cast_wide(CHEMISTRY.df(spark, sf), ["site"], "code", "val", _CODES)
+    wide = cast_wide(CHEMISTRY.df(spark, sf), ["site"], "code", "val", _CODES, several="greatest")
     return Y.coalesce_priority(wide, ["3", "1", "2"], "best")
 
 

@@ -132,7 +132,7 @@ def eav_to_columns(spark, sf):
 def eav_pivot(spark, sf):
     observed = N.explode_inner(lab_samples(spark, sf).select("observations"), "observations")
     entries = N.explode_inner(observed.select("observationId", "observationMetadata"), "observationMetadata")
-    wide = N.eav_pivot(entries, ["observationId"], "label", "value", ["Djup", "Metod"])
+    wide = N.eav_pivot(entries, ["observationId"], "label", "value", ["Djup", "Metod"], several="greatest")
     return wide.withColumn("Djup", F.col("Djup").cast("double"))
 
 
@@ -177,10 +177,22 @@ _FLAGS = ["A", "N", "R"]
 @query("cast_wide", "SELECT l_suppkey, l_linenumber, " + ", ".join(
     f"max(CASE WHEN l_returnflag = '{v}' THEN l_quantity END) AS {v}" for v in _FLAGS) + " FROM lineitem GROUP BY ALL")
 def cast_wide(spark, sf):
-    return R.cast_wide(table(spark, sf, "lineitem"), ["l_suppkey", "l_linenumber"], "l_returnflag", "l_quantity", _FLAGS)
+    return R.cast_wide(table(spark, sf, "lineitem"), ["l_suppkey", "l_linenumber"], "l_returnflag", "l_quantity", _FLAGS, several="greatest")
 
 
-_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
+@query("unlisted_labels", "SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_returnflag NOT IN ('A', 'R') GROUP BY 1")
+def unlisted_labels(spark, sf):
+    return R.unlisted_labels(table(spark, sf, "lineitem"), "l_returnflag", ["A", "R"])
+
+
+@query("conflicting_cells", "SELECT l_suppkey, l_returnflag, min(l_quantity) AS least, max(l_quantity) AS greatest, count(l_quantity) AS n "
+                            "FROM lineitem GROUP BY ALL HAVING min(l_quantity) < max(l_quantity)")
+def conflicting_cells(spark, sf):
+    return R.conflicting_cells(table(spark, sf, "lineitem"), ["l_suppkey"], "l_returnflag", "l_quantity")
+
+
+_PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED"]
+_PLACEHOLDER = "5-LOW"
 
 
 @query("cast_wide_fill", "SELECT o_custkey, " + ", ".join(
@@ -188,17 +200,17 @@ _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM"]
     + " FROM orders GROUP BY o_custkey")
 def cast_wide_fill(spark, sf):
     return R.cast_wide_fill(table(spark, sf, "orders"), ["o_custkey"], "o_orderpriority", "o_totalprice",
-                            [*_PRIORITIES, "5-LOW"], 0, placeholder="5-LOW")
+                            [*_PRIORITIES, _PLACEHOLDER], 0, placeholder=_PLACEHOLDER, several="greatest")
 
 
 _WIDE_TEXT = "SELECT o_custkey, " + ", ".join(
     f"string_agg(CASE WHEN o_orderpriority = '{v}' THEN CAST(o_orderkey AS VARCHAR) END, '|' ORDER BY CAST(o_orderkey AS VARCHAR)) AS \"{v}\""
-    for v in _PRIORITIES) + " FROM orders GROUP BY o_custkey"
+    for v in [*_PRIORITIES, _PLACEHOLDER]) + " FROM orders GROUP BY o_custkey"
 
 
 def _wide_text(spark, sf):
     orders = table(spark, sf, "orders").withColumn("o_orderkey", F.col("o_orderkey").cast("string"))
-    return R.cast_wide_concat(orders, ["o_custkey"], "o_orderpriority", "o_orderkey", _PRIORITIES)
+    return R.cast_wide_concat(orders, ["o_custkey"], "o_orderpriority", "o_orderkey", [*_PRIORITIES, _PLACEHOLDER])
 
 
 @query("cast_wide_concat", _WIDE_TEXT)
@@ -207,9 +219,9 @@ def cast_wide_concat(spark, sf):
 
 
 @query("multi_valued_cells", f"WITH w AS ({_WIDE_TEXT}) " + " UNION ALL ".join(
-    f"SELECT '{v}' AS \"column\", count_if(contains(\"{v}\", '|')) AS n_multi FROM w" for v in _PRIORITIES))
+    f"SELECT '{v}' AS \"column\", count_if(contains(\"{v}\", '|')) AS n_multi FROM w" for v in [*_PRIORITIES, _PLACEHOLDER]))
 def multi_valued_cells(spark, sf):
-    return R.multi_valued_cells(_wide_text(spark, sf), _PRIORITIES)
+    return R.multi_valued_cells(_wide_text(spark, sf), [*_PRIORITIES, _PLACEHOLDER])
 
 
 @query("pivot_with", "SELECT l_suppkey, " + ", ".join(
@@ -219,11 +231,11 @@ def pivot_with(spark, sf):
     return wide.na.fill(0)
 
 
-@query("scores_wide", "SELECT l_returnflag AS model, max(CASE WHEN l_linenumber = 1 THEN l_quantity END) AS \"1\", "
-                      "max(CASE WHEN l_linenumber = 2 THEN l_quantity END) AS \"2\" FROM lineitem GROUP BY 1")
+@query("scores_wide", "SELECT l_returnflag AS model, " + ", ".join(
+    f"max(CASE WHEN l_linenumber = {k} THEN l_quantity END) AS \"{k}\"" for k in range(1, 8)) + " FROM lineitem GROUP BY 1")
 def scores_wide(spark, sf):
     df = table(spark, sf, "lineitem").withColumnRenamed("l_returnflag", "model")
-    return R.scores_wide(df, "model", "l_linenumber", "l_quantity", [1, 2])
+    return R.scores_wide(df, "model", "l_linenumber", "l_quantity", list(range(1, 8)), several="greatest")
 
 
 @query("transpose_stats", "SELECT 'hi' AS \"column\", max(l_quantity) AS value FROM lineitem UNION ALL "

@@ -238,6 +238,12 @@ def histogram(spark, sf):
 _PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
 
+@query("histogram_outside", "SELECT CASE WHEN l_quantity < 10 THEN -1 WHEN l_quantity > 30 THEN 8 "
+                            "ELSE CAST(least(floor((l_quantity - 10) / 2.5), 7) AS INTEGER) END AS bin, count(*) AS n FROM lineitem GROUP BY 1")
+def histogram_outside(spark, sf):
+    return A.histogram(table(spark, sf, "lineitem"), "l_quantity", 10, 30, 8)
+
+
 @query("qq_pairs", " UNION ALL ".join(
     f"SELECT {p}::DOUBLE AS prob, round(quantile_cont(l_extendedprice, {p}), 6) AS l_extendedprice, quantile_cont(l_quantity, {p}) AS l_quantity FROM lineitem"
     for p in _PROBS))

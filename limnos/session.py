@@ -31,6 +31,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _OWN_FOLDER:
         _OWN_FOLDER[application] = tempfile.mkdtemp(prefix="limnos-")

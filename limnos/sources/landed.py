@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnos import fixed_values as fixed
@@ -36,7 +37,7 @@ def restrict_to_stations(
     if product_type is not None:
         samples = samples.filter(samples["productType"] == product_type)
     if years is not None:
-        year = samples["samplingDate"].substr(1, 4).try_cast("int")
+        year = F.year(samples["samplingDate"].try_cast("date"))
         samples = samples.filter(year.between(*years))
     return samples.join(stations.select(station), station, "left_semi")
 
@@ -52,9 +53,14 @@ def union_evolving(*frames: DataFrame, schema: T.StructType | None = None) -> Da
     return typed.select([typed[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def scan_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header; blank cells and ``NA`` are NULL."""
-    return spark.read.csv(path, schema=schema, header=True, nullValue="NA", emptyValue="", enforceSchema=True)
+def scan_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str, line_breaks: bool = True) -> DataFrame:
+    """CSV with a header, quotes in a text doubled; blank cells, quoted ones too, and ``NA`` are NULL.
+
+    With ``line_breaks`` a quoted text may hold line breaks; a file is then read by one task. Files known to
+    have none can be split without it.
+    """
+    rows = spark.read.csv(path, schema=schema, header=True, nullValue="NA", emptyValue="", enforceSchema=True, quote='"', escape='"', multiLine=line_breaks)
+    return rows.withColumns({n: F.nullif(F.col(f"`{n}`"), F.lit("")) for n, kind in rows.dtypes if kind == "string"})
 
 
 def scan_unit_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -72,14 +78,18 @@ def scan_reference_list(spark: SparkSession, path: str, columns: str = "Species
 
 
 def save_and_reload(df: DataFrame, path: str) -> DataFrame:
-    """Keep an intermediate as Parquet (nested types survive) and read it back."""
+    """Keep an intermediate as Parquet (nested types survive) and read it back; a folder without files is an error."""
     df.write.mode("errorifexists").parquet(path)
+    df.sparkSession.read.parquet(path)  # raises where the files are not to be seen
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sink_csv(df: DataFrame, path: str) -> None:
-    """Flat output with a header, missing written as ``NA``; one file per task."""
-    df.write.mode("errorifexists").csv(path, header=True, nullValue="NA", emptyValue="")
+    """Flat output with a header, missing written as ``NA``; one file per task.
+
+    Quotes in a text are doubled. The format cannot tell the text ``NA``, or an empty one, from a missing value.
+    """
+    df.write.mode("errorifexists").csv(path, header=True, nullValue="NA", emptyValue="", quote='"', escape='"')
 
 
 def sink_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

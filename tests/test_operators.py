@@ -5,6 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from limnos.functions import values as V
 from limnos.operators import aggregates as A
 from limnos.operators import columns as C
 from limnos.operators import joins as J
@@ -14,6 +15,7 @@ from limnos.operators import quantiles as Q
 from limnos.operators import reshape as R
 from limnos.operators import sets as S
 from limnos.plans.laboratory import alk_acid_rule
+from limnos.sources import landed as L
 
 
 def rows(df):
@@ -198,10 +200,12 @@ def test_correlation_modes(spark):
     assert len(everything) == 6
 
 
-def test_quantiles_by_narrowing_equal_the_direct_ones(spark):
+def test_quantiles_by_narrowing_equal_an_exact_aggregate(spark):
     df = spark.range(20000).selectExpr("CASE WHEN id % 3 = 0 THEN 5.0D ELSE CAST(pmod(xxhash64(id), 100000) AS DOUBLE) END AS v")
     probs = [0.0, 0.01, 1 / 3, 0.5, 2 / 3, 0.99, 1.0]
-    assert Q.exact_quantiles(df, "v", probs, direct_limit=200) == pytest.approx(Q.exact_quantiles(df, "v", probs))
+    exact = df.selectExpr(f"percentile(v, array({', '.join(f'{p!r}D' for p in probs)})) AS q").first()["q"]
+    assert Q.exact_quantiles(df, "v", probs, remainder=200) == pytest.approx(exact)
+    assert Q.exact_quantiles(df, "v", probs) == pytest.approx(exact)
     assert Q.exact_quantiles(df.filter("v < 0"), "v", [0.5]) == [None]
 
 
@@ -220,4 +224,32 @@ def test_master_list_and_set_operations(spark):
 
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(0.0,), (1.0,), (10.0,), (11.0,)], "v double")
-    assert rows(A.histogram(df, "v", 0, 10, 10)) == [(0, 1), (1, 1), (9, 1)]
+    assert sorted(A.histogram(df, "v", 0, 10, 10).collect()) == [(0, 1), (1, 1), (9, 1), (10, 1)]
+    assert sorted(A.histogram(df, "v", 1, 10, 9).collect()) == [(-1, 1), (0, 1), (8, 1), (9, 1)]
+    assert sorted(A.histogram(df, "v", bins=11).collect()) == [(0, 1), (1, 1), (10, 2)]
+    assert A.histogram(df.filter("v < 0"), "v").count() == 0
+
+
+def test_wide_tables_lose_nothing(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (1, "zz", 9.0), (2, "a", 2.0), (2, "a", 2.0)], "k int, label string, v double")
+    assert sorted(R.cast_wide(df, ["k"], "label", "v").collect(), key=str) == [(1, 1.0, 9.0), (2, 2.0, None)]
+    assert sorted(R.cast_wide_fill(df, ["k"], "label", "v").collect()) == [(1, 1.0, 9.0), (2, 2.0, 0.0)]
+    assert [tuple(r) for r in R.unlisted_labels(df, "label", ["a"]).collect()] == [("zz", 1)]
+    twice = df.union(spark.createDataFrame([(2, "a", 7.0)], df.schema))
+    assert [tuple(r) for r in R.conflicting_cells(twice, ["k"], "label", "v").collect()] == [(2, "a", 2.0, 7.0, 3)]
+    with pytest.raises(Exception, match="different values"):
+        R.cast_wide(twice, ["k"], "label", "v").collect()
+
+
+def test_texts_survive_a_csv_round_trip(spark, tmp_path):
+    texts = [(1, 'a "quoted" word, and comma', 1.5), (2, "two\nlines", None), (3, None, 2.0), (4, "back\\slash\\", 0.0), (5, '"', 1.0)]
+    df = spark.createDataFrame(texts, "k int, t string, v double")
+    L.sink_csv(df, str(tmp_path / "out"))
+    assert sorted(map(tuple, L.scan_csv_typed(spark, str(tmp_path / "out"), df.schema).collect())) == texts
+    (tmp_path / "in.csv").write_text('k,t,v\n1,"a ""quoted"" word, and comma",1.5\n2,"",\n3,NA,NA\n')
+    assert sorted(map(tuple, L.scan_csv_typed(spark, str(tmp_path / "in.csv"), df.schema).collect())) == [texts[0], (2, None, None), (3, None, None)]
+
+
+def test_dates_that_cannot_be_read_are_missing(spark):
+    df = spark.createDataFrame([("2020-05-06",), ("ok\u00e4nt",), (None,), ("2020-13-01",)], "d string")
+    assert [tuple(r)[1:] for r in V.date_parts(df, "d").collect()] == [(date(2020, 5, 6), 2020, 5)] + [(None, None, None)] * 3
