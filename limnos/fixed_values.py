@@ -178,3 +178,12 @@ MODEL_COVARIATES = {"TN": "TNsq", "Temp": "Tsq", "Tot_P": "TPsq"}
 EFFECT_LEVELS = {"TPsq": "TP^2", "TP": "TP", "Tsq": "T^2", "T": "T", "TNsq": "TN^2", "TN": "TN"}
 SHORT_NAMES = [("Tot_P", "TP"), ("Temp", "T")]
 MODEL_LABEL_PATTERNS = [("sq", "(^2"), (r";\p{Alpha}{1,2}\(", ""), (";", " + ")]
+
+# Columns that surveys no longer need at the end.
+SURVEY_COLUMNS_DROPPED_AT_END = [
+    "sampleId", "flagCodes", "relativeLocationType", "stationId", "stationName", "stationType", "stationEUID",
+    "stationCoordinateX", "stationCoordinateY", "waterLevel", "lakeDrainage", "hydromorphImpact",
+    "inventoryTransect", "inventoryQuadrat", "insertDate", "editDate", "lastEdit", "productSum",
+    "weightFactorSum", "analysisDate", "inorgSubstrateMin", "inorgSubstrateMax", "inorgSubstrateMed",
+    "siteIdUnique",
+]

@@ -42,6 +42,7 @@ HOLDOUT_DIGITS = ["0", "1", "2", "3"]  # first digit of the hashed id: a quarter
 WALD_95 = 1.959963984540054
 STATS = ["R2", "RMSE", "MAE"]
 PARALLEL_FITS = 4
+MOST_ROUNDS = 100  # of a regression; one that needs more is an error
 INTERCEPT = "(Intercept)"
 
 Sets = Mapping[str, Sequence[str]]
@@ -123,8 +124,10 @@ def _fit_linear(rows: DataFrame, covariates: Sequence[str], offset: str = "_effo
         return LinearPart(level, {}, {INTERCEPT: 1.0 / math.sqrt(max(counted or 0.0, 0.5))})
     assembled = VectorAssembler(inputCols=list(covariates), outputCol="_features").transform(rows)
     model = GeneralizedLinearRegression(
-        family="poisson", link="log", labelCol="_y", featuresCol="_features", offsetCol=offset, maxIter=25,
+        family="poisson", link="log", labelCol="_y", featuresCol="_features", offsetCol=offset, maxIter=MOST_ROUNDS, tol=1e-9,
     ).fit(assembled)
+    if model.summary.numIterations >= MOST_ROUNDS:
+        raise RuntimeError(f"the regression on {list(covariates)} has not converged in {MOST_ROUNDS} rounds")
     errors = model.summary.coefficientStandardErrors
     return LinearPart(
         float(model.intercept),

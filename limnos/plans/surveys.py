@@ -21,13 +21,6 @@ from limnos.sources.landed import save_and_reload
 SURVEY = "sampleId"
 MINIMA = ["waterDepth", "siteCoordStartX", "siteCoordStartY", "siteCoordEndX", "siteCoordEndY"]
 METHODS = list(fixed.METHOD_FLAGS)
-DROPPED_AT_END = [
-    "sampleId", "flagCodes", "relativeLocationType", "stationId", "stationName", "stationType", "stationEUID",
-    "stationCoordinateX", "stationCoordinateY", "waterLevel", "lakeDrainage", "hydromorphImpact",
-    "inventoryTransect", "inventoryQuadrat", "insertDate", "editDate", "lastEdit", "productSum",
-    "weightFactorSum", "analysisDate", "inorgSubstrateMin", "inorgSubstrateMax", "inorgSubstrateMed",
-    "siteIdUnique",
-]
 
 
 def index_cell(indices: str, label: str) -> Column:
@@ -224,4 +217,4 @@ def community_table(samples: DataFrame, names: Sequence[str]) -> DataFrame:
     chosen, kept = community_surveys(samples)
     columns = [n for n in names if n != fixed.PLACEHOLDER_TAXON]
     joined = join_nullsafe(chosen, community_wide(kept, columns), [SURVEY], "left").na.fill(0, subset=columns)
-    return joined.drop(*DROPPED_AT_END)
+    return joined.drop(*fixed.SURVEY_COLUMNS_DROPPED_AT_END)

@@ -110,6 +110,12 @@ def columns_equal(spark, sf):
     return N.unequal_rows(valued, "observationId", "val_observationId")
 
 
+@query("columns_unequal", "SELECT count_if(l_linenumber IS DISTINCT FROM CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS INTEGER) END) AS n_unequal FROM lineitem")
+def columns_unequal(spark, sf):
+    df = table(spark, sf, "lineitem").selectExpr("l_linenumber", "CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS INT) END AS other")
+    return N.unequal_rows(df, "l_linenumber", "other")
+
+
 @query("nested_sizes", f"WITH lab AS ({LAB.sql}) SELECT sampleId, CASE WHEN empty THEN 0 WHEN warm THEN 2 ELSE 1 END AS observations_n FROM lab")
 def nested_sizes(spark, sf):
     return N.nested_sizes(lab_samples(spark, sf), ["observations"]).select("sampleId", "observations_n")

@@ -1,6 +1,7 @@
 """Operators on hand-made rows, one test per rule that is easy to get wrong."""
 
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from limnos.operators import quantiles as Q
 from limnos.operators import reshape as R
 from limnos.operators import sets as S
 from limnos.plans.laboratory import alk_acid_rule
+from limnos.session import shared_folder
 from limnos.sources import landed as L
 
 
@@ -253,3 +255,10 @@ def test_texts_survive_a_csv_round_trip(spark, tmp_path):
 def test_dates_that_cannot_be_read_are_missing(spark):
     df = spark.createDataFrame([("2020-05-06",), ("ok\u00e4nt",), (None,), ("2020-13-01",)], "d string")
     assert [tuple(r)[1:] for r in V.date_parts(df, "d").collect()] == [(date(2020, 5, 6), 2020, 5)] + [(None, None, None)] * 3
+
+
+def test_a_cluster_needs_a_shared_folder():
+    conf = SimpleNamespace(get=lambda name, default=None: default)
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId="x")))
