@@ -10,19 +10,17 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
-
-import numpy as np
+from typing import Any
 
 # Unicode's White_Space, which the tokenizer's own splitting goes by.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 # Letters and punctuation that the tokenizer keeps in one run each; other pieces take the library's whole way.
 PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
-GENERATION = 300_000  # distinct pieces in one of the two generations that a worker remembers
+GENERATION = 400_000  # distinct pieces in one of the two generations that a worker remembers
 LONGEST_KEPT = 64  # longer pieces are rarely met again
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[str, Any] = {}
 
 
 def _byte_letters() -> dict[int, int]:
@@ -41,48 +39,47 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
+        self.known = Pieces(self.tokenizer)
+
+    def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
+        """For each text its ids and the end id, as little-endian unsigned 32-bit integers; null is an empty text."""
+        end, find = int(end_id).to_bytes(4, "little"), self.known.__getitem__
+        out = []
+        for text in texts:
+            out.append(b"".join(map(find, PIECES.findall(text))) + end if text else end)
+            if len(self.known) > GENERATION:
+                self.known.turn()
+        return out
+
+
+class Pieces(dict[str, bytes]):
+    """Ids of pieces, found by the library when they are first asked for."""
+
+    def __init__(self, tokenizer: Any) -> None:
+        super().__init__()
+        self.tokenizer, self.merge = tokenizer, tokenizer.model.tokenize
         self.letters = _byte_letters()
-        self.recent: dict[str, bytes] = {}
+        self.codes = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
         self.older: dict[str, bytes] = {}
 
-    def _run(self, run: str) -> bytes:
-        """Ids of a run that the tokenizer doesn't split before merging."""
-        known = self.recent.get(run)
-        if known is None:
-            merged = self.model.tokenize(run.encode().decode("latin-1").translate(self.letters))
-            known = self.recent[run] = b"".join([t.id.to_bytes(4, "little") for t in merged])
-        return known
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        others = []
-        for piece in pieces:
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
             plain = PLAIN.fullmatch(piece)
             if plain is None:
-                others.append(piece)
-            elif not plain[2]:
-                self._run(piece)
-            else:
-                self.recent[piece] = self._run(plain[1]) + self._run(plain[2])
-        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-        for piece, e in zip(others, encoded):
-            self.recent[piece] = np.asarray(e.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str | None], end_id: int) -> list[bytes]:
-        """For each text its ids and the end id, as little-endian unsigned 32-bit integers; null is an empty text."""
-        split = [PIECES.findall(t) if t else [] for t in texts]
-        new = set().union(*split).difference(self.recent)
-        for piece in new.intersection(self.older):
-            self.recent[piece] = self.older[piece]
-        self._learn(new.difference(self.older))
-        end = int(end_id).to_bytes(4, "little")
-        out = [b"".join(map(self.recent.__getitem__, pieces)) + end for pieces in split]
-        for piece in new:
-            if len(piece) > LONGEST_KEPT:
-                del self.recent[piece]
-        if len(self.recent) > GENERATION:
-            self.recent, self.older = {}, self.recent
-        return out
+                ids = b"".join([self.codes[i] for i in self.tokenizer.encode(piece, add_special_tokens=False).ids])
+            elif plain[2]:
+                ids = self[plain[1]] + self[plain[2]]
+            else:  # a run that the tokenizer doesn't split before merging
+                ids = b"".join([self.codes[t.id] for t in self.merge(piece.encode().decode("latin-1").translate(self.letters))])
+        if len(piece) <= LONGEST_KEPT:
+            self[piece] = ids
+        return ids
+
+    def turn(self) -> None:
+        """A new generation; the one before the last is forgotten."""
+        self.older = dict(self)
+        self.clear()
 
 
 def encoder(path: str) -> Encoder:
