@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from limnos.session import new_path
 
-SLICE_ROWS = 2000  # rows that a task holds as Python objects at once
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+SLICE_ROWS = 1000  # rows that a task holds as Python objects at once
 
 
 _SHIPPED: set[str] = set()
@@ -35,11 +36,17 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def on_workers(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """A query or stage, whose first argument is the session, with the package at its workers."""
+    """A query or stage, whose first argument is the session, with the package at its workers.
+
+    Rows are whole texts, so Arrow batches are made of fewer rows than is usual for numbers; a session that has set
+    their size itself keeps it.
+    """
 
     @wraps(run)
     def shipped(spark: SparkSession, *rest: object) -> DataFrame:
         ship_package(spark)
+        if spark.conf.get(ARROW_ROWS) == "10000":
+            spark.conf.set(ARROW_ROWS, "1000")
         return run(spark, *rest)
 
     return shipped

@@ -17,7 +17,7 @@ WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 # Letters and punctuation that the tokenizer keeps in one run each; other pieces take the library's whole way.
 PLAIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-/:-@\\[-`{-~]*)")
-GENERATION = 400_000  # distinct pieces in one of the two generations that a worker remembers
+GENERATION = 200_000  # distinct pieces in one of the two generations that a worker remembers
 LONGEST_KEPT = 64  # longer pieces are rarely met again
 
 _ENCODERS: dict[str, Any] = {}

@@ -2,10 +2,18 @@
 
 import pytest
 
+from limnos.llm.shared import ship_package
+
 SF = "/root/testdata/sf0.001"
 CLASHING = ["spans", "score", "component_id", "start", "words", "root", "key", "label", "positive", "length", "rank", "host", "path"]
 
 
+@pytest.fixture(scope="session", autouse=True)
+def workers(spark):
+    """The package at the workers, wherever the tests are started."""
+    ship_package(spark)
+
+
 @pytest.fixture(scope="session")
 def documents(spark):
     """The given documents, unread columns left out."""
