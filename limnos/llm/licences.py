@@ -1,10 +1,16 @@
-"""License scans: a trained paragraph classifier, confirmed by comparison with templates.
+"""License scans: a trained paragraph classifier, and comparison with templates.
 
-Paragraphs (lines) become sets of word n-grams, hashed to a sparse vector; a multinomial logistic regression with an
-L1 penalty tells licence families from each other and from paragraphs that are no licence. It is trained on the
-labelled paragraphs below, with at most BACKGROUND paragraphs of the corpus as the unknown class. Half of these are
-kept from the fit to calibrate: a family counts only above the probability that CALIBRATION of them stay below.
-Predicted paragraphs are then compared with the templates of their family.
+A line is a paragraph; a line of more than WINDOW words is cut into overlapping windows, which are all scored. As notices
+are often wrapped, each line is also read on into the lines after it, up to the next line without words: its last OVERLAP
+words and the OVERLAP words that follow. No template is longer than that.
+
+Paragraphs become sets of word n-grams, hashed to a sparse vector; a multinomial logistic regression with an L1 penalty
+tells licence families from each other and from paragraphs that are no licence. It is trained on the labelled paragraphs
+below, with at most BACKGROUND different lines of the corpus as the unknown class, each counting once however often it
+occurs. Lines of the corpus fall into two halves: one is for the fit, all different paragraphs of the other calibrate: a
+family counts only above the probability that CALIBRATION of them stay below. Paragraphs at or above it are compared with
+the templates of their family. All others are compared with every template too, so that a notice that is in the list is
+confirmed whatever the classifier says.
 
 Everything runs on columns: SQL functions, and the vector and regression stages of the Spark ML library. Null and
 empty texts have no paragraphs. Rows without an id and repeated rows are scanned like others. A corpus without
@@ -13,22 +19,25 @@ paragraphs is scanned with the labelled ones alone.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import HashingTF, NGram
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from limnos.llm.shared import id_and_text, saved
 
 GRAMS = (1, 2, 3)
-BUCKETS = 1 << 12
-BACKGROUND = 4000  # most paragraphs of the corpus that the fit and the calibration see
+BUCKETS = 1 << 14
+WINDOW, OVERLAP = 128, 64  # words
+BACKGROUND = 4000  # most different lines of the corpus that the fit sees
 CALIBRATION = 0.999
 LEAST_PROBABILITY = 0.5
 SIMILARITY = 0.6  # least share of a template's n-grams that a paragraph must hold
+RUNS = 1 / 3  # least share of its longest n-grams, where the classifier does not back the comparison
 UNKNOWN = "unknown"
 
 # Texts of licences by family; a paragraph is confirmed by one of them.
@@ -109,75 +118,186 @@ class Scanner:
     least_probability: float
 
 
+WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
+# Words that tell nothing of licences; an n-gram with any other word is telling.
+COMMON = frozenset("a above all an and any are as at be been by following for free from have in into is it law may no not of on or part person published shall should that the this to under use via whom with without work you".split())
+
+
 def words(paragraph: Column) -> Column:
-    return F.regexp_extract_all(F.lower(paragraph), F.lit(r"[a-z0-9]+(?:\.[0-9]+)*"), F.lit(0))
+    return F.regexp_extract_all(F.lower(paragraph), F.lit(WORD), F.lit(0))
 
 
-def grams(words_column: str) -> Column:
-    """All n-grams of an array of words; an array shorter than n has none of that length."""
-    of = lambda n: F.when(F.size(words_column) >= n, F.transform(F.sequence(F.lit(1), F.size(words_column) - (n - 1)), lambda i: F.array_join(F.slice(words_column, i, n), " "))).otherwise(F.array().cast("array<string>"))
-    return F.concat(*[F.col(words_column) if n == 1 else of(n) for n in GRAMS])
+def _with_grams(df: DataFrame) -> DataFrame:
+    """``df`` with all n-grams of its words; fewer words than n have none of that length."""
+    for n in GRAMS[1:]:
+        df = NGram(n=n, inputCol="words", outputCol=f"grams{n}").transform(df)
+    longer = [f"grams{n}" for n in GRAMS[1:]]
+    return df.select("*", F.explode(F.array(F.concat("words", *longer))).alias("grams")).drop(*longer)  # a generator: nothing is computed anew
 
 
-def paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, paragraph, words): the lines of each whole text that hold a word, numbered from 0.
+def needed_words(share: float) -> list[str]:
+    """Words of which a text must hold at least one to hold ``share`` of any template's telling n-grams."""
+    needed: set[str] = set()
+    for template in (t for texts in TEMPLATES.values() for t in texts):
+        own = re.findall(WORD, template.lower())
+        all_grams = {g for n in GRAMS for i in range(len(own) - n + 1) if not COMMON.issuperset(g := tuple(own[i : i + n]))}
+        left = {g for g in all_grams if needed.isdisjoint(g)}
+        while len(left) >= share * len(all_grams):
+            needed.add(max({w for g in left for w in g}, key=lambda w: (w not in COMMON, sum(w in g for g in left), w)))
+            left = {g for g in left if needed.isdisjoint(g)}
+    return sorted(needed)
 
-    Words come out of the generator, so that no later filter computes them anew.
-    """
+
+def _holds_needed(share: float) -> Column:
+    needed = needed_words(share)
+    return F.exists("words", lambda w: w.isin(needed))
+
+
+def _windows(words_column: Column) -> Column:
+    """All windows of WINDOW words, each beginning OVERLAP before the end of the one before it; a short line is one."""
+    size = F.size(words_column)
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), size - OVERLAP), F.lit(WINDOW - OVERLAP))
+    return F.when(size <= WINDOW, F.array(words_column)).otherwise(F.transform(starts, lambda i: F.slice(words_column, i, WINDOW)))
+
+
+def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, row, paragraph, line, lines): the words of each line that has any, with those of all lines of its text."""
     lines = F.transform(F.split("text", "\n"), words)
-    return id_and_text(docs, id_column, text_column).select("doc_id", F.posexplode(lines).alias("paragraph", "words")).where(F.size("words") > 0)
+    texts = id_and_text(docs, id_column, text_column).select("doc_id", F.monotonically_increasing_id().alias("row"), F.explode(F.array(lines)).alias("lines"))
+    return texts.select("doc_id", "row", "lines", F.posexplode("lines").alias("paragraph", "line")).where(F.size("line") > 0)
+
+
+def paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, row, paragraph, words): the windows of all lines that hold a word; lines are numbered from 0."""
+    return _lines(docs, id_column, text_column).select("doc_id", "row", "paragraph", F.explode(_windows(F.col("line"))).alias("words"))
+
+
+def _read_on(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, row, paragraph, words, own, after): the end of each line, and what follows up to a line without words."""
+    after = F.slice("lines", F.col("paragraph") + 2, OVERLAP)
+    stop = F.array_position(F.transform(after, F.size), 0).cast("int")
+    after = F.slice(F.flatten(F.when(stop > 0, F.slice(after, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(after)), 1, OVERLAP)
+    own = F.slice("line", F.greatest(F.size("line") - OVERLAP, F.lit(0)) + 1, OVERLAP)
+    both = _lines(docs, id_column, text_column).select("doc_id", "row", "paragraph", F.inline(F.array(F.struct(own.alias("own"), after.alias("after")))))
+    return both.where(F.size("after") > 0).select("*", F.explode(F.array(F.concat("own", "after"))).alias("words"))
 
 
 def templates(spark: SparkSession) -> DataFrame:
-    """(family, template, template_grams): a table of fixed size."""
+    """(family, template, and its n-grams: all, the longest ones, and the telling ones): a table of fixed size."""
     rows = spark.createDataFrame([(f, t) for f, texts in TEMPLATES.items() for t in texts], "family string, template string")
-    return rows.withColumn("words", words(F.col("template"))).select("family", "template", F.array_distinct(grams("words")).alias("template_grams"))
+    grams = _with_grams(rows.withColumn("words", words(F.col("template")))).withColumn("grams", F.array_distinct("grams"))
+    length = F.least(F.lit(GRAMS[-1]), F.size("words"))
+    telling = F.filter("grams", lambda g: F.exists(F.split(g, " "), lambda w: ~w.isin(sorted(COMMON))))
+    runs = F.filter("grams", lambda g: F.size(F.split(g, " ")) == length)
+    return saved(grams.select("family", "template", F.col("grams").alias("template_grams"), runs.alias("template_runs"), telling.alias("template_telling")).coalesce(1), "licence-templates")
+
+
+def _known(spark: SparkSession) -> DataFrame:
+    """All templates as one row with one array."""
+    return templates(spark).agg(F.collect_list(F.struct("family", "template", "template_grams", "template_runs", "template_telling")).alias("known"))
+
 
+def _share(of: Column, grams_column: str | Column = "grams") -> Column:
+    return F.size(F.array_intersect(grams_column, of)) / F.size(of)
 
-def _vectors(df: DataFrame) -> DataFrame:
-    return HashingTF(numFeatures=BUCKETS, binary=True, inputCol="grams", outputCol="features").transform(df.select("*", F.explode(F.array(grams("words"))).alias("grams")))
+
+def _certain(telling: Column, runs: Column) -> Column:
+    """What a paragraph must hold besides, where no prediction backs the comparison: scattered or common words will not do."""
+    return (_share(telling) >= SIMILARITY) & (_share(runs) >= RUNS)
+
+
+def _vectors(with_grams: DataFrame) -> DataFrame:
+    return HashingTF(numFeatures=BUCKETS, binary=True, inputCol="grams", outputCol="features").transform(with_grams)
+
+
+def _not_near(with_grams: DataFrame) -> DataFrame:
+    """Without paragraphs that are near a template: they have no place in the unknown class."""
+    near = F.exists("known", lambda t: _share(t["template_telling"]) >= SIMILARITY / 2)
+    return with_grams.crossJoin(F.broadcast(_known(with_grams.sparkSession))).where(~F.when(_holds_needed(SIMILARITY / 2), near).otherwise(F.lit(False))).drop("known")
+
+
+def background(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(words, weight): BACKGROUND different lines of the first half, or all if there are fewer.
+
+    A line's place in the order is by its hash; only hashes are shuffled. The windows of a line share its weight of 1.
+    """
+    lines = id_and_text(docs, id_column, text_column).select(F.explode(F.split("text", "\n")).alias("line")).where(F.lower("line").rlike("[a-z0-9]"))
+    hashed = lines.select("line", F.xxhash64(F.lower("line")).alias("hash")).where(F.pmod("hash", F.lit(2)) == 0)
+    drawn = saved(hashed.select("hash").distinct().orderBy("hash").limit(BACKGROUND), "licence-drawn")  # of fixed size
+    chosen = hashed.join(F.broadcast(drawn), "hash", "left_semi").groupBy("hash").agg(F.min("line").alias("line"))
+    cut = chosen.select(F.explode(F.array(_windows(words(F.col("line"))))).alias("cut"))
+    return cut.select(F.explode("cut").alias("words"), (F.lit(1.0) / F.size("cut")).alias("weight"))
 
 
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Scanner:
-    """Train on the labelled paragraphs and a bounded background, and calibrate on the other half of that."""
+    """Train on the labelled paragraphs and a bounded background of one half, calibrate on all of the other half."""
     spark = docs.sparkSession
     families = [UNKNOWN, *TEMPLATES]
     given = [(t, float(families.index(f))) for f, texts in TEMPLATES.items() for t in texts] + [(t, 0.0) for t in NO_LICENCE]
-    labelled = spark.createDataFrame(given, "line string, label double").select(words(F.col("line")).alias("words"), "label")
-    order = [F.xxhash64("words"), F.col("words")]
-    sample = saved(paragraphs(docs, id_column, text_column).select("words").orderBy(*order).limit(BACKGROUND), "licence-background")
-    # background that is itself near a template has no place in the unknown class
-    own = sample.distinct().select("words", F.explode(F.array_distinct(grams("words"))).alias("gram"))
-    known = templates(spark).select("template", F.size("template_grams").alias("n"), F.explode("template_grams").alias("gram"))  # of fixed size
-    near = (own.join(F.broadcast(known), "gram").groupBy("words", "template", "n").count().where(F.col("count") >= SIMILARITY / 2 * F.col("n")).select("words").distinct())
-    background = saved(sample.distinct().join(near, "words", "left_anti"), "licence-background")
-    half = F.pmod(F.xxhash64("words", F.lit(1)), F.lit(2))
-    training = labelled.withColumn("weight", F.lit(20.0)).unionByName(background.where(half == 0).select("words", F.lit(0.0).alias("label"), F.lit(1.0).alias("weight")))
-    model = LogisticRegression(family="multinomial", weightCol="weight", regParam=2e-4, elasticNetParam=0.9, maxIter=40).fit(_vectors(training.coalesce(1)))
-    held = _with_family(model, families, _vectors(background.where(half == 1)))
-    above = held.agg(F.percentile_approx("best", CALIBRATION, 10000)).first()[0]
+    labelled = spark.createDataFrame(given, "line string, label double").select(words(F.col("line")).alias("words"), "label", F.lit(20.0).alias("weight"))
+    unknown = saved(_not_near(_with_grams(background(docs, id_column, text_column))).select("words", F.lit(0.0).alias("label"), "weight"), "licence-background")
+    model = LogisticRegression(family="multinomial", weightCol="weight", regParam=2e-4, elasticNetParam=0.9, maxIter=40).fit(_vectors(_with_grams(labelled.unionByName(unknown).coalesce(1))))
+    lines = id_and_text(docs, id_column, text_column).select(F.explode(F.split("text", "\n")).alias("line")).where(F.pmod(F.xxhash64(F.lower("line")), F.lit(2)) == 1)
+    held = lines.select(F.explode(F.array(words(F.col("line")))).alias("line")).where(F.size("line") > 0).select(F.explode(_windows(F.col("line"))).alias("words"))
+    scored = _with_family(model, families, _vectors(_not_near(_with_grams(held)))).groupBy(F.xxhash64("words").alias("hash")).agg(F.max("best").alias("best"))
+    above = scored.agg(F.percentile_approx("best", CALIBRATION, 100_000)).first()[0]
     return Scanner(model, families, max(LEAST_PROBABILITY, above or 0.0))
 
 
 def _with_family(model: LogisticRegressionModel, families: list[str], vectors: DataFrame) -> DataFrame:
-    """The likeliest licence family and its probability ``best``."""
-    likely = vector_to_array("probability")
-    licences = F.slice(likely, 2, len(families) - 1)
-    best = F.array_max(licences)
-    return model.transform(vectors).withColumn("best", best).withColumn("family", F.element_at(F.array(*map(F.lit, families[1:])), F.array_position(licences, F.col("best")).cast("int")))
+    """The likeliest licence family, its probability ``best``, and those of all families as ``licences``."""
+    licences = F.slice(vector_to_array("probability"), 2, len(families) - 1)
+    found = model.transform(vectors).drop("features", "rawPrediction", "prediction").select("*", F.explode(F.array(licences)).alias("licences")).drop("probability")
+    found = found.withColumn("best", F.array_max("licences"))
+    return found.withColumn("family", F.element_at(F.array(*map(F.lit, families[1:])), F.array_position("licences", F.col("best")).cast("int")))
+
+
+def _probability(families: list[str], family: Column) -> Column:
+    return F.element_at("licences", F.array_position(F.array(*map(F.lit, families[1:])), family).cast("int"))
+
+
+def _by_line(docs: DataFrame, scanner: Scanner, id_column: str, text_column: str) -> DataFrame:
+    """Lines that are predicted or confirmed, one row each."""
+    scored = _with_family(scanner.model, scanner.families, _vectors(_with_grams(paragraphs(docs, id_column, text_column))))
+    scored = scored.withColumn("predicted", F.col("best") >= scanner.least_probability).where(F.col("predicted") | _holds_needed(SIMILARITY))
+    shares = F.transform("known", lambda t: F.struct(_share(t["template_grams"]).alias("similarity"), (t["family"] == F.col("family")).alias("same"), t["family"].alias("family"),
+                                                     t["template"].alias("template"), t["template_runs"].alias("runs"), t["template_telling"].alias("telling")))
+    shares = scored.crossJoin(F.broadcast(_known(docs.sparkSession))).select("*", F.explode(F.array(shares)).alias("shares")).drop("known")
+    sure = lambda t: (t["similarity"] >= SIMILARITY) & ((F.col("predicted") & t["same"]) | _certain(t["telling"], t["runs"]))
+    confirmed, own = F.array_max(F.filter("shares", sure)), F.array_max(F.filter("shares", lambda t: t["same"]))
+    nearest = shares.select("*", F.explode(F.array(F.struct(confirmed.isNotNull().alias("confirmed"), F.coalesce(confirmed, own).alias("t")))).alias("nearest"))
+    rows = nearest.where(F.col("nearest.confirmed") | F.col("predicted")).select(
+        "doc_id", "row", "paragraph", F.struct("nearest.confirmed", F.col("nearest.t.similarity"), _probability(scanner.families, F.col("nearest.t.family")).alias("probability"),
+                                        F.col("nearest.t.family"), F.col("nearest.t.template")).alias("found"))
+    return rows.groupBy("row", "paragraph").agg(F.first("doc_id").alias("doc_id"), F.max("found").alias("found"))
+
+
+def _wrapped(docs: DataFrame, scanner: Scanner, id_column: str, text_column: str) -> DataFrame:
+    """Templates that are confirmed only where lines are read on, at the line where they begin.
+
+    The line alone and what follows alone must each hold fewer of the template's longest n-grams. Of the readings of a
+    template that begin at neighbouring lines the best one stays, the first of equal ones.
+    """
+    read = _with_grams(_read_on(docs, id_column, text_column).where(_holds_needed(SIMILARITY)))
+    grams = read.crossJoin(F.broadcast(templates(docs.sparkSession))).where((_share(F.col("template_grams")) >= SIMILARITY) & _certain(F.col("template_telling"), F.col("template_runs"))).withColumn("similarity", _share(F.col("template_grams")))
+    for part in ("own", "after"):
+        alone = _with_grams(grams.withColumnsRenamed({"words": "¶words", "grams": "¶grams"}).withColumn("words", F.col(part)))
+        grams = alone.where(_share(F.col("template_runs")) < _share(F.col("template_runs"), "¶grams")).drop("words", "grams").withColumnsRenamed({"¶words": "words", "¶grams": "grams"})
+    scored = _with_family(scanner.model, scanner.families, _vectors(grams.withColumnRenamed("family", "of"))).select(
+        "doc_id", "row", "paragraph", "similarity", _probability(scanner.families, F.col("of")).alias("probability"), F.col("of").alias("family"), "template")
+    order = Window.partitionBy("row", "template").orderBy("paragraph")
+    near = lambda f: F.coalesce(F.abs(f("paragraph").over(order) - F.col("paragraph")) <= 1, F.lit(False))
+    worse = (near(F.lag) & (F.lag("similarity").over(order) >= F.col("similarity"))) | (near(F.lead) & (F.lead("similarity").over(order) > F.col("similarity")))
+    return scored.withColumn("worse", worse).where(~F.col("worse")).select(
+        "doc_id", "paragraph", F.struct(F.lit(True).alias("confirmed"), "similarity", "probability", "family", "template").alias("found"))
 
 
 def scan(docs: DataFrame, scanner: Scanner, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row for each paragraph that is predicted to be of a licence family.
+    """One row for each line that is predicted to be of a licence family, or that holds or begins a confirmed notice.
 
-    doc_id, paragraph, family, probability, template and similarity of the nearest template of that family, and
-    confirmed: the similarity is SIMILARITY or more.
+    doc_id, paragraph (the line's number), family, its probability, template and similarity of the nearest template of
+    that family, and confirmed: the similarity is SIMILARITY or more.
     """
-    found = _with_family(scanner.model, scanner.families, _vectors(paragraphs(docs, id_column, text_column))).where(F.col("best") >= scanner.least_probability)
-    by_family = templates(docs.sparkSession).groupBy("family").agg(F.collect_list(F.struct("template", "template_grams")).alias("known"))
-    compared = found.select("doc_id", "paragraph", "family", F.col("best").alias("probability"), "grams").join(F.broadcast(by_family), "family")
-    share = lambda t: F.size(F.array_intersect("grams", t["template_grams"])) / F.size(t["template_grams"])
-    nearest = F.array_max(F.transform("known", lambda t: F.struct(share(t).alias("similarity"), t["template"].alias("template"))))
-    return compared.withColumn("nearest", nearest).select(
-        "doc_id", F.col("paragraph").cast("bigint").alias("paragraph"), "family", "probability", F.col("nearest.template").alias("template"),
-        F.col("nearest.similarity").alias("similarity"), (F.col("nearest.similarity") >= SIMILARITY).alias("confirmed"))
+    columns = ["doc_id", "paragraph", "found"]
+    rows = _by_line(docs, scanner, id_column, text_column).select(columns).union(_wrapped(docs, scanner, id_column, text_column).select(columns))
+    return rows.select("doc_id", F.col("paragraph").cast("bigint").alias("paragraph"), *[f"found.{c}" for c in ("family", "probability", "template", "similarity", "confirmed")])

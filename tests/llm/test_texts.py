@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import textwrap
 from collections import Counter
 from zlib import crc32
 
@@ -71,6 +72,33 @@ def test_licences_are_found_and_confirmed(edges, nothing, documents):
     assert licences.fit(nothing).least_probability == licences.LEAST_PROBABILITY
 
 
+def test_repeated_lines_do_not_fill_the_licence_background(spark, monkeypatch):
+    monkeypatch.setattr(licences, "BACKGROUND", 40)
+    lines = [f"plain line of number {i} about the harbour" for i in range(200)]
+    copies = [(i, "\n".join([f"copied line {k} of the footer" for k in range(40)])) for i in range(300)]
+    docs = spark.createDataFrame([*copies, *((1000 + i, x) for i, x in enumerate(lines))], "doc_id bigint, text string")
+    drawn = licences.background(docs).collect()
+    assert len(drawn) == 40 == len({tuple(r.words) for r in drawn}) and sum(r.words[0] == "plain" for r in drawn) > 20
+
+
+def test_licences_below_the_threshold_are_confirmed(spark, documents):
+    never = licences.Scanner(licences.fit(documents).model, [licences.UNKNOWN, *licences.TEMPLATES], 1.1)
+    docs = spark.createDataFrame([(1, "All rights reserved."), (2, "all of the rights that a king reserved"), (2, "All rights reserved."), (2, "All rights reserved.")], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.family, r.confirmed) for r in licences.scan(docs, never).collect()) == [(1, "Proprietary", True), (2, "Proprietary", True), (2, "Proprietary", True)]
+
+
+def test_wrapped_and_buried_licences_are_confirmed(spark, documents):
+    scanner = licences.fit(documents)
+    notices = [(family, t) for family in ("MIT", "BSD", "GPL", "Apache-2.0") for t in licences.TEMPLATES[family] if len(t) > 120]
+    filler = "the quiet river ran past old stone houses near our village and nobody spoke about it " * 150
+    rows = [(i, "/*\n * A file about rivers\n *\n" + "\n".join(" * " + x for x in textwrap.wrap(t, 66)) + "\n */\nint x;") for i, (_, t) in enumerate(notices)]
+    rows += [(100 + i, filler + t + " " + filler) for i, (_, t) in enumerate(notices)]
+    found = licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string"), scanner).where("confirmed").collect()
+    assert {(i, 3, *n) for i, n in enumerate(notices)} <= {(r.doc_id, r.paragraph, r.family, r.template) for r in found}
+    assert {(r.doc_id, r.paragraph, r.family) for r in found if r.doc_id >= 100} == {(100 + i, 0, family) for i, (family, _) in enumerate(notices)}
+    assert len([r for r in found if r.doc_id >= 100]) == len(notices)
+
+
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     scores = queries.op3_quality(spark, sf)
