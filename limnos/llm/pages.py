@@ -7,8 +7,10 @@ order. Every page is then read again: the container on its host's winning path g
 container falls back to its own best one. Null html is empty and has no text.
 
 Text inside a block has each run of white space turned into one space and is trimmed; blocks are joined by one space.
-Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments are left out wherever
-they stand, by their tag, role, class or id; a heading group inside the article is part of it.
+Menus, headers, footers, forms, scripts, styles and what is hidden are left out wherever they stand, by their tag or
+role; a heading group inside the article is part of it. An element whose class or id names a sidebar, a notice, adverts,
+reader comments or the like is left out if it holds at most LITTLE of the page's text outside links; headings and articles
+never are. A class or id that only has such a word in it lowers its container's score by LOWERED.
 """
 
 from __future__ import annotations
@@ -23,10 +25,12 @@ from pyspark.sql import functions as F
 from limnos.llm.shared import map_slices, quoted
 from limnos.llm.urls import split_url
 
+_INSIDE = r"(?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+"  # of a tag: only a well-formed quoted value can hold >
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(script|style|noscript|template|textarea|select|svg|math|iframe|object|title|canvas|video|audio)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    rf"|<(?:svg|math)\b{_INSIDE}(?<=/)>"
+    rf"|<(script|style|noscript|template|textarea|select|svg|math|iframe|object|title|canvas|video|audio)\b{_INSIDE}>.*?(?:</\1\s*>|\Z)"
+    rf"|<(/?)([A-Za-z][A-Za-z0-9:-]*)({_INSIDE})(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
 ATTRIBUTE = re.compile(r"([A-Za-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -42,6 +46,9 @@ LEFT_OUT_NAMES = frozenset(
     "breadcrumbs header masthead footer sidebar side aside widget widgets cookie cookies consent notice notices gdpr popup modal "
     "newsletter subscribe subscription signup login share sharing social comment comments disqus respond replies reply related recommended "
     "pagination pager toolbar toc skip copyright legal".split())
+BLOCK_WORDS = frozenset("area bar block box container content inner list main outer section top bottom left right wrap wrapper".split())  # beside a name they change nothing
+NEVER_NAMED = frozenset("html body main article h1 h2 h3 h4 h5 h6".split())
+LITTLE, LOWERED = 0.25, 0.5
 CLOSED_BY = {  # an opening tag that ends an open one of these
     "p": frozenset("p".split()), "li": frozenset("li".split()), "dt": frozenset("dt dd".split()), "dd": frozenset("dt dd".split()),
     "tr": frozenset("tr td th".split()), "td": frozenset("td th".split()), "th": frozenset("td th".split()), "option": frozenset("option".split()),
@@ -53,10 +60,10 @@ NAME_PARTS = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
 class Block:
     """A run of text between block boundaries, with what stands around it."""
 
-    __slots__ = ("text", "linked", "path")
+    __slots__ = ("text", "linked", "path", "named")
 
-    def __init__(self, text: str, linked: int, path: tuple) -> None:
-        self.text, self.linked, self.path = text, linked, path
+    def __init__(self, text: str, linked: int, path: tuple, named: tuple = ()) -> None:
+        self.text, self.linked, self.path, self.named = text, linked, path, named
 
 
 def _generalised(tag: str, attributes: dict[str, str]) -> str:
@@ -68,18 +75,28 @@ def _generalised(tag: str, attributes: dict[str, str]) -> str:
 def _is_left_out(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
     if tag in LEFT_OUT_TAGS:
         return not (tag == "header" and inside_article and not attributes)
-    if tag in ("html", "body", "main", "article") and attributes.get("role") not in LEFT_OUT_ROLES and tag != "article":
+    if tag in ("html", "body", "main") and attributes.get("role") not in LEFT_OUT_ROLES:
         return False
-    names = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", attributes.get("class", "") + " " + attributes.get("id", "")).lower()
     return (attributes.get("role", "").lower() in LEFT_OUT_ROLES or "hidden" in attributes.get(" bare", "").split() or attributes.get("aria-hidden") == "true"
-            or bool(re.search(r"display\s*:\s*none", attributes.get("style", ""))) or not LEFT_OUT_NAMES.isdisjoint(re.split(r"[^a-z]+", names)))
+            or bool(re.search(r"display\s*:\s*none", attributes.get("style", ""))))
+
+
+def _named(tag: str, attributes: dict[str, str]) -> tuple[bool, bool]:
+    """Whether a class or id names a block that is not main text, and whether one has such a word in it."""
+    if tag in NEVER_NAMED or not attributes:
+        return False, False
+    tokens = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", attributes.get("class", "") + " " + attributes.get("id", "")).lower().split()
+    parts = [{p for p in re.split(r"[^a-z]+", t) if p} for t in tokens]
+    some = [p for p in parts if not LEFT_OUT_NAMES.isdisjoint(p)]
+    return any(p <= LEFT_OUT_NAMES | BLOCK_WORDS for p in some), bool(some)
 
 
 def read_blocks(html: str) -> list[Block]:
     """Blocks with text outside of what is left out; a block's path is its open containers, each numbered in the page."""
     blocks: list[Block] = []
-    stack: list[tuple[str, bool, tuple | None]] = []  # tag, whether left out, container
+    stack: list[tuple[str, bool, tuple | None, bool]] = []  # tag, whether left out, container, whether named
     path: tuple = ()
+    named: tuple = ()  # numbers of the open named elements
     left_out = links = 0
     parts: list[str] = []
     linked = number = at = 0
@@ -89,14 +106,17 @@ def read_blocks(html: str) -> list[Block]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                blocks.append(Block(text, linked, path))
+                blocks.append(Block(text, linked, path, named))
             parts.clear()
             linked = 0
 
     def close(tag: str) -> None:
-        nonlocal left_out, links, path
+        nonlocal left_out, links, path, named
         while stack:
-            name, out, container = stack.pop()
+            name, out, container, has_name = stack.pop()
+            if has_name:
+                end_block()
+                named = named[:-1]
             left_out -= out
             links -= name == "a"
             if container is not None:
@@ -124,7 +144,7 @@ def read_blocks(html: str) -> list[Block]:
             continue
         closed = CLOSED_BY.get(tag)
         if closed or tag not in INLINE:
-            for name, _, _ in reversed(stack):
+            for name, *_ in reversed(stack):
                 if name in SECTIONING:
                     break
                 if closed and name in closed or name == "p":  # a block ends an open paragraph and what is open in it
@@ -135,18 +155,27 @@ def read_blocks(html: str) -> list[Block]:
             attributes = {a[1].lower(): a[2] if a[2] is not None else a[3] if a[3] is not None else a[4] for a in ATTRIBUTE.finditer(m[4])}
             attributes[" bare"] = ATTRIBUTE.sub(" ", m[4]).lower()
         out = _is_left_out(tag, attributes, any(s[0] == "article" for s in stack))
+        has_name, has_word = _named(tag, attributes)
         container = None
+        if has_name:
+            end_block()
+            number += 1
+            named = (*named, number)
         if tag in CONTAINERS:
             number += 1
-            container = (_generalised(tag, attributes), number)
+            container = (_generalised(tag, attributes), number, has_word)
             path = (*path, container)
-        stack.append((tag, out, container))
+        stack.append((tag, out, container, has_name))
         left_out += out
         links += tag == "a"
     if not left_out and at < len(html):
         parts.append(html[at:])
     end_block()
-    return blocks
+    held: dict[int, int] = {0: 0}  # text outside links of the page, at 0, and of each named element
+    for b in blocks:
+        for n in (0, *b.named):
+            held[n] = held.get(n, 0) + max(0, len(b.text) - b.linked)
+    return [b for b in blocks if all(held[n] > LITTLE * held[0] for n in b.named)]
 
 
 def scored(blocks: list[Block]) -> dict[tuple, float]:
@@ -157,16 +186,16 @@ def scored(blocks: list[Block]) -> dict[tuple, float]:
         for k in range(len(b.path)):
             # text counts fully for the nearest container and less for each one around it
             scores[b.path[: len(b.path) - k]] = scores.get(b.path[: len(b.path) - k], 0) + own * 0.5**k
-    return {p: s * {"article": 3, "main": 2}.get(p[-1][0].split(".")[0], 1) for p, s in scores.items()}
+    return {p: s * {"article": 3, "main": 2}.get(p[-1][0].split(".")[0], 1) * (LOWERED if p[-1][2] else 1) for p, s in scores.items()}
 
 
 def names_of(path: tuple) -> str:
-    return ">".join(name for name, _ in path)
+    return ">".join(name for name, *_ in path)
 
 
 def best_path(blocks: list[Block]) -> tuple | None:
     scores = scored(blocks)
-    return max(scores, key=lambda p: (scores[p], -len(p), [-n for _, n in p])) if scores else None
+    return max(scores, key=lambda p: (scores[p], -len(p), [-n for _, n, _ in p])) if scores else None
 
 
 def text_on(blocks: list[Block], wanted: str | None) -> str:

@@ -75,3 +75,19 @@ def test_other_layouts(spark):
 @pytest.mark.parametrize("wanted", [None, "body>div.none"])
 def test_fallback_to_the_own_best_path(wanted):
     assert pages.text_on(pages.read_blocks("<body><article><p>text of it</p></article><div>x</div></body>"), wanted) == "text of it"
+
+
+STORY = "a long story of the village and its river " * 20
+
+
+@pytest.mark.parametrize("source, want", [
+    (f"<body><div class='content has-sidebar'><p>{STORY}</p><div class='sidebar'>links here</div></div></body>", STORY.strip()),
+    (f"<body><article class='post header-image'><p>{STORY}</p></article></body>", STORY.strip()),
+    (f"<body><div id='comments'><p>{STORY}</p></div></body>", STORY.strip()),
+    (f"<body><article><h2 id='legal-status'>Status</h2><p>{STORY}</p><h2 id='related'>Work</h2><p>end</p></article></body>", f"Status {STORY.strip()} Work end"),
+    (f"<body><article><p>start <svg class='i'/> <math a='/>'/>{STORY}</p></article></body>", f"start {STORY.strip()}"),
+    (f"<body><article><p>start <svg a='/>'><text>no</text></svg>{STORY}</p></article></body>", f"start {STORY.strip()}"),
+    (f"<body><article><p class=\"a\"\">start</p><p title=5'>{STORY}</p></article></body>", f"start {STORY.strip()}"),
+])
+def test_names_and_marks_do_not_lose_the_article(source, want):
+    assert pages.text_on(pages.read_blocks(source), None) == want
