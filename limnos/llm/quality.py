@@ -126,8 +126,8 @@ def estimated_prior(described: DataFrame, model: Model) -> float:
 
 
 def _sample(rows: DataFrame, limit: int) -> np.ndarray:
-    """The rows of the smallest hashes: the same ones on every run."""
-    kept = rows.orderBy(F.xxhash64("features"), "doc_id").limit(limit).select("features").toPandas()["features"]
+    """Rows drawn one by one, so that copies of a text take part by their share: the same ones on every run over the same files."""
+    kept = rows.orderBy("key", "doc_id").limit(limit).select("features").toPandas()["features"]
     return np.stack(kept.tolist()).astype(np.float64) if len(kept) else np.zeros((0, N_FEATURES))
 
 
@@ -142,8 +142,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_colu
     positives = (labels.where(quoted("quality") == 1).select(quoted("doc_id").cast("bigint").alias("doc_id")).distinct()
                  .withColumn("positive", F.lit(True)))
     described = saved(map_slices(learnable, describe, "doc_id bigint, features array<float>")
+                      .withColumn("key", F.xxhash64("doc_id", F.monotonically_increasing_id()))  # repeated and missing ids are told apart
                       .join(positives, "doc_id", "left").withColumn("positive", F.coalesce("positive", F.lit(False)))
-                      .withColumn("half", F.pmod(F.xxhash64("features", F.lit(1)), F.lit(2)) == 0), "quality-features")
+                      .withColumn("half", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(2)) == 0), "quality-features")
     halves = [_sample(described.where(F.col("positive") & (F.col("half") == first)), FIT_POSITIVES // 2) for first in (True, False)]
     positive, unlabelled = np.concatenate(halves), _sample(described, FIT_UNLABELLED)
     if not len(positive):

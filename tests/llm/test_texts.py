@@ -120,6 +120,15 @@ def test_quality_of_edges_and_without_labels(spark, edges, nothing, documents):
     assert quality.accepted(edges, None).count() == edges.count()
 
 
+def test_copies_do_not_fill_the_quality_samples(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FIT_UNLABELLED", 60)
+    drawn, sample = [], quality._sample
+    monkeypatch.setattr(quality, "_sample", lambda *a: drawn.append(sample(*a)) or drawn[-1])
+    docs = spark.createDataFrame([(None if i % 3 == 0 else i, f"copied text {'ab ' * (i % 20)}") for i in range(2000)], "doc_id bigint, text string")
+    quality.fit(docs, spark.createDataFrame([(i, 1) for i in range(1, 400)], "doc_id bigint, quality int"))
+    assert len(drawn[-1]) == 60 and len({tuple(x) for x in drawn[-1]}) >= 10
+
+
 def test_features_do_not_use_a_prefix():
     assert (quality.features("good words " * 9000) != quality.features("good words " * 9000 + "JUNK!! " * 500)).any()
 
