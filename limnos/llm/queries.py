@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from limnos.llm import decontaminate, licences, packing, pages, quality, secrets, simhash, token_files, urls, vectors
+from limnos.llm import (
+    collocations,
+    decontaminate,
+    licences,
+    packing,
+    pages,
+    quality,
+    repetitions,
+    secrets,
+    simhash,
+    token_counts,
+    token_files,
+    urls,
+    vectors,
+)
 from limnos.llm.shared import on_workers, table
 
 Runner = Callable[[SparkSession, str], DataFrame]
@@ -56,9 +70,22 @@ def op10_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetitions.digest(repetitions.periodic_runs(repetitions.with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 def runners() -> dict[str, Runner]:
     return {f.__name__: on_workers(f) for f in (op1_secret_scan, op2_licence_scan, op3_quality, op4_token_files, op5_best_fit_packing, op6_url_filter,
-                                    op7_html_text, op8_vector_links, op9_simhash_groups, op10_contamination)}
+                                    op7_html_text, op8_vector_links, op9_simhash_groups, op10_contamination, op11_collocations,
+                                    op12_token_counts, op13_periodic_runs)}
 
 
 _UNIT = """
@@ -102,5 +129,30 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id"""
 
 
+_PIECES = "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\\x0A-\\x0D]+')"
+
+_COLLOCATIONS = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+places AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f FROM places GROUP BY ALL HAVING count(*) >= 10),
+cuts AS (
+  SELECT c.lang, c.k AS size, c.phrase, c.f AS a, cut, array_to_string(w[1 : cut], ' ') AS head, array_to_string(w[cut + 1 : c.k], ' ') AS tail
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1) c, (SELECT unnest([1, 2]) AS cut) WHERE cut < c.k),
+scored AS (
+  SELECT c.lang, c.size, c.phrase, c.a, x.f AS l, y.f AS r, CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score,
+    row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY (CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.f AS HUGEINT) * y.f), cut) AS best
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.tail),
+around AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, array_to_string(string_split(phrase, ' ')[i : i + 1], ' ') AS phrase, f FROM f, (SELECT unnest([1, 2]) AS i) WHERE k = 3)
+  GROUP BY lang, phrase),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase WHERE best = 1 AND (o.f IS NULL OR 100 * o.f < 50 * a))
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def oracles() -> dict[str, str]:
-    return {"op8_vector_links": _VECTORS, "op10_contamination": _CONTAMINATION}
+    return {"op8_vector_links": _VECTORS, "op10_contamination": _CONTAMINATION, "op11_collocations": _COLLOCATIONS}
