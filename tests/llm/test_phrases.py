@@ -126,17 +126,12 @@ def test_token_counts_of_whole_texts(request, which, library):
 
 
 def plain_runs(words):
-    found = {}
+    found, codes = {}, np.unique(words, return_inverse=True)[1] if words else []
     for q in range(1, len(words) // 4 + 1):
-        i = 0
-        while i + q < len(words):
-            start = i
-            while i + q < len(words) and words[i] == words[i + q]:
-                i += 1
-            length = i + q - start
-            if length >= max(6, 4 * q):
-                found.setdefault((start, length), q)
-            i += 1
+        edges = np.diff(np.concatenate([[0], codes[:-q] == codes[q:], [0]]))
+        for start, end in zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()):
+            if end - start + q >= max(6, 4 * q):
+                found.setdefault((start, end - start + q), q)
     return sorted((s, n, q) for (s, n), q in found.items())
 
 
