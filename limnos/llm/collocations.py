@@ -1,27 +1,33 @@
 """Phrases of neighbouring words that occur together more often than their parts, by set-oriented mining of relations.
 
-The occurrences of phrases of k words are a relation, kept as a saved table and sorted by piece and position: positions of
-a language count on through a block of documents, with a gap between pieces, so that neighbouring positions are always of
-one piece. A step from k to k + 1 words is
+The occurrences of words are a relation that is kept as a saved table, sorted by piece and position: the words of a block
+of whole documents of one language in their order, with a gap between pieces, so that neighbouring places are always of one
+piece. From phrases of k words to those of one more,
 
 1. group and count: occurrences of each phrase, within each block first, then over all blocks;
-2. semi-join: of each block's phrases those that are frequent, so that only their occurrences stay;
-3. merge-join: an occurrence meets that at the next position. As the relation is sorted and has one row a position, the
-   partner is the next row, and the join is one pass.
+2. semi-join: occurrences of phrases that are not frequent leave the relation;
+3. merge-join: an occurrence meets that at the next place of its piece. As the relation is sorted, the partner is the next
+   one, and the join is one pass over it.
 
-A row of the table is one language of one block (about ``block_words`` occurrences of whole documents): its phrases, their
-counts, and the positions and phrases of its occurrences as arrays. So what is shuffled to count and to semi-join is one
-row for each different phrase of a block, and a word or phrase that is everywhere has one row a block. Occurrences are
-shuffled once a step, by block. No part of the counts is kept on the driver or broadcast by force.
+Single words are semi-joined exactly, which gives frequent words dense numbers; a phrase is then its words' numbers, two in
+a bigint. Longer phrases are semi-joined by a bitmap of ``FILTER_BITS`` bits, which bounds what is broadcast: an infrequent
+phrase that shares a bit with a frequent one stays in the relation, adds rows to the next count, and fails that count. No
+count depends on the bitmap, as it never loses a frequent phrase.
+
+A row of the relation is a block of one language, of about ``BLOCK_WORDS`` occurrences. What is shuffled to count is one row
+for each different phrase of a block, so a word or phrase that is everywhere has one row a block; occurrences themselves
+are shuffled once, by block. The driver holds the bitmap and nothing else.
 
 Texts are lower-cased in A-Z only. Null texts are empty. A null language is ``und``. Repeated rows count each; ids are not
-read; other columns are left out, so none can clash; no rows give no rows. Texts of any length are taken whole.
+read; other columns are left out, so none can clash; no rows give no rows. Texts of any length are taken whole. There may be
+2^31 frequent words.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,109 +37,200 @@ from pyspark.sql import functions as F
 
 from limnos.llm.shared import in_slices, quoted, saved
 
-PIECE = re.compile("[^.,;:!?\\x0A-\\x0D]+")
-WORD = re.compile("[^\\x20\\x09]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-BLOCK_WORDS = 1 << 19
+BREAKS = ".,;:!?\n\x0b\x0c\r"
+TOKEN = re.compile("[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
+CAPITALS = re.compile("[A-Z]+")
+BLOCK_WORDS = 1 << 20
 UNKNOWN = "und"
-RELATION = "block bigint, lang string, phrases array<string>, counts array<bigint>, at array<int>, phrase array<int>"
+GAP = -1
+WORD_BITS = 31
+FILTER_BITS = 134_217_689  # a prime below 2^27: 16 MB
+FILTER_STEP = 1_000_003
+WORDS = "block bigint, lang string, words array<string>, counts array<bigint>, places array<int>"
+PAIRS = "block bigint, places array<int>, key0 array<bigint>, counts array<bigint>"
 GROUPS = 64  # of a language's candidates, ranked apart before they are ranked together
 
 
-def _arrow(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
-    names = ["block", "lang", "phrases", "counts", "at", "phrase"]
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names)
+class Frequent(NamedTuple):
+    """Saved tables of what occurs often enough: words (lang, phrase, f, id), and for each size (lang, phrase, f)."""
+
+    sizes: list[DataFrame]
+    totals: DataFrame  # lang, n
 
 
-class _Words:
-    """Occurrences of one language's words in a block that is being filled."""
+class _Numbers(dict[str, int]):
+    """The numbers of one language's words in a block, in order of appearance; ends of pieces are gaps."""
 
     def __init__(self) -> None:
-        self.number: dict[str, int] = {}
-        self.words: list[int] = []
-        self.sizes: list[int] = []  # words of each piece
+        super().__init__(dict.fromkeys(BREAKS, GAP))
+        self.held, self.texts = 0, []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self) - len(BREAKS)
+        return number
 
     def add(self, text: str) -> int:
-        number, before = self.number, len(self.words)
-        for piece in PIECE.findall(text.translate(LOWER)):
-            words = WORD.findall(piece)
-            if words:
-                self.words += [number.setdefault(w, len(number)) for w in words]
-                self.sizes.append(len(words))
-        return len(self.words) - before
+        lowered = text.lower() if text.isascii() else CAPITALS.sub(lambda m: m[0].lower(), text)
+        places = list(map(self.__getitem__, TOKEN.findall(lowered)))
+        places.append(GAP)
+        self.texts.append(np.array(places, np.int32))
+        self.held += len(places)
+        return len(places)
 
-    def row(self, block: int, lang: str) -> tuple:
-        word = np.array(self.words, np.int32)
-        at = np.arange(len(word)) + np.repeat(np.arange(len(self.sizes)), self.sizes)
-        return block, lang, list(self.number), np.bincount(word, minlength=len(self.number)), at, word
+    def row(self, block: int, lang: str) -> pa.RecordBatch:
+        places, words = np.concatenate(self.texts), list(self)[len(BREAKS) :]
+        counts = np.bincount(places[places != GAP], minlength=len(words))
+        return _batch({"block": [block], "lang": [lang], "words": [words], "counts": [counts], "places": [places]}, WORDS)
+
+
+def _batch(columns: dict[str, list], schema: str) -> pa.RecordBatch:
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "array<bigint>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string())}
+    kind_of = dict(part.split() for part in schema.split(", "))
+    return pa.RecordBatch.from_arrays([pa.array(v, kinds[kind_of[k]]) for k, v in columns.items()], list(columns))
 
 
 def word_occurrences(docs: DataFrame, lang_column: str = "lang", text_column: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The relation of single words, a row for each language of a block."""
+    """The relation of single words, a row for each block of a language."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = TaskContext.get().partitionId() << 32, 0
-        filled: dict[str, _Words] = {}
+        filled: dict[str, _Numbers] = {}
         for batch in in_slices(batches, 200):
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held += filled.setdefault(lang, _Words()).add(text)
-                if held >= block_words:
-                    for number, (key, words) in enumerate(filled.items()):
-                        yield _arrow([words.row(block + number, key)])
-                    block, held, filled = block + len(filled), 0, {}
-        for number, (key, words) in enumerate(filled.items()):
-            yield _arrow([words.row(block + number, key)])
+                held += filled.setdefault(lang, _Numbers()).add(text)
+                full = [lang] if filled[lang].held >= block_words else list(filled) if held >= 4 * block_words else []
+                for key in full:
+                    held -= filled[key].held
+                    yield filled.pop(key).row(block, key)
+                    block += 1
+        for key, numbers in filled.items():
+            yield numbers.row(block, key)
+            block += 1
 
     lang, text = F.coalesce(quoted(lang_column).cast("string"), F.lit(UNKNOWN)), F.coalesce(quoted(text_column).cast("string"), F.lit(""))
-    return docs.select(lang.alias("lang"), text.alias("text")).mapInArrow(task, RELATION)
+    return docs.select(lang.alias("lang"), text.alias("text")).mapInArrow(task, WORDS)
 
 
-def counted(relation: DataFrame) -> DataFrame:
-    """lang, phrase, and its occurrences in all blocks."""
-    each = relation.select("lang", F.explode(F.arrays_zip("phrases", "counts")).alias("p"))
-    return each.groupBy("lang", F.col("p.phrases").alias("phrase")).agg(F.sum("p.counts").alias("f"))
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Rows of a saved table with dense numbers from 0, prefix sums over its partitions."""
+    marked = saved(rows.withColumn("at", F.monotonically_increasing_id()), "frequent")
+    sizes = marked.groupBy(F.shiftright("at", 33).alias("part")).agg(F.count("*").alias("n"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
+    bases = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    place = F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return marked.withColumn("part", F.shiftright("at", 33)).join(bases, "part").withColumn("id", (F.col("base") + place).cast("int")).drop("at", "part", "base")
 
 
-def extended(relation: DataFrame, frequent: DataFrame, last: bool) -> DataFrame:
-    """The relation of phrases that are one word longer, made of occurrences of frequent phrases at neighbouring places.
+def word_pairs(relation: DataFrame, words: DataFrame) -> DataFrame:
+    """The relation semi-joined with the frequent words, now by their numbers, and its pairs of neighbours with counts."""
+    each = relation.select("block", "lang", F.posexplode("words").alias("place", "phrase"))
+    numbers = each.join(words, ["lang", "phrase"]).groupBy("block").agg(F.collect_list("place").alias("old"), F.collect_list("id").alias("new"))
 
-    In the last step only phrases and counts are kept.
-    """
-    each = relation.select("block", "lang", F.posexplode("phrases").alias("place", "phrase"))
-    stay = each.join(frequent, ["lang", "phrase"], "left_semi").groupBy("block").agg(F.collect_list("place").alias("stay"))
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_slices(batches, 1):
+            block, size = batch.column(0)[0].as_py(), batch.column(1)[0].as_py()
+            places, old, new = (batch.column(i)[0].values.to_numpy() for i in (2, 3, 4))
+            number = np.full(size + 1, GAP, np.int32)  # a gap is the last one
+            number[old] = new
+            places = number[places]
+            keys, counts = _counted(_keys(places, np.ones(len(places), bool), 2))
+            yield _batch({"block": [block], "places": [places], "key0": [keys[0]], "counts": [counts]}, PAIRS)
+
+    joined = relation.select("block", F.size("words").alias("size"), "places").join(numbers, "block")
+    return joined.select("block", "size", "places", "old", "new").mapInArrow(task, PAIRS)
+
+
+def longer_phrases(pairs: DataFrame, shorter: DataFrame, size: int) -> DataFrame:
+    """Different phrases of ``size`` words in each block, with counts; both phrases of one word less pass the filter."""
+    bitmap = pairs.sparkSession.sparkContext.broadcast(_filter_of(shorter, size // 2))
+    names = [f"key{i}" for i in range((size + 1) // 2)]
+    schema = ", ".join(f"{x} array<bigint>" for x in [*names, "counts"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = bitmap.value
         for batch in in_slices(batches, 1):
-            block, lang, phrases = batch.column(0)[0].as_py(), batch.column(1)[0].as_py(), batch.column(2)[0].as_py()
-            at, phrase, stay = (batch.column(i)[0].values.to_numpy() for i in (3, 4, 5))
-            frequent = np.zeros(len(phrases), bool)
-            frequent[stay] = True
-            kept = frequent[phrase]
-            at, phrase = at[kept], phrase[kept].astype(np.int64)
-            meets = np.flatnonzero(at[1:] == at[:-1] + 1)
-            if not len(meets):
-                continue
-            pairs, which, counts = np.unique(phrase[meets] * len(phrases) + phrase[meets + 1], return_inverse=True, return_counts=True)
-            ends = [p[p.rfind(" ") + 1 :] for p in phrases]
-            longer = [f"{phrases[a]} {ends[b]}" for a, b in zip((pairs // len(phrases)).tolist(), (pairs % len(phrases)).tolist())]
-            nothing = np.zeros(0, np.int32)
-            yield _arrow([(block, lang, longer, counts, nothing if last else at[meets], nothing if last else which.astype(np.int32))])
-
-    joined = relation.join(stay, "block").select("block", "lang", "phrases", "at", "phrase", "stay")
-    return joined.mapInArrow(task, RELATION)
-
-
-def frequent_phrases(docs: DataFrame, longest: int, least: int, lang_column: str = "lang", text_column: str = "text",
-                     block_words: int = BLOCK_WORDS) -> tuple[list[DataFrame], DataFrame]:
-    """Saved tables (lang, phrase, f) of the phrases of 1 to ``longest`` words that occur ``least`` times; words by language."""
+            places = batch.column(0)[0].values.to_numpy()
+            at, keys = _keys(places, np.ones(len(places), bool), size - 1)
+            bit = _bit(keys)
+            passed = np.zeros(len(places) + 1, bool)
+            passed[at[(bits[bit >> 3] >> (bit & 7)) & 1 == 1]] = True
+            found, counts = _counted(_keys(places, passed[:-1] & passed[1:], size))
+            yield _batch({x: [k] for x, k in zip(names, found)} | {"counts": [counts]}, schema)
+
+    return pairs.select("places").mapInArrow(task, schema)
+
+
+def _keys(places: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Where phrases begin, of those places that may, and the phrases, two words in a number."""
+    n = max(len(places) - size + 1, 0)
+    good = starts[:n].copy()
+    for i in range(size):
+        good &= places[i : n + i] != GAP
+    at = np.flatnonzero(good)
+    words = [places[at + i].astype(np.int64) for i in range(size)]
+    return at, [words[i] << WORD_BITS | words[i + 1] if i + 1 < size else words[i] for i in range(0, size, 2)]
+
+
+def _counted(found: tuple[np.ndarray, list[np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+    """Different phrases and their counts."""
+    _, keys = found
+    code, first = np.zeros(len(keys[0]), np.int64), np.zeros(0, np.int64)
+    for key in keys:
+        number = np.unique(key, return_inverse=True)[1] if len(keys) > 1 else key
+        _, first, code, counts = np.unique(code << WORD_BITS | number if len(keys) > 1 else number, return_index=True, return_inverse=True, return_counts=True)
+    return [key[first] for key in keys], counts
+
+
+def _bit(keys: list) -> np.ndarray:
+    """The bit of a phrase, the same in numpy and in Spark."""
+    bit = keys[0] % FILTER_BITS
+    for key in keys[1:]:
+        bit = (bit * FILTER_STEP + key % FILTER_BITS) % FILTER_BITS
+    return bit
+
+
+def _filter_of(phrases: DataFrame, longs: int) -> np.ndarray:
+    """A bitmap of the phrases, put together in Spark by pieces of 4 kB."""
+    bit = _bit([F.col(f"key{i}") for i in range(longs)]) + 1  # the functions count bits from 1
+    pieces = phrases.select(F.bitmap_bucket_number(bit).alias("piece"), F.bitmap_bit_position(bit).alias("at")).groupBy("piece").agg(F.bitmap_construct_agg("at").alias("bits"))
+    out = np.zeros((FILTER_BITS // 32768 + 1) * 4096, np.uint8)
+    for row in pieces.toLocalIterator():
+        out[(row.piece - 1) * 4096 : row.piece * 4096] = np.frombuffer(row.bits, np.uint8)
+    return out
+
+
+def counted(relation: DataFrame, keys: list[str]) -> DataFrame:
+    """Occurrences of each key in all blocks."""
+    each = relation.select(F.explode(F.arrays_zip(*keys, "counts")).alias("p"))
+    return each.groupBy(*[F.col(f"p.{k}").alias(k) for k in keys]).agg(F.sum("p.counts").alias("f"))
+
+
+def _spelled(phrases: DataFrame, words: DataFrame, size: int) -> DataFrame:
+    """lang, phrase, f of phrases given by their words' numbers."""
+    mask = (1 << WORD_BITS) - 1
+    for i in range(size):
+        key = F.col(f"key{i // 2}")
+        number = key if i == size - 1 and size % 2 else F.shiftright(key, WORD_BITS) if i % 2 == 0 else key.bitwiseAND(F.lit(mask))
+        named = words.select(F.col("id").cast("bigint").alias(f"id{i}"), F.col("phrase").alias(f"w{i}"), *(["lang"] if i == 0 else []))
+        phrases = phrases.withColumn(f"id{i}", number).join(named, f"id{i}")
+    return phrases.select("lang", F.concat_ws(" ", *[f"w{i}" for i in range(size)]).alias("phrase"), "f")
+
+
+def frequent_phrases(docs: DataFrame, longest: int, least: int, lang_column: str = "lang", text_column: str = "text", block_words: int = BLOCK_WORDS) -> Frequent:
+    """Phrases of 1 to ``longest`` words that occur ``least`` times in their language."""
     relation = saved(word_occurrences(docs, lang_column, text_column, block_words), "occurrences")
+    each = relation.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("p"))
     totals = saved(relation.select("lang", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n")).groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    tables = [saved(counted(relation).where(F.col("f") >= least), "frequent")]
+    words = _numbered(each.groupBy("lang", F.col("p.words").alias("phrase")).agg(F.sum("p.counts").alias("f")).where(F.col("f") >= least))
+    relation = saved(word_pairs(relation, words), "occurrences")
+    sizes, rows = [words], relation
     for size in range(2, longest + 1):
-        relation = saved(extended(relation, tables[-1], size == longest), "occurrences")
-        tables.append(saved(counted(relation).where(F.col("f") >= least), "frequent"))
-    return tables, totals
+        keys = [f"key{i}" for i in range((size + 1) // 2)]
+        phrases = saved(counted(rows, keys).where(F.col("f") >= least), "frequent")
+        sizes.append(saved(_spelled(phrases, words, size), "phrases"))
+        if size < longest:
+            rows = longer_phrases(relation, phrases, size + 1)
+    return Frequent(sizes, totals)
 
 
 def _part(size: int, begin: int, end: int) -> Column:
