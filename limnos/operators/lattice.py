@@ -19,6 +19,9 @@ CELLS_PER_BAND = 2
 REACH = 3
 
 
+SMALLEST_BAND = 2_500.0
+
+
 @dataclass(frozen=True)
 class Ladder:
     """Candidate bandwidths from wide to narrow, over an extent that starts at ``origin``."""
@@ -28,14 +31,25 @@ class Ladder:
 
     @property
     def base_side(self) -> float:
-        return self.bandwidths[-1] / CELLS_PER_BAND
+        return self.side(len(self.bandwidths) - 1)
+
+    def side(self, level: int) -> float:
+        """The side of the cells of one bandwidth."""
+        return self.bandwidths[level] / CELLS_PER_BAND
 
 
-def bandwidth_ladder(df: DataFrame, x: str, y: str, scales: int = 8, ratio: float = 0.5) -> Ladder:
-    """A geometric ladder that starts at half the larger side of the extent."""
+def bandwidth_ladder(df: DataFrame, x: str, y: str, scales: int | None = None, ratio: float = 0.5, smallest: float = SMALLEST_BAND) -> Ladder:
+    """A geometric ladder that starts at half the larger side of the extent.
+
+    It goes down to the last bandwidth that is not below ``smallest``, on any extent; ``scales`` asks for a number of
+    bandwidths instead. There is always one.
+    """
     x0, x1, y0, y1 = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
     widest = max(x1 - x0, y1 - y0) / 2 or 1.0
-    return Ladder((float(x0), float(y0)), tuple(widest * ratio**k for k in range(scales)))
+    bands = [widest]
+    while len(bands) < scales if scales else widest * ratio ** len(bands) >= smallest:
+        bands.append(widest * ratio ** len(bands))
+    return Ladder((float(x0), float(y0)), tuple(bands))
 
 
 def cell_of(value: Column, origin: float, side: float) -> Column:

@@ -7,8 +7,15 @@ raises the likelihood of rows held out by a hash of their id. After a number of
 model stops.
 
 For a Poisson mean the sums of observed and fitted counts per cell are all that the spatial terms
-depend on. So rows are read once to make those sums, and the bandwidth loop runs over cells. The
-candidate model is one more grouping key: the sweep takes as many rounds as a single model does.
+depend on. Cells of a bandwidth are halved for the next, so they form a pyramid: the sums of a level
+are those of the level below added up, and the terms of wider bandwidths are the same for all of a
+cell. A level therefore works on its own occupied cells, with one number from each cell's parent; it
+never touches finer ones, and no empty cell is built. Levels are summed from the rows a few at a time,
+as far down as some model still gains.
+
+The candidate model is one more grouping key: the search takes as many rounds as a single model does.
+The linear parts of all models are fitted together too: a round of Newton's method is one aggregate
+over the rows, in which each row adds to the gradient and curvature of every model.
 
 Kernel, ladder, stopping rule and the standard deviation are choices of this package. They follow the
 coarse-to-fine idea and give the same kinds of results; figures differ from other implementations.
@@ -18,12 +25,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +36,7 @@ from limnos import fixed_values as fixed
 from limnos.functions import text, values
 from limnos.operators.aggregates import column_means
 from limnos.operators.joins import lookup_join
-from limnos.operators.lattice import Ladder, bandwidth_ladder, smooth_cells, with_cells
+from limnos.operators.lattice import SMALLEST_BAND, Ladder, bandwidth_ladder, smooth_cells, with_cells
 from limnos.operators.reshape import scores_wide
 from limnos.operators.sets import append
 from limnos.session import cut_lineage
@@ -41,8 +46,8 @@ PRIOR_COUNT = 1.0
 HOLDOUT_DIGITS = ["0", "1", "2", "3"]  # first digit of the hashed id: a quarter of the rows
 WALD_95 = 1.959963984540054
 STATS = ["R2", "RMSE", "MAE"]
-PARALLEL_FITS = 4
 MOST_ROUNDS = 100  # of a regression; one that needs more is an error
+CLOSE = 1e-8  # standard errors, below which a step is the last
 INTERCEPT = "(Intercept)"
 
 Sets = Mapping[str, Sequence[str]]
@@ -94,16 +99,17 @@ class SpatialFit:
 
     selection: Selection
     linear: dict[str, LinearPart]
-    cells: DataFrame
+    cells: DataFrame  # model, cx, cy, parts: one term for each visited bandwidth
     rows: DataFrame
+    level: int  # of the ladder, to which the cells belong
     visited: list[float]
 
 
 # ------------------------------------------------------------------ shared steps
 
 
-def _prepare(df: DataFrame, data: ModelData, sets: Sets, ladder: Ladder) -> DataFrame:
-    """Narrow, complete model rows with their base cell and holdout flag."""
+def _prepare(df: DataFrame, data: ModelData, sets: Sets) -> DataFrame:
+    """Narrow, complete model rows with their holdout flag."""
     names = sorted({c for chosen in sets.values() for c in chosen})
     effort = F.col(data.log_effort).cast("double") if data.log_effort else F.lit(0.0)
     rows = df.select(
@@ -112,103 +118,169 @@ def _prepare(df: DataFrame, data: ModelData, sets: Sets, ladder: Ladder) -> Data
         *[F.col(c).cast("double").alias(c) for c in names],
     ).dropna()
     held = F.substring(F.md5(F.col(data.id).cast("string")), 1, 1).isin(*HOLDOUT_DIGITS)
-    placed = with_cells(rows, "_px", "_py", ladder.origin, ladder.base_side, ("base_x", "base_y"))
-    return placed.drop("_px", "_py").withColumn("_held", held)
-
-
-def _fit_linear(rows: DataFrame, covariates: Sequence[str], offset: str = "_effort") -> LinearPart:
-    """Poisson regression on the log scale; without covariates the level alone."""
-    if not covariates:
-        counted, exposed = rows.agg(F.sum("_y"), F.sum(F.exp(F.col(offset)))).first()
-        level = math.log(max(counted or 0.0, 0.5) / exposed)
-        return LinearPart(level, {}, {INTERCEPT: 1.0 / math.sqrt(max(counted or 0.0, 0.5))})
-    assembled = VectorAssembler(inputCols=list(covariates), outputCol="_features").transform(rows)
-    model = GeneralizedLinearRegression(
-        family="poisson", link="log", labelCol="_y", featuresCol="_features", offsetCol=offset, maxIter=MOST_ROUNDS, tol=1e-9,
-    ).fit(assembled)
-    if model.summary.numIterations >= MOST_ROUNDS:
-        raise RuntimeError(f"the regression on {list(covariates)} has not converged in {MOST_ROUNDS} rounds")
-    errors = model.summary.coefficientStandardErrors
-    return LinearPart(
-        float(model.intercept),
-        {c: float(b) for c, b in zip(covariates, model.coefficients)},
-        {**{c: float(e) for c, e in zip(covariates, errors)}, INTERCEPT: float(errors[-1])},
-    )
+    return rows.withColumn("_held", held)
 
 
-def _fit_all(fits: Mapping[str, tuple[DataFrame, Sequence[str], str]]) -> dict[str, LinearPart]:
-    """Independent regressions, a few at a time so that one model's driver steps overlap another's job."""
-    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        done = pool.map(lambda item: (item[0], _fit_linear(*item[1])), fits.items())
-        return dict(done)
+def _in_cells(rows: DataFrame, ladder: Ladder, level: int) -> DataFrame:
+    return with_cells(rows, "_px", "_py", ladder.origin, ladder.side(level))
 
 
-def _by_model(rows: DataFrame, linear: Mapping[str, LinearPart]) -> DataFrame:
-    """Each row once per model with the mean its linear part gives; expanded inside the task."""
-    entries = F.array(*[
-        F.struct(F.lit(name).alias("model"), F.exp(part.eta() + F.col("_effort")).alias("_mu"))
-        for name, part in linear.items()
-    ])
-    return rows.select("_y", "base_x", "base_y", "_held", F.inline(entries))
+def _levels_start(data: DataFrame, count: int) -> list[tuple[float, float]]:
+    """(observed count, exposure) of each model."""
+    sums = data.select("_y", F.posexplode("_offsets").alias("k", "offset")).groupBy("k").agg(F.sum("_y").alias("y"), F.sum(F.exp("offset")).alias("e"))
+    found = {r["k"]: (r["y"], r["e"]) for r in sums.collect()}
+    if len(found) < count:
+        raise ValueError("no complete rows to fit")
+    return [found[k] for k in range(count)]
 
 
-def _cell_sums(expanded: DataFrame, hold: bool) -> DataFrame:
-    """Observed and fitted counts per model and base cell, held-out rows apart."""
-    held = F.col("_held") if hold else F.lit(False)
-    y, mu = F.col("_y"), F.col("_mu")
-    return expanded.groupBy("model", "base_x", "base_y").agg(
-        F.sum(F.when(~held, y).otherwise(0.0)).alias("seen"), F.sum(F.when(~held, mu).otherwise(0.0)).alias("fitted"),
-        F.sum(F.when(held, y).otherwise(0.0)).alias("held_seen"), F.sum(F.when(held, mu).otherwise(0.0)).alias("held_fitted"),
-    ).withColumn("parts", F.array().cast("array<double>"))
+def _newton_sums(data: DataFrame, names: Sequence[str], at: Mapping[int, np.ndarray]) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:
+    """Log likelihood, gradient and curvature of each model at its coefficients, by one aggregate over the rows.
+
+    A row is repeated for each model inside its task; what is shuffled is one row for each task and model. Coefficients
+    come in as one constant array, so all rounds share their generated code.
+    """
+    models = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(float(v)) for v in b]).alias("b")) for k, b in at.items()])
+    x = [F.lit(1.0), *[F.col(f"`{n}`") for n in names]]
+    eta = F.get("_offsets", F.col("k"))
+    for j, value in enumerate(x):
+        eta = eta + F.get("b", F.lit(j)) * value
+    each = data.select("*", F.inline(models)).withColumn("_eta", eta).withColumn("_mu", F.exp("_eta"))
+    mu, rest = F.col("_mu"), F.col("_y") - F.col("_mu")
+    n = len(x)
+    sums = each.groupBy("k").agg(
+        F.sum(F.col("_y") * F.col("_eta") - mu).alias("likelihood"), *[F.sum(rest * x[i]).alias(f"g{i}") for i in range(n)],
+        *[F.sum(mu * x[i] * x[j]).alias(f"h{i}_{j}") for i in range(n) for j in range(i, n)])
+    out = {}
+    for r in sums.collect():
+        curvature = np.array([[r[f"h{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)])
+        out[r["k"]] = (r["likelihood"], np.array([r[f"g{i}"] for i in range(n)]), curvature)
+    return out
+
+
+def _inverse(curvature: np.ndarray) -> np.ndarray:
+    """Of the curvature in units of its diagonal; terms that cannot be told apart share their effect."""
+    scale = 1.0 / np.sqrt(np.maximum(np.diag(curvature), 1e-300))
+    return np.linalg.pinv(curvature * np.outer(scale, scale), rcond=1e-12, hermitian=True) * np.outer(scale, scale)
+
+
+def _fit_jointly(rows: DataFrame, sets: Sets, offsets: Column) -> dict[str, LinearPart]:
+    """Poisson regressions on the log scale, all models in each round; ``offsets`` has one number for each of them.
+
+    Newton's method from the level alone; a step that lowers the likelihood is halved. A model is done when its next step
+    is below ``CLOSE`` standard errors. Without covariates the level is the result.
+    """
+    names = sorted({c for chosen in sets.values() for c in chosen})
+    data = rows.select("_y", offsets.alias("_offsets"), *[f"`{c}`" for c in names])
+    out: dict[str, LinearPart] = {}
+    places: dict[int, list[int]] = {}
+    at: dict[int, np.ndarray] = {}
+    for k, ((model, chosen), (counted, exposed)) in enumerate(zip(sets.items(), _levels_start(data, len(sets)))):
+        counted = max(counted, 0.5)
+        level = math.log(counted / exposed)
+        out[model] = LinearPart(level, {}, {INTERCEPT: 1.0 / math.sqrt(counted)})
+        if chosen:
+            places[k] = [0, *(1 + names.index(c) for c in chosen)]
+            at[k] = np.array([level, *[0.0] * len(names)])
+    best: dict[int, tuple[float, np.ndarray]] = {}
+    models = list(sets)
+    for _ in range(MOST_ROUNDS):
+        if not at:
+            return out
+        for k, (likelihood, gradient, curvature) in _newton_sums(data, names, at).items():
+            if k in best and not likelihood >= best[k][0] - 1e-9 * abs(best[k][0]):
+                at[k] = (at[k] + best[k][1]) / 2
+                continue
+            best[k] = (likelihood, at[k])
+            own = places[k]
+            inverse = _inverse(curvature[np.ix_(own, own)])
+            step, errors = inverse @ gradient[own], np.sqrt(np.diag(inverse))
+            if (np.abs(step) <= CLOSE * errors).all():
+                found = dict(zip([INTERCEPT, *sets[models[k]]], zip(at[k][own].tolist(), errors.tolist())))
+                level = found[INTERCEPT][0]
+                out[models[k]] = LinearPart(level, {c: b for c, (b, _) in found.items() if c != INTERCEPT}, {c: e for c, (_, e) in found.items()})
+                del at[k]
+            else:
+                at[k] = at[k].copy()
+                at[k][own] += step
+    raise RuntimeError(f"the regressions of {[models[k] for k in at]} have not converged in {MOST_ROUNDS} rounds")
+
+
+def _same_offset(sets: Sets) -> Column:
+    return F.array_repeat("_effort", len(sets))
+
+
+def _means(linear: Mapping[str, LinearPart]) -> Column:
+    """(model, mean of the linear part) of a row, for all models."""
+    return F.array(*[F.struct(F.lit(name).alias("model"), F.exp(part.eta() + F.col("_effort")).alias("_mu")) for name, part in linear.items()])
+
+
+class _Pyramid:
+    """Sums of rows in cells, by model and level; a level is summed from the level below it.
+
+    Levels are made in groups of ``GROUP``, each from the rows when the search first comes to it. ``sums`` are the sums
+    to keep, over the columns of the rows and the mean of the model's linear part.
+    """
+
+    GROUP = 4
+
+    def __init__(self, rows: DataFrame, ladder: Ladder, linear: Mapping[str, LinearPart], sums: Mapping[str, Column]) -> None:
+        self.rows, self.ladder, self.linear, self.sums = rows, ladder, linear, sums
+        self.known: dict[int, DataFrame] = {}
+
+    def level(self, k: int) -> DataFrame:
+        """model, cx, cy and the sums of the cells of one level."""
+        if k not in self.known:
+            if (k + 1) % self.GROUP == 0 or k == len(self.ladder.bandwidths) - 1:
+                made = self.at(k)
+            else:
+                made = _in_parents(self.level(k + 1), 1).groupBy("model", "cx", "cy").agg(*[F.sum(n).alias(n) for n in self.sums])
+            self.known[k] = cut_lineage(made)
+        return self.known[k]
 
+    def at(self, k: int) -> DataFrame:
+        """The same, from the rows."""
+        each = _in_cells(self.rows, self.ladder, k).select("cx", "cy", "_y", "_held", F.inline(_means(self.linear)))
+        return each.groupBy("model", "cx", "cy").agg(*[F.sum(v).alias(n) for n, v in self.sums.items()])
 
-def _local_step(cells: DataFrame, ladder: Ladder, bandwidth: float) -> DataFrame:
-    """Cells with the log ratio of observed to fitted counts around them at one bandwidth."""
-    placed = _with_coarse_cells(cells, ladder, bandwidth)
-    coarse = placed.groupBy("model", "cx", "cy").agg(F.sum("seen").alias("seen"), F.sum("fitted").alias("fitted"))
-    around = smooth_cells(coarse, ["model"], ["seen", "fitted"])
+
+def _in_parents(cells: DataFrame, levels: int, names: tuple[str, str] = ("cx", "cy")) -> DataFrame:
+    """Cells with the cell that holds them so many levels up."""
+    return cells.withColumns({names[0]: F.shiftright("cx", levels), names[1]: F.shiftright("cy", levels)})
+
+
+def _with_terms(cells: DataFrame, above: DataFrame | None, levels: int) -> DataFrame:
+    """Cells with the terms of wider bandwidths, which are those of their parents, in their fitted sums."""
+    if above is None:
+        return cells.withColumn("parts", F.array().cast("array<double>"))
+    parents = above.select("model", F.col("cx").alias("px"), F.col("cy").alias("py"), "parts")
+    joined = _in_parents(cells, levels, ("px", "py")).join(parents, ["model", "px", "py"]).drop("px", "py")
+    times = F.exp(_spatial_sum())
+    return joined.withColumns({c: F.col(c) * times for c in ("fitted", "held_fitted") if c in cells.columns})
+
+
+def _local_step(cells: DataFrame) -> DataFrame:
+    """Cells with the log ratio of observed to fitted counts around them."""
+    around = smooth_cells(cells, ["model"], ["seen", "fitted"])
     ratio = (F.col("seen") + F.lit(PRIOR_COUNT)) / (F.col("fitted") + F.lit(PRIOR_COUNT))
-    steps = around.select("model", "cx", "cy", F.log(ratio).alias("step"))
-    return placed.join(steps, ["model", "cx", "cy"]).drop("cx", "cy")
+    return cells.join(around.select("model", "cx", "cy", F.log(ratio).alias("step")), ["model", "cx", "cy"])
 
 
-def _apply_step(cells: DataFrame, accepted: Sequence[str]) -> DataFrame:
-    """Add the step to the accepted models, and zero to the others."""
+def _accept(cells: DataFrame, accepted: Sequence[str]) -> DataFrame:
+    """model, cx, cy and the terms so far, with the step of the accepted models and zero for the others."""
     step = F.when(F.col("model").isin(*accepted), F.col("step")).otherwise(0.0) if accepted else F.lit(0.0)
-    return (
-        cells.withColumn("step", step)
-        .withColumns(
-            {
-                "fitted": F.col("fitted") * F.exp("step"),
-                "held_fitted": F.col("held_fitted") * F.exp("step"),
-                "parts": F.concat("parts", F.array("step")),
-            }
-        )
-        .drop("step")
-    )
+    return cells.select("model", "cx", "cy", F.concat("parts", F.array(step)).alias("parts"))
 
 
-def _attach_spatial(rows: DataFrame, cells: DataFrame, linear: Mapping[str, LinearPart],
-                    columns: Sequence[str] = ("parts",)) -> DataFrame:
-    """Each row once per model, with its linear mean and the columns of its cell.
+def _attach_spatial(rows: DataFrame, cells: DataFrame, linear: Mapping[str, LinearPart], columns: Sequence[str] = ("parts",)) -> DataFrame:
+    """Each row in its cell once per model, with its linear mean and the columns of its cell.
 
-    The models of a cell travel together, so rows are shuffled before they are multiplied by models.
+    The models of a cell travel together, so rows are shuffled before they are multiplied by models. Rows of a dense
+    cell are one side of a plain inner join, which Spark splits.
     """
-    per_cell = cells.groupBy("base_x", "base_y").agg(F.collect_list(F.struct("model", *columns)).alias("_models"))
-    means = F.create_map(*[
-        item for name, part in linear.items() for item in (F.lit(name), F.exp(part.eta() + F.col("_effort")))
-    ])
-    joined = rows.withColumn("_means", means).join(per_cell, ["base_x", "base_y"])
-    return joined.select("*", F.inline("_models")).withColumn("_mu", F.col("_means")[F.col("model")]).drop(
-        "_means", "_models")
-
-
-def _with_coarse_cells(cells: DataFrame, ladder: Ladder, bandwidth: float) -> DataFrame:
-    """Add the cell of a wider bandwidth, found from the centre of the base cell."""
-    factor = ladder.bandwidths[-1] / bandwidth
-    return cells.withColumns({
-        n: F.floor((F.col(b) + F.lit(0.5)) * F.lit(factor)).cast("bigint") for n, b in (("cx", "base_x"), ("cy", "base_y"))
-    })
+    per_cell = cells.groupBy("cx", "cy").agg(F.collect_list(F.struct("model", *columns)).alias("_models"))
+    joined = rows.withColumn("_means", F.map_from_entries(_means(linear))).join(per_cell, ["cx", "cy"])
+    return joined.select("*", F.inline("_models")).withColumn("_mu", F.col("_means")[F.col("model")]).drop("_means", "_models")
 
 
 def _spatial_sum(parts: str = "parts") -> Column:
@@ -218,25 +290,33 @@ def _spatial_sum(parts: str = "parts") -> Column:
 # ------------------------------------------------------------------ selection and fit
 
 
-def select_scales(df: DataFrame, data: ModelData, sets: Sets, ladder: Ladder | None = None,
-                  family: str = "poisson", patience: int = 2, scales: int = 8, ratio: float = 0.5) -> Selection:
-    """Choose bandwidths for every model by the likelihood of held-out rows."""
+def select_scales(df: DataFrame, data: ModelData, sets: Sets, ladder: Ladder | None = None, family: str = "poisson",
+                  patience: int = 2, scales: int | None = None, smallest: float = SMALLEST_BAND) -> Selection:
+    """Choose bandwidths for every model by the likelihood of held-out rows.
+
+    The ladder halves bandwidths down to ``smallest``; ``scales`` asks for a number of them instead.
+    """
     if family not in ("poisson", "quasipoisson"):
         raise ValueError("counts are modelled as poisson (quasipoisson has the same fit)")
-    ladder = ladder or bandwidth_ladder(df, data.x, data.y, scales, ratio)
-    rows = _prepare(df, data, sets, ladder).persist(StorageLevel.MEMORY_AND_DISK)
+    ladder = ladder or bandwidth_ladder(df, data.x, data.y, scales, 0.5, smallest)
+    if any(2 * narrow != wide for wide, narrow in zip(ladder.bandwidths, ladder.bandwidths[1:])):
+        raise ValueError("each bandwidth must be half of the one before")
+    rows = _prepare(df, data, sets).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train = rows.filter(~F.col("_held"))
-        linear = _fit_all({name: (train, chosen, "_effort") for name, chosen in sets.items()})
-        cells = cut_lineage(_cell_sums(_by_model(rows, linear), hold=True))
+        linear = _fit_jointly(rows.filter(~F.col("_held")), sets, _same_offset(sets))
+        held, y, mu = F.col("_held"), F.col("_y"), F.col("_mu")
+        pyramid = _Pyramid(rows, ladder, linear, {
+            "seen": F.when(~held, y).otherwise(0.0), "fitted": F.when(~held, mu).otherwise(0.0),
+            "held_seen": F.when(held, y).otherwise(0.0), "held_fitted": F.when(held, mu).otherwise(0.0)})
         bands: dict[str, list[float]] = {name: [] for name in sets}
         gains: dict[str, dict[float, float]] = {name: {} for name in sets}
         failures = dict.fromkeys(sets, 0)
-        for bandwidth in ladder.bandwidths:
+        terms, level = None, 0
+        for k, bandwidth in enumerate(ladder.bandwidths):
             running = [name for name in sets if failures[name] < patience]
             if not running:
                 break
-            stepped = cut_lineage(_local_step(cells, ladder, bandwidth))
+            stepped = cut_lineage(_local_step(_with_terms(pyramid.level(k), terms, 1)))
             gain = F.sum(F.col("held_seen") * F.col("step") - F.col("held_fitted") * F.expm1("step"))
             found = {r["model"]: r["gain"] for r in stepped.groupBy("model").agg(gain.alias("gain")).collect()}
             accepted = [name for name in running if found.get(name, 0.0) > 0.0]
@@ -245,8 +325,9 @@ def select_scales(df: DataFrame, data: ModelData, sets: Sets, ladder: Ladder | N
                 failures[name] = 0 if name in accepted else failures[name] + 1
                 if name in accepted:
                     bands[name].append(bandwidth)
-            cells = _apply_step(stepped, accepted)
-        scores = cut_lineage(_holdout_scores(_attach_spatial(rows.filter("_held"), cells, linear)))
+            terms, level = _accept(stepped, accepted), k
+        predicted = _attach_spatial(_in_cells(rows.filter("_held"), ladder, level), terms, linear)
+        scores = cut_lineage(_holdout_scores(predicted))
     finally:
         rows.unpersist()
     return Selection(data, sets, ladder, family, linear, bands, gains, scores)
@@ -264,22 +345,28 @@ def _holdout_scores(predicted: DataFrame) -> DataFrame:
 
 
 def fit_selected(df: DataFrame, selection: Selection) -> SpatialFit:
-    """Fit on all rows with the selected bandwidths, then refit the linear parts beside the spatial terms."""
-    data, ladder = selection.data, selection.ladder
-    rows = cut_lineage(_prepare(df, data, selection.sets, ladder))
-    cells = cut_lineage(_cell_sums(_by_model(rows, selection.linear), hold=False))
-    visited = [b for b in ladder.bandwidths if any(b in chosen for chosen in selection.bands.values())]
-    for bandwidth in visited:
-        accepted = [name for name, chosen in selection.bands.items() if bandwidth in chosen]
-        cells = cut_lineage(_apply_step(_local_step(cells, ladder, bandwidth), accepted))
+    """Fit on all rows with the selected bandwidths, then refit the linear parts beside the spatial terms.
+
+    Terms live in the cells of the narrowest bandwidth that any model uses (of the widest, if none uses any).
+    """
+    data, ladder, sets = selection.data, selection.ladder, selection.sets
+    rows = cut_lineage(_prepare(df, data, sets))
+    used = [k for k, b in enumerate(ladder.bandwidths) if any(b in chosen for chosen in selection.bands.values())]
+    pyramid = _Pyramid(rows, ladder, selection.linear, {"seen": F.col("_y"), "fitted": F.col("_mu")})
+    terms, above = None, 0
+    for k in used:
+        accepted = [name for name, chosen in selection.bands.items() if ladder.bandwidths[k] in chosen]
+        terms, above = cut_lineage(_accept(_local_step(_with_terms(pyramid.level(k), terms, k - above)), accepted)), k
+    if terms is None:
+        terms = _with_terms(pyramid.level(0), None, 0).select("model", "cx", "cy", "parts")
     # one join brings the spatial terms of all models to the rows; the regressions then only scan
-    terms = cells.groupBy("base_x", "base_y").agg(
-        F.map_from_entries(F.collect_list(F.struct("model", _spatial_sum()))).alias("_terms"))
-    offsets = {name: f"_offset{k}" for k, name in enumerate(selection.sets)}
-    beside = cut_lineage(rows.join(terms, ["base_x", "base_y"]).select(
-        *rows.columns, *[(F.col("_effort") + F.col("_terms")[name]).alias(c) for name, c in offsets.items()]))
-    fits = {name: (beside, chosen, offsets[name]) for name, chosen in selection.sets.items()}
-    return SpatialFit(selection, _fit_all(fits), cells, rows, visited)
+    placed = cut_lineage(_in_cells(rows, ladder, above))
+    totals = terms.groupBy("cx", "cy").agg(F.map_from_entries(F.collect_list(F.struct("model", _spatial_sum()))).alias("_terms"))
+    names = sorted({c for chosen in sets.values() for c in chosen})
+    offsets = F.array(*[F.col("_effort") + F.col("_terms")[name] for name in sets])
+    beside = cut_lineage(placed.join(totals, ["cx", "cy"]).select("_y", *[f"`{c}`" for c in names], offsets.alias("_beside")))
+    linear = _fit_jointly(beside, sets, F.col("_beside"))
+    return SpatialFit(selection, linear, terms, placed, above, [ladder.bandwidths[k] for k in used])
 
 
 def holdout_select(df: DataFrame, data: ModelData, covariates: Sequence[str] = (), **options) -> Selection:
@@ -296,34 +383,39 @@ def fit_coarse_to_fine(df: DataFrame, selection: Selection) -> SpatialFit:
 # ------------------------------------------------------------------ result tables
 
 
+def fitted_cells(fit: SpatialFit) -> DataFrame:
+    """(model, base_x, base_y, fitted): sums of the means before the linear parts were fitted again, in the ladder's narrowest cells."""
+    selection, last = fit.selection, len(fit.selection.ladder.bandwidths) - 1
+    sums = _Pyramid(fit.rows.drop("cx", "cy"), selection.ladder, selection.linear, {"fitted": F.col("_mu")}).at(last)
+    cells = _with_terms(sums, fit.cells, last - fit.level)
+    return cells.select("model", F.col("cx").alias("base_x"), F.col("cy").alias("base_y"), "fitted")
+
+
 def predict_mean_sd(fit: SpatialFit) -> DataFrame:
     """(model, id, pred, pred_sd): mean, and the square root of the local mean squared error.
 
-    The error is averaged with the kernel of the narrowest visited bandwidth (of the base cells
-    without any). It is summed per cell first and comes back to the rows with the spatial terms.
+    The error is averaged with the kernel of the narrowest visited bandwidth (of the widest, without any). A cell's squared
+    errors follow from its sums of y y, y mu and mu mu, which are partial aggregates of rows; a dense cell is in no task as
+    a whole. The spread comes back to the rows with the spatial terms.
     """
-    ladder = fit.selection.ladder
-    predicted = F.col("_mu") * F.exp(_spatial_sum())
-    error = F.col("_y") - predicted
-    errors = _attach_spatial(fit.rows, fit.cells, fit.linear).groupBy("model", "base_x", "base_y").agg(
-        F.sum(error * error).alias("squared"), F.count(F.lit(1)).cast("double").alias("n"))
-    placed = _with_coarse_cells(errors, ladder, fit.visited[-1] if fit.visited else ladder.bandwidths[-1])
-    coarse = placed.groupBy("model", "cx", "cy").agg(F.sum("squared").alias("squared"), F.sum("n").alias("n"))
-    spread = smooth_cells(coarse, ["model"], ["squared", "n"]).select(
+    y, mu = F.col("_y"), F.col("_mu")
+    sums = _Pyramid(fit.rows.drop("cx", "cy"), fit.selection.ladder, fit.linear, {"yy": y * y, "ym": y * mu, "mm": mu * mu, "n": F.lit(1.0)})
+    times = F.exp(_spatial_sum())
+    squared = F.greatest(F.col("yy") - F.lit(2.0) * times * F.col("ym") + times * times * F.col("mm"), F.lit(0.0))
+    cells = cut_lineage(sums.at(fit.level).join(fit.cells, ["model", "cx", "cy"]).withColumn("squared", squared))
+    spread = smooth_cells(cells, ["model"], ["squared", "n"]).select(
         "model", "cx", "cy", F.sqrt(F.col("squared") / F.col("n")).alias("pred_sd"))
-    known = placed.join(spread, ["model", "cx", "cy"]).select("model", "base_x", "base_y", "pred_sd")
-    cells = fit.cells.join(known, ["model", "base_x", "base_y"])
-    rows = _attach_spatial(fit.rows, cells, fit.linear, ("parts", "pred_sd"))
-    return rows.select("model", fit.selection.data.id, predicted.alias("pred"), "pred_sd")
+    known = cells.select("model", "cx", "cy", "parts").join(spread, ["model", "cx", "cy"])
+    rows = _attach_spatial(fit.rows, known, fit.linear, ("parts", "pred_sd"))
+    return rows.select("model", fit.selection.data.id, (F.col("_mu") * F.exp(_spatial_sum())).alias("pred"), "pred_sd")
 
 
 def scale_component(fit: SpatialFit, low: float = 0.0, high: float | None = None, name: str = "component") -> DataFrame:
     """(model, id, component): the log-mean terms whose bandwidth lies in [low, high), summed per row."""
     chosen = [k for k, b in enumerate(fit.visited) if b >= low and (high is None or b < high)]
     total = sum((F.get("parts", F.lit(k)) for k in chosen), F.lit(0.0))
-    rows = fit.rows.select(fit.selection.data.id, "base_x", "base_y")
-    return rows.join(fit.cells.select("model", "base_x", "base_y", total.alias(name)), ["base_x", "base_y"]).select(
-        "model", fit.selection.data.id, name)
+    rows = fit.rows.select(fit.selection.data.id, "cx", "cy")
+    return rows.join(fit.cells.select("model", "cx", "cy", total.alias(name)), ["cx", "cy"]).select("model", fit.selection.data.id, name)
 
 
 def scale_components_long(fit: SpatialFit, ranges: Mapping[str, tuple[float, float | None]] = fixed.SCALE_RANGES) -> DataFrame:
