@@ -140,21 +140,21 @@ def _newton_sums(data: DataFrame, names: Sequence[str], at: Mapping[int, np.ndar
     A row is repeated for each model inside its task; what is shuffled is one row for each task and model. Coefficients
     come in as one constant array, so all rounds share their generated code.
     """
-    models = F.array(*[F.struct(F.lit(k).alias("k"), F.array(*[F.lit(float(v)) for v in b]).alias("b")) for k, b in at.items()])
+    models = F.array(*[F.struct(F.lit(k).alias("_k"), F.array(*[F.lit(float(v)) for v in b]).alias("_b")) for k, b in at.items()])
     x = [F.lit(1.0), *[F.col(f"`{n}`") for n in names]]
-    eta = F.get("_offsets", F.col("k"))
+    eta = F.get("_offsets", F.col("_k"))
     for j, value in enumerate(x):
-        eta = eta + F.get("b", F.lit(j)) * value
+        eta = eta + F.get("_b", F.lit(j)) * value
     each = data.select("*", F.inline(models)).withColumn("_eta", eta).withColumn("_mu", F.exp("_eta"))
     mu, rest = F.col("_mu"), F.col("_y") - F.col("_mu")
     n = len(x)
-    sums = each.groupBy("k").agg(
+    sums = each.groupBy("_k").agg(
         F.sum(F.col("_y") * F.col("_eta") - mu).alias("likelihood"), *[F.sum(rest * x[i]).alias(f"g{i}") for i in range(n)],
         *[F.sum(mu * x[i] * x[j]).alias(f"h{i}_{j}") for i in range(n) for j in range(i, n)])
     out = {}
     for r in sums.collect():
         curvature = np.array([[r[f"h{min(i, j)}_{max(i, j)}"] for j in range(n)] for i in range(n)])
-        out[r["k"]] = (r["likelihood"], np.array([r[f"g{i}"] for i in range(n)]), curvature)
+        out[r["_k"]] = (r["likelihood"], np.array([r[f"g{i}"] for i in range(n)]), curvature)
     return out
 
 
@@ -196,7 +196,7 @@ def _fit_jointly(rows: DataFrame, sets: Sets, offsets: Column) -> dict[str, Line
             inverse = _inverse(curvature[np.ix_(own, own)])
             step, errors = inverse @ gradient[own], np.sqrt(np.diag(inverse))
             if (np.abs(step) <= CLOSE * errors).all():
-                found = dict(zip([INTERCEPT, *sets[models[k]]], zip(at[k][own].tolist(), errors.tolist())))
+                found = dict(zip([INTERCEPT, *sets[models[k]]], zip((at[k][own] + step).tolist(), errors.tolist())))
                 level = found[INTERCEPT][0]
                 out[models[k]] = LinearPart(level, {c: b for c, (b, _) in found.items() if c != INTERCEPT}, {c: e for c, (_, e) in found.items()})
                 del at[k]

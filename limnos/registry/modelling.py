@@ -12,6 +12,7 @@ from limnos.operators.joins import attach_predictions
 from limnos.operators.sets import append
 from limnos.plans import reporting as R
 from limnos.plans import spatial_counts as M
+from limnos.registry import model_sql as S
 from limnos.registry.core import query, table
 
 # ---------------------------------------------------------------- neighbourhoods
@@ -41,7 +42,7 @@ def kernel_local_mean(spark, sf):
 @query("bandwidth_ladder", "SELECT k, round((max(l_extendedprice) - min(l_extendedprice)) / 2 * power(0.5, k), 6) AS band FROM lineitem, "
                            "generate_series(0, 7) AS g(k) GROUP BY k")
 def bandwidth_ladder(spark, sf):
-    ladder = L.bandwidth_ladder(table(spark, sf, "lineitem"), "l_extendedprice", "l_quantity")
+    ladder = L.bandwidth_ladder(table(spark, sf, "lineitem"), "l_extendedprice", "l_quantity", scales=8)
     rows = [(k, b) for k, b in enumerate(ladder.bandwidths)]
     return spark.createDataFrame(rows, "k bigint, b double").select("k", F.round("b", 6).alias("band"))
 
@@ -50,15 +51,16 @@ def bandwidth_ladder(spark, sf):
 
 COVARIATES = ["TN", "Temp", "Tot_P"]
 DATA = M.ModelData("site", "rich", "east", "north")
-SCALES = 5
+NULL_SET: dict[str, list[str]] = {M.NULL_MODEL: []}
+SWEEP_SETS = NULL_SET | M.candidate_sets()
 
 
 def sites(spark, sf):
-    """Vectors as sites: two components as coordinates, three as covariates, the label as richness."""
+    """Vectors as sites: two components as coordinates, three as covariates, the label as richness, one to seven visits."""
     columns = table(spark, sf, "embeddings").selectExpr(
         "vec_id AS site", "label AS rich", "embedding[0] * 1e6 AS east", "embedding[1] * 1e6 AS north",
         "CAST(embedding[2] AS DOUBLE) AS TN", "CAST(embedding[3] AS DOUBLE) AS Temp", "CAST(embedding[4] AS DOUBLE) AS Tot_P",
-        "1.0D AS log_one")
+        "ln(CAST(1 + vec_id % 7 AS DOUBLE)) AS log_visits")
     return poly_features(columns, {"TN": "TNsq", "Temp": "Tsq", "Tot_P": "TPsq"})
 
 
@@ -74,7 +76,7 @@ def _kept(spark, sf, name, build):
 
 
 def _null_selection(spark, sf):
-    return _kept(spark, sf, "selection", lambda: M.holdout_select(sites(spark, sf), DATA, scales=SCALES))
+    return _kept(spark, sf, "selection", lambda: M.holdout_select(sites(spark, sf), DATA))
 
 
 def _null_fit(spark, sf):
@@ -82,113 +84,66 @@ def _null_fit(spark, sf):
 
 
 def _sweep(spark, sf):
-    return _kept(spark, sf, "sweep", lambda: M.model_sweep(sites(spark, sf), DATA, scales=SCALES))
-
-
-# The whole search for the null model, stated step by step for the checking engine.
-
-
-def _around(source: str, columns: tuple[str, ...]) -> str:
-    sums = ", ".join(f"sum(exp(-((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy)) / 8.0e0) * b.{c}) AS {c}" for c in columns)
-    return (f"SELECT a.cx, a.cy, {sums} FROM {source} a JOIN {source} b ON b.cx BETWEEN a.cx - 6 AND a.cx + 6 "
-            "AND (a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy) <= 36 GROUP BY a.cx, a.cy")
-
-
-def _coarse(k: int) -> str:
-    factor = 0.5 ** (SCALES - 1 - k)
-    return ", ".join(f"CAST(floor((base_{n} + 0.5e0) * {factor!r}) AS INTEGER) AS c{n}" for n in "xy")
-
-
-def _model_sql(result: str, more: str = "") -> str:
-    """CTEs r (rows), g (gain and decision per bandwidth), f (cells of the final fit), lv (its level), then the result."""
-    steps = [
-        "e AS MATERIALIZED (SELECT vec_id AS site, label::DOUBLE AS y, embedding[1] * 1e6 AS px, embedding[2] * 1e6 AS py, "
-        "md5(CAST(vec_id AS VARCHAR))[1:1] IN ('0', '1', '2', '3') AS held FROM embeddings)",
-        "w AS MATERIALIZED (SELECT min(px) AS x0, min(py) AS y0, greatest(max(px) - min(px), max(py) - min(py)) / 2 AS widest FROM e)",
-        f"r AS MATERIALIZED (SELECT site, y, held, CAST(floor((px - x0) / (widest * {0.5 ** (SCALES - 1)!r} / 2)) AS INTEGER) AS base_x, "
-        f"CAST(floor((py - y0) / (widest * {0.5 ** (SCALES - 1)!r} / 2)) AS INTEGER) AS base_y FROM e, w)",
-        "l0 AS MATERIALIZED (SELECT sum(y) / count(*) AS mu FROM r WHERE NOT held)",
-        "c0 AS MATERIALIZED (SELECT base_x, base_y, sum(CASE WHEN held THEN 0 ELSE y END) AS seen, sum(CASE WHEN held THEN 0 ELSE mu END) AS fitted, "
-        "sum(CASE WHEN held THEN y ELSE 0 END) AS hseen, sum(CASE WHEN held THEN mu ELSE 0 END) AS hfitted, 0.0e0 AS s, 0 AS fails FROM r, l0 GROUP BY base_x, base_y)",
-        "f0 AS MATERIALIZED (SELECT base_x, base_y, sum(y) AS seen, sum(mu) AS fitted, 0.0e0 AS s, 0.0e0 AS wide FROM r, l0 GROUP BY base_x, base_y)",
-    ]
-    for k in range(SCALES):
-        steps += [
-            f"p{k} AS MATERIALIZED (SELECT *, {_coarse(k)} FROM c{k})",
-            f"q{k} AS MATERIALIZED (SELECT cx, cy, sum(seen) AS seen, sum(fitted) AS fitted FROM p{k} GROUP BY cx, cy)",
-            f"a{k} AS MATERIALIZED ({_around(f'q{k}', ('seen', 'fitted'))})",
-            f"j{k} AS MATERIALIZED (SELECT p.*, ln((a.seen + 1) / (a.fitted + 1)) AS step FROM p{k} p JOIN a{k} a USING (cx, cy))",
-            f"g{k} AS MATERIALIZED (SELECT max(fails) < 2 AS running, sum(hseen * step - hfitted * (exp(step) - 1)) AS gain FROM j{k})",
-            f"c{k + 1} AS MATERIALIZED (SELECT base_x, base_y, seen, CASE WHEN running AND gain > 0 THEN fitted * exp(step) ELSE fitted END AS fitted, hseen, "
-            f"CASE WHEN running AND gain > 0 THEN hfitted * exp(step) ELSE hfitted END AS hfitted, CASE WHEN running AND gain > 0 THEN s + step ELSE s END AS s, "
-            f"CASE WHEN NOT running THEN fails WHEN gain > 0 THEN 0 ELSE fails + 1 END AS fails FROM j{k}, g{k})",
-            f"fp{k} AS MATERIALIZED (SELECT *, {_coarse(k)} FROM f{k})",
-            f"fq{k} AS MATERIALIZED (SELECT cx, cy, sum(seen) AS seen, sum(fitted) AS fitted FROM fp{k} GROUP BY cx, cy)",
-            f"fa{k} AS MATERIALIZED ({_around(f'fq{k}', ('seen', 'fitted'))})",
-            f"f{k + 1} AS MATERIALIZED (SELECT base_x, base_y, p.seen, CASE WHEN running AND gain > 0 THEN p.fitted * (a.seen + 1) / (a.fitted + 1) ELSE p.fitted END AS fitted, "
-            f"CASE WHEN running AND gain > 0 THEN s + ln((a.seen + 1) / (a.fitted + 1)) ELSE s END AS s, "
-            f"CASE WHEN running AND gain > 0 AND widest * {0.5 ** k!r} >= 100000 THEN wide + ln((a.seen + 1) / (a.fitted + 1)) ELSE wide END AS wide "
-            f"FROM fp{k} p JOIN fa{k} a USING (cx, cy), g{k}, w)",
-        ]
-    gains = " UNION ALL ".join(f"SELECT {k} AS k, widest * {0.5 ** k!r} AS band, gain, running, running AND gain > 0 AS selected FROM g{k}, w" for k in range(SCALES))
-    steps += [
-        f"g AS MATERIALIZED ({gains})",
-        f"f AS MATERIALIZED (SELECT * FROM f{SCALES})",
-        "lv AS MATERIALIZED (SELECT sum(y) / sum(exp(s)) AS level FROM r JOIN f USING (base_x, base_y))",
-    ]
-    return f"WITH {', '.join(steps)}{', ' + more if more else ''} {result}"
-
-
-@query("holdout_select", _model_sql("SELECT 'Null' AS model, round(band, 3) AS band, round(gain, 6) AS gain, selected FROM g WHERE running"))
+    """All 26 candidate models and the null model, on the whole ladder."""
+    return _kept(spark, sf, "sweep", lambda: M.model_sweep(sites(spark, sf), DATA))
+
+
+def _rounded(df, *columns, digits=6):
+    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})  # no negative zero
+
+
+def _null_sql(result, more=""):
+    return S.model_sql(NULL_SET, result, more)
+
+
+@query("holdout_select", _null_sql("SELECT @model AS model, round(band, 3) AS band, round(gain, 6) + 0.0e0 AS gain, selected FROM g WHERE running"))
 def holdout_select(spark, sf):
     """Gain of held-out likelihood per visited bandwidth."""
     selection = _null_selection(spark, sf)
     rows = [(m, b, g, b in selection.bands[m]) for m, gains in selection.gains.items() for b, g in gains.items()]
     found = spark.createDataFrame(rows, "model string, band double, gain double, selected boolean")
-    return found.withColumns({"band": F.round("band", 3), "gain": F.round("gain", 6)})
+    return _rounded(_rounded(found, "gain"), "band", digits=3)
 
 
-@query("fit_coarse_to_fine", _model_sql("SELECT 'Null' AS model, base_x, base_y, round(fitted, 6) AS fitted FROM f"))
+@query("fit_coarse_to_fine", _null_sql(
+    f"SELECT @model AS model, CAST(floor((base_x + 0.5e0) * power(0.5e0, {S.LEVELS - 1} - last)) AS BIGINT) AS base_x, "
+    f"CAST(floor((base_y + 0.5e0) * power(0.5e0, {S.LEVELS - 1} - last)) AS BIGINT) AS base_y, round(sum(fitted), 6) AS fitted FROM f, {S.LAST} GROUP BY 1, 2, 3"))
 def fit_coarse_to_fine(spark, sf):
-    return _null_fit(spark, sf).cells.select("model", "base_x", "base_y", F.round("fitted", 6).alias("fitted"))
+    return _rounded(M.fitted_cells(_null_fit(spark, sf)), "fitted")
 
 
-_SPREAD_SQL = (
-    "z AS MATERIALIZED (SELECT coalesce(min(band), max(base)) / max(base) AS times FROM (SELECT (SELECT min(band) FROM g) AS base) LEFT JOIN g ON selected), "
-    "m AS MATERIALIZED (SELECT site, y, level * exp(s) AS pred, CAST(floor((base_x + 0.5e0) / times) AS INTEGER) AS cx, CAST(floor((base_y + 0.5e0) / times) AS INTEGER) AS cy "
-    "FROM r JOIN f USING (base_x, base_y), lv, z), "
-    "v AS MATERIALIZED (SELECT cx, cy, sum((y - pred) * (y - pred)) AS squared, count(*)::DOUBLE AS n FROM m GROUP BY cx, cy), "
-    f"va AS MATERIALIZED ({_around('v', ('squared', 'n'))}) "
-)
+@query("predict_mean_sd", _null_sql("SELECT @model AS model, site, round(pred, 6) + 0.0e0 AS pred, round(sqrt(squared / n), 6) AS pred_sd FROM p JOIN va USING (model, cx, cy)", S.SPREAD))
+def predict_mean_sd(spark, sf):
+    return _rounded(M.predict_mean_sd(_null_fit(spark, sf)), "pred", "pred_sd")
 
 
-@query("predict_mean_sd", _model_sql("SELECT 'Null' AS model, site, round(pred, 6) AS pred, round(sqrt(squared / n), 6) AS pred_sd "
-                                     "FROM m JOIN va USING (cx, cy)", _SPREAD_SQL))
-def predict_mean_sd(spark, sf):
-    predicted = M.predict_mean_sd(_null_fit(spark, sf))
-    return predicted.withColumns({"pred": F.round("pred", 6), "pred_sd": F.round("pred_sd", 6)})
+@query("predict_all_models", S.model_sql(SWEEP_SETS, "SELECT @model AS model, site, round(pred, 6) + 0.0e0 AS pred, round(sqrt(squared / n), 6) AS pred_sd "
+                                                     "FROM p JOIN va USING (model, cx, cy)", S.SPREAD))
+def predict_all_models(spark, sf):
+    return _rounded(M.predict_mean_sd(_sweep(spark, sf)), "pred", "pred_sd")
 
 
-@query("scale_component", _model_sql("SELECT 'Null' AS model, site, round(wide, 6) AS wide, round(s - wide, 6) AS narrow FROM r JOIN f USING (base_x, base_y)"))
+@query("scale_component", _null_sql("SELECT @model AS model, site, round(wide, 6) + 0.0e0 AS wide, round(s - wide, 6) + 0.0e0 AS narrow FROM r JOIN f USING (base_x, base_y)"))
 def scale_component(spark, sf):
     """Terms of 100 km and wider beside all narrower ones."""
     fit = _null_fit(spark, sf)
     wide, narrow = M.scale_component(fit, 100000.0, None, "wide"), M.scale_component(fit, 0.0, 100000.0, "narrow")
-    joined = wide.join(narrow, ["model", "site"])
-    return joined.withColumns({"wide": F.round("wide", 6), "narrow": F.round("narrow", 6)})
+    return _rounded(wide.join(narrow, ["model", "site"]), "wide", "narrow")
 
 
-_HELD_SQL = f"h AS MATERIALIZED (SELECT y, y - mu * exp(s) AS error FROM r JOIN c{SCALES} USING (base_x, base_y), l0 WHERE held)"
+@query("scale_components_long", _null_sql(" UNION ALL ".join(
+    f"SELECT @model AS model, site, '{scale}' AS scale, round({term}, 6) + 0.0e0 AS predSpat FROM r JOIN f USING (base_x, base_y)"
+    for scale, term in (("large", "wide"), ("medium", "medium"), ("small", "s - wide - medium")))))
+def scale_components_long(spark, sf):
+    return _rounded(M.scale_components_long(_null_fit(spark, sf)), "predSpat")
 
 
-@query("scores", _model_sql("SELECT 'Null' AS model, 'R2' AS stat, round(1 - sum(error * error) / (var_pop(y) * count(*)), 6) AS value FROM h "
-                            "UNION ALL SELECT 'Null', 'RMSE', round(sqrt(avg(error * error)), 6) FROM h "
-                            "UNION ALL SELECT 'Null', 'MAE', round(avg(abs(error)), 6) FROM h", _HELD_SQL))
+@query("scores", _null_sql(" UNION ALL ".join(f"SELECT @model AS model, '{stat}' AS stat, round({column}, 6) AS value FROM r2" for stat, column in (("R2", "r2"), ("RMSE", "rmse"), ("MAE", "mae"))), S.R2))
 def scores(spark, sf):
-    return _null_selection(spark, sf).scores.withColumn("value", F.round("value", 6))
+    return _rounded(_null_selection(spark, sf).scores, "value")
 
 
-@query("residuals_by_observed", _model_sql("SELECT y AS rich, count(*) AS n, round(avg(y - level * exp(s)), 6) AS mean_resid FROM r JOIN f USING (base_x, base_y), lv GROUP BY y"))
+@query("residuals_by_observed", _null_sql("SELECT y AS rich, count(*) AS n, round(avg(y - pred), 6) AS mean_resid FROM p GROUP BY y"))
 def residuals_by_observed(spark, sf):
     """Mean residual of the null model per observed richness, as its residual plots summarise."""
     predicted = M.predict_mean_sd(_null_fit(spark, sf)).select("site", "pred")
@@ -197,24 +152,18 @@ def residuals_by_observed(spark, sf):
         F.count(F.lit(1)).alias("n"), F.round(F.avg("rawResid"), 6).alias("mean_resid"))
 
 
-@query("coefficients")
+@query("coefficients", S.model_sql(SWEEP_SETS, S.COEFFICIENTS, S.SLOPES))
 def coefficients(spark, sf):
-    df = sites(spark, sf)
-    return M.coefficients(M.fit_coarse_to_fine(df, M.holdout_select(df, DATA, ("TN", "Temp"), scales=SCALES)))
+    return _rounded(M.coefficients(_sweep(spark, sf)), "coef", "lower_95CI", "upper_95CI")
 
 
-@query("scale_components_long")
-def scale_components_long(spark, sf):
-    return M.scale_components_long(_null_fit(spark, sf))
-
-
-@query("offset_effort")
+@query("offset_effort", S.model_sql({"TN;Temp;Tot_P": COVARIATES}, S.COEFFICIENTS, S.SLOPES, "ln(CAST(1 + vec_id % 7 AS DOUBLE))"))
 def offset_effort(spark, sf):
-    """A model whose exposure is a column on the log scale."""
+    """A model of three covariates whose exposure is the number of visits."""
     df = sites(spark, sf)
-    with_effort = M.ModelData("site", "rich", "east", "north", "log_one")
-    selection = M.holdout_select(df, with_effort, ("TN",), scales=2)
-    return M.coefficients(M.fit_coarse_to_fine(df, selection))
+    with_effort = M.ModelData("site", "rich", "east", "north", "log_visits")
+    fit = M.fit_coarse_to_fine(df, M.holdout_select(df, with_effort, COVARIATES))
+    return _rounded(M.coefficients(fit), "coef", "lower_95CI", "upper_95CI")
 
 
 def _sets_sql() -> str:
@@ -239,47 +188,76 @@ def candidate_sets(spark, sf):
     return gaps.select(F.inline(F.array(*entries))).groupBy("model").agg(F.count_if("complete").alias("n_complete"))
 
 
-@query("model_sweep")
+_SCORED = "SELECT @model AS model, round(r2, 6) + 0.0e0 AS R2, round(rmse, 6) AS RMSE, round(mae, 6) AS MAE FROM r2"
+_IN_LADDER = f"(band >= {S.SMALLEST} OR k = 0)"
+_MATRIX = f"SELECT model, band, CASE WHEN selected THEN r2 ELSE 0 END AS r2 FROM g JOIN r2 USING (model) WHERE {_IN_LADDER}"
+
+
+@query("model_sweep", S.model_sql(SWEEP_SETS, _SCORED, S.R2))
 def model_sweep(spark, sf):
     """All 26 candidate models and the null model: scores."""
-    return M.scores_by_model(_sweep(spark, sf))
+    return _rounded(M.scores_by_model(_sweep(spark, sf)), "R2", "RMSE", "MAE")
 
 
-@query("band_score_matrix")
+@query("band_score_matrix", S.model_sql(SWEEP_SETS, f"SELECT @model AS model, round(band, 3) AS band, round(r2, 6) + 0.0e0 AS R2 FROM ({_MATRIX})", S.R2))
 def band_score_matrix(spark, sf):
-    return M.band_score_matrix(_sweep(spark, sf))
+    return _rounded(_rounded(M.band_score_matrix(_sweep(spark, sf)), "R2"), "band", digits=3)
 
 
-@query("band_report")
+@query("band_report", S.model_sql(SWEEP_SETS, f"SELECT {S.LABEL.format('@model')} AS modName, printf('%.1f', round(band / 1000.0e0, 1)) AS distance, "
+                                              f"round(band, 3) AS band, round(r2, 6) + 0.0e0 AS R2 FROM ({_MATRIX}) WHERE band >= (SELECT min(band) FROM g WHERE selected)", S.R2))
 def band_report(spark, sf):
-    return M.band_report(_sweep(spark, sf))
+    return _rounded(_rounded(M.band_report(_sweep(spark, sf)), "R2"), "band", digits=3)
 
 
-@query("selected_bands")
+@query("selected_bands", S.model_sql(SWEEP_SETS, "SELECT @model AS model, round(band, 3) AS band FROM g WHERE selected"))
 def selected_bands(spark, sf):
-    return M.selected_bands(_sweep(spark, sf))
+    return _rounded(M.selected_bands(_sweep(spark, sf)), "band", digits=3)
 
 
-@query("effect_table")
+_EFFECT_NAMES = list(fixed.EFFECT_LEVELS)
+_POSITION = "CASE {} " + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(_EFFECT_NAMES)) + " END"
+_EFFECT_LABEL = "CASE {} " + " ".join(f"WHEN '{v}' THEN '{label}'" for v, label in fixed.EFFECT_LEVELS.items()) + " END"
+_EFFECTS = (
+    f"SELECT {S.SHORT.format('@model')} AS mod, {_EFFECT_LABEL.format(S.SHORT.format('var'))} AS var, round(coef, 6) + 0.0e0 AS coef, "
+    "CAST(sign(low) = sign(high) AS INTEGER) AS isSig, round(mean, 6) + 0.0e0 AS meanEff, round(exp(coef * mean), 6) AS coefResc, CAST(coef < 0 AS INTEGER) AS isNeg, "
+    f"model AS mod_order, {_POSITION.format(S.SHORT.format('var'))} AS var_order FROM sl JOIN means USING (var) "
+    "UNION ALL SELECT 'Null', 'TN', NULL, 0, NULL, NULL, NULL, 0, 5"
+)
+_MEANS = "means AS (" + " UNION ALL ".join(f"SELECT '{c}' AS var, avg(x{i + 1}) AS mean FROM e" for i, c in enumerate(S.COVARIATES)) + ")"
+
+
+@query("effect_table", S.model_sql(SWEEP_SETS, _EFFECTS, f"{S.SLOPES}, {_MEANS}"))
 def effect_table(spark, sf):
     df = sites(spark, sf)
-    return M.effect_table(_sweep(spark, sf), M.covariate_means(df, [c for pair in fixed.MODEL_COVARIATES.items() for c in pair]))
+    means = M.covariate_means(df, [c for pair in fixed.MODEL_COVARIATES.items() for c in pair])
+    return _rounded(M.effect_table(_sweep(spark, sf), means), "coef", "meanEff", "coefResc")
 
 
-@query("run_model")
+@query("run_model", S.model_sql({"TN;Temp": ["TN", "Temp"]}, S.COEFFICIENTS, S.SLOPES))
 def run_model(spark, sf):
-    """One model of the sweep: its coefficients."""
-    return M.coefficients(_sweep(spark, sf)).filter(F.col("model") == "TN;Temp")
+    """One model by itself: its coefficients."""
+    df = sites(spark, sf)
+    fit = M.fit_coarse_to_fine(df, M.holdout_select(df, DATA, ["TN", "Temp"]))
+    return _rounded(M.coefficients(fit), "coef", "lower_95CI", "upper_95CI")
+
+
+_REPORT_COLUMNS = {"rich": "y", "east": "px", "north": "py", "TN": "x1", "Temp": "x3", "Tot_P": "x5"}
+_REPORT = " UNION ALL ".join(
+    f"SELECT 'correlation' AS part, '{a}|{b}' AS item, round(corr({_REPORT_COLUMNS[a]}, {_REPORT_COLUMNS[b]}), 2) + 0.0e0 AS value FROM e"
+    for i, a in enumerate(_REPORT_COLUMNS) for b in list(_REPORT_COLUMNS)[i + 1 :])
+_REPORT += (" UNION ALL SELECT 'R2', @model, round(r2, 6) FROM r2 UNION ALL SELECT 'pearson_gof', 'Null', "
+            "round(sum((y - pred) * (y - pred) / pred), 6) FROM p WHERE model = 0")
 
 
-@query("model_report")
+@query("model_report", S.model_sql(SWEEP_SETS, _REPORT, S.R2))
 def model_report(spark, sf):
-    """Correlations, scores and goodness of fit of a report in one long table."""
-    columns = ["rich", "east", "north", *COVARIATES]
+    """Correlations, scores of all models and goodness of fit of a report in one long table."""
+    columns = list(_REPORT_COLUMNS)
     df = sites(spark, sf).drop("TNsq", "Tsq", "TPsq")
     both = tuple(corr_matrix(df, columns, use) for use in ("everything", "pairwise"))
-    report = _kept(spark, sf, "report", lambda: R.model_report(df, DATA, {"TN": "TNsq", "Temp": "Tsq"}, both, scales=3))
+    report = _kept(spark, sf, "report", lambda: R.model_report(df, DATA, fixed.MODEL_COVARIATES, both))
     pairs = report.correlations.select(F.lit("correlation").alias("part"), F.concat_ws("|", "a", "b").alias("item"), F.col("r").alias("value"))
     scored = report.scores.select(F.lit("R2").alias("part"), F.col("model").alias("item"), F.col("R2").alias("value"))
     fitted = report.goodness.select(F.lit("pearson_gof").alias("part"), F.lit("Null").alias("item"), F.col("pearson_gof").alias("value"))
-    return append(pairs, scored, fitted)
+    return _rounded(append(pairs, scored, fitted), "value")

@@ -4,6 +4,8 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from limnos.operators import lattice as L
@@ -64,6 +66,70 @@ def fitted(surface):
     return M.model_sweep(surface, data, {"t": ["t"]}, scales=5)
 
 
+def test_joint_fit_equals_single_regressions(spark):
+    """All models at once, each with its own offset, against one regression a model."""
+    rng = np.random.default_rng(7)
+    n = 800
+    a, b, e = rng.normal(0, 1, n), rng.normal(5, 2, n), rng.uniform(-1, 1, n)
+    y = rng.poisson(np.exp(0.2 + 0.4 * a - 0.1 * b + e))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(y, e, 2 * e, a, b, b * b)], "_y double, e double, e2 double, a double, b double, b2 double")
+    sets = {"Null": [], "a": ["a"], "all": ["a", "b", "b2"]}
+    found = M._fit_jointly(df, sets, F.array("e", "e2", "e"))
+    for name, offset in (("a", "e2"), ("all", "e")):
+        assembled = VectorAssembler(inputCols=sets[name], outputCol="x").transform(df)
+        one = GeneralizedLinearRegression(family="poisson", link="log", labelCol="_y", featuresCol="x", offsetCol=offset, maxIter=100, tol=1e-12).fit(assembled)
+        assert [found[name].slopes[c] for c in sets[name]] == pytest.approx(list(one.coefficients), abs=1e-8)
+        assert found[name].intercept == pytest.approx(one.intercept, abs=1e-8)
+        errors = one.summary.coefficientStandardErrors
+        assert [found[name].errors[c] for c in [*sets[name], M.INTERCEPT]] == pytest.approx(list(errors), rel=1e-6)
+    assert found["Null"].intercept == pytest.approx(math.log(y.sum() / np.exp(e).sum()))
+
+
+def test_terms_that_cannot_be_told_apart_share_their_effect(spark):
+    rows = [(float(k % 5), 0.0, float(k % 3), 2.0 * (k % 3)) for k in range(60)]
+    df = spark.createDataFrame(rows, "_y double, e double, a double, twice double")
+    found = M._fit_jointly(df, {"a": ["a"], "both": ["a", "twice"]}, F.array("e", "e"))
+    assert found["both"].slopes["a"] + 2 * found["both"].slopes["twice"] == pytest.approx(found["a"].slopes["a"], abs=1e-8)
+
+
+def test_no_rows_are_an_error(spark):
+    with pytest.raises(ValueError, match="no complete rows"):
+        M._fit_jointly(spark.createDataFrame([], "_y double, e double"), {"Null": []}, F.array("e"))
+
+
+@pytest.mark.parametrize("extent", [1.0, 9_000.0, 3_000_000.0])
+def test_ladder_reaches_its_smallest_bandwidth_on_any_extent(spark, extent):
+    df = spark.createDataFrame([(0.0, 5.0), (extent, 6.0)], "x double, y double")
+    bands = L.bandwidth_ladder(df, "x", "y").bandwidths
+    assert bands[0] == extent / 2 and all(2 * b == a for a, b in zip(bands, bands[1:]))
+    assert len(bands) == 1 if extent / 2 < 5_000 else 2_500 <= bands[-1] < 5_000
+
+
+def test_a_pyramid_adds_up_and_a_dense_cell_has_the_right_spread(spark):
+    """A third of all rows in one cell; sums of every level, and squared errors from sums, against the rows."""
+    rng = np.random.default_rng(11)
+    n = 900
+    x, y = rng.uniform(0, 100_000, n), rng.uniform(0, 100_000, n)
+    x[: n // 3], y[: n // 3] = 50_500.0, 50_500.0
+    counts = rng.poisson(4 + 3 * np.sin(x / 9_000))
+    rows = [(int(i), float(a), float(b), int(k)) for i, (a, b, k) in enumerate(zip(x, y, counts))]
+    df = spark.createDataFrame(rows, "site int, east double, north double, rich int")
+    fit = M.fit_coarse_to_fine(df, M.holdout_select(df, M.ModelData("site", "rich", "east", "north"), smallest=1_000.0))
+    got = {r.site: r for r in M.predict_mean_sd(fit).collect()}
+    side, (x0, y0) = fit.selection.ladder.side(fit.level), fit.selection.ladder.origin
+    cells = {}
+    for i, a, b, k in rows:
+        squared, m = cells.get(key := (math.floor((a - x0) / side), math.floor((b - y0) / side)), (0.0, 0))
+        cells[key] = (squared + (k - got[i].pred) ** 2, m + 1)
+    for i, a, b, _ in rows[:: n // 40]:
+        cx, cy = math.floor((a - x0) / side), math.floor((b - y0) / side)
+        near = [(math.exp(-((cx - u) ** 2 + (cy - v) ** 2) / 8), *cells[u, v]) for u, v in cells if (cx - u) ** 2 + (cy - v) ** 2 <= 36]
+        assert got[i].pred_sd == pytest.approx(math.sqrt(sum(w * s for w, s, _ in near) / sum(w * m for w, _, m in near)), rel=1e-6)
+    assert sum(r.fitted for r in M.fitted_cells(fit).collect()) > 0
+    pyramid = M._Pyramid(fit.rows, fit.selection.ladder, fit.linear, {"seen": F.col("_y")})
+    assert {pyramid.level(k).agg(F.sum("seen")).first()[0] for k in range(len(fit.selection.ladder.bandwidths))} == {float(counts.sum())}
+
+
 def test_known_surface_is_recovered(surface, fitted):
     slopes = {(r["model"], r["var"]): r for r in M.coefficients(fitted).collect()}
     slope = slopes[("t", "t")]
