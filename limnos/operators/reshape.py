@@ -86,6 +86,14 @@ def multi_valued_cells(df: DataFrame, columns: Sequence[str], sep: str = "|") ->
     return transpose_stats(df.agg(*counts), "column", "n_multi", "bigint")
 
 
+def multi_valued_counts(df: DataFrame, keys: Sequence[str], name: str, value: str, values: Sequence[str]) -> DataFrame:
+    """The same from long rows: cells of each label with several present values, counted without joining any text."""
+    cells = df.groupBy(*[F.col(f"`{k}`") for k in [*keys, name]]).agg(F.count(F.col(f"`{value}`")).alias("_values"))
+    several = F.col("_values") > 1
+    counts = [F.count_if(several & (F.col(f"`{name}`") == F.lit(v))).alias(v) for v in values]
+    return transpose_stats(cells.agg(*counts), "column", "n_multi", "bigint")
+
+
 def scores_wide(df: DataFrame, model: str, stat: str, value: str, stats: Sequence[str] | None = None,
                 several: str = "raise") -> DataFrame:
     """(model, stat, value) rows -> one row per model."""

@@ -54,7 +54,7 @@ def harmonise(spark, sf):
 
 
 _SURVEYED = "SELECT o_custkey AS site, CAST(year(o_orderdate) AS INTEGER) AS yr, o_totalprice AS v FROM orders WHERE o_orderstatus = 'F'"
-_MEASURED = "SELECT o_custkey AS site, CAST(year(o_orderdate) AS INTEGER) AS yr, o_orderkey FROM orders WHERE o_orderstatus = 'O'"
+_MEASURED = "SELECT o_custkey AS site, CAST(year(o_orderdate) AS INTEGER) AS yr, o_orderkey FROM orders WHERE o_orderstatus <> 'F'"
 
 
 def _surveyed(spark, sf):
@@ -62,7 +62,7 @@ def _surveyed(spark, sf):
 
 
 def _measured(spark, sf):
-    return table(spark, sf, "orders").filter("o_orderstatus = 'O'").selectExpr("o_custkey AS site", "year(o_orderdate) AS yr", "o_orderkey")
+    return table(spark, sf, "orders").filter("o_orderstatus <> 'F'").selectExpr("o_custkey AS site", "year(o_orderdate) AS yr", "o_orderkey")
 
 
 @query("natural_left_join", f"WITH a AS ({_SURVEYED}), b AS ({_MEASURED}) SELECT a.*, b.o_orderkey FROM a LEFT JOIN b ON a.site = b.site AND a.yr = b.yr")
@@ -82,18 +82,18 @@ def lookup_join(spark, sf):
 
 
 _FULL_A = "SELECT o_custkey AS site, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(year(o_orderdate) AS INTEGER) END AS yr, count(*) AS n_a FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL"
-_FULL_B = "SELECT o_custkey AS site, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(year(o_orderdate) AS INTEGER) END AS yr, count(*) AS n_b FROM orders WHERE o_orderstatus = 'O' GROUP BY ALL"
+_FULL_B = "SELECT o_custkey AS site, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(year(o_orderdate) AS INTEGER) END AS yr, count(*) AS n_b FROM orders WHERE o_orderstatus <> 'F' GROUP BY ALL"
 
 
 @query("full_join", f"WITH a AS ({_FULL_A}), b AS ({_FULL_B}) SELECT coalesce(a.site, b.site) AS site, coalesce(a.yr, b.yr) AS yr, n_a, n_b "
                     "FROM a FULL JOIN b ON a.site = b.site AND a.yr IS NOT DISTINCT FROM b.yr")
 def full_join(spark, sf):
-    def side(status, name):
-        rows = table(spark, sf, "orders").filter(F.col("o_orderstatus") == status).selectExpr(
+    def side(condition, name):
+        rows = table(spark, sf, "orders").filter(condition).selectExpr(
             "o_custkey AS site", "CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE year(o_orderdate) END AS yr")
         return rows.groupBy("site", "yr").agg(F.count(F.lit(1)).alias(name))
 
-    return J.full_join(side("F", "n_a"), side("O", "n_b"), ["site", "yr"])
+    return J.full_join(side("o_orderstatus = 'F'", "n_a"), side("o_orderstatus <> 'F'", "n_b"), ["site", "yr"])
 
 
 @query("semi_join", "SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
@@ -173,13 +173,13 @@ def master_list(spark, sf):
     return S.master_list(t, ["plain", "recorded", "genus"])
 
 
-@query("intersect_values", "SELECT c_nationkey AS k FROM customer WHERE c_acctbal > 5000 INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000")
+@query("intersect_values", "SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")
 def intersect_values(spark, sf):
-    a = table(spark, sf, "customer").filter("c_acctbal > 5000").selectExpr("c_nationkey AS k")
-    return S.intersect_values(a, table(spark, sf, "supplier").filter("s_acctbal > 5000").selectExpr("s_nationkey AS k"))
+    a = table(spark, sf, "customer").selectExpr("c_nationkey AS k")
+    return S.intersect_values(a, table(spark, sf, "supplier").selectExpr("s_nationkey AS k"))
 
 
-@query("except_values", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 300000")
+@query("except_values", "SELECT c_custkey AS k FROM customer EXCEPT SELECT s_suppkey FROM supplier")
 def except_values(spark, sf):
     a = table(spark, sf, "customer").selectExpr("c_custkey AS k")
-    return S.except_values(a, table(spark, sf, "orders").filter("o_totalprice > 300000").selectExpr("o_custkey AS k"))
+    return S.except_values(a, table(spark, sf, "supplier").selectExpr("s_suppkey AS k"))

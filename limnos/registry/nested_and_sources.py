@@ -227,7 +227,7 @@ def cast_wide_concat(spark, sf):
 @query("multi_valued_cells", f"WITH w AS ({_WIDE_TEXT}) " + " UNION ALL ".join(
     f"SELECT '{v}' AS \"column\", count_if(contains(\"{v}\", '|')) AS n_multi FROM w" for v in [*_PRIORITIES, _PLACEHOLDER]))
 def multi_valued_cells(spark, sf):
-    return R.multi_valued_cells(_wide_text(spark, sf), [*_PRIORITIES, _PLACEHOLDER])
+    return R.multi_valued_counts(table(spark, sf, "orders"), ["o_custkey"], "o_orderpriority", "o_orderkey", [*_PRIORITIES, _PLACEHOLDER])
 
 
 @query("pivot_with", "SELECT l_suppkey, " + ", ".join(

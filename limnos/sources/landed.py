@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,16 +53,59 @@ def union_evolving(*frames: DataFrame, schema: T.StructType | None = None) -> Da
     return typed.select([typed[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+_CSV = {"nullValue": "NA", "emptyValue": "", "enforceSchema": "true", "quote": '"', "escape": '"'}
+
+
 def scan_csv_typed(spark: SparkSession, path: str, schema: T.StructType | str, line_breaks: bool = True) -> DataFrame:
     """CSV with a header, quotes in a text doubled; blank cells, quoted ones too, and ``NA`` are NULL.
 
-    With ``line_breaks`` a quoted text may hold line breaks; a file is then read by one task. Files known to
-    have none can be split without it.
+    A quoted text may hold line breaks; files are read in splits all the same. Without ``line_breaks`` none is looked for.
     """
-    rows = spark.read.csv(path, schema=schema, header=True, nullValue="NA", emptyValue="", enforceSchema=True, quote='"', escape='"', multiLine=line_breaks)
+    if line_breaks and _has_broken_texts(lines := _csv_lines(spark, path)):
+        records = _records(lines)
+        kind = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        rows = records.select(F.from_csv("record", kind, {**_CSV, "multiLine": "true"}).alias("r")).select("r.*")
+    else:
+        rows = spark.read.options(**_CSV).csv(path, schema=schema, header=True)
     return rows.withColumns({n: F.nullif(F.col(f"`{n}`"), F.lit("")) for n, kind in rows.dtypes if kind == "string"})
 
 
+def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their file, the split that begins them, their order, and whether their quotes are odd in number."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return lines.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"),
+                        F.monotonically_increasing_id().alias("at"), (quotes % 2).alias("odd"))
+
+
+def _has_broken_texts(lines: DataFrame) -> bool:
+    return not lines.filter("odd = 1").isEmpty()
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    """The records of files whose quoted texts hold line breaks, without each file's first one, the header.
+
+    A line begins inside a text if the quotes before it in its file are odd in number. Splits count theirs on their own;
+    sums over the splits of a file, one row each, tell with which parity, and in which record, a split begins. Only
+    lines of broken records meet others, by record. A quote may stand nowhere but around or doubled in a text.
+    """
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    above = Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("file", "split").orderBy("at")
+    odd = lines.groupBy("file", "split").agg(F.sum("odd").alias("odd"))
+    parity = odd.select("file", "split", (F.coalesce(F.sum("odd").over(earlier), F.lit(0)) % 2).alias("inside"))
+    known = lines.join(parity, ["file", "split"]).withColumn("inside", (F.col("inside") + F.coalesce(F.sum("odd").over(above), F.lit(0))) % 2)
+    numbered = known.withColumn("begins", F.col("inside") == 0).withColumn("place", F.count_if("begins").over(upto))
+    begun = known.groupBy("file", "split").agg(F.count_if(F.col("inside") == 0).alias("begun"))
+    before = begun.select("file", "split", F.coalesce(F.sum("begun").over(earlier), F.lit(0)).alias("before"))
+    placed = numbered.join(before, ["file", "split"]).withColumn("number", F.col("before") + F.col("place"))
+    whole = placed.filter("begins and odd = 0").select("number", F.col("value").alias("record"))
+    broken = placed.filter("not begins or odd = 1").groupBy("file", "number").agg(F.array_sort(F.collect_list(F.struct("split", "at", "value"))).alias("lines"))
+    joined = broken.select("number", F.array_join("lines.value", "\n").alias("record"))
+    records = whole.unionByName(joined).filter("number > 1").select(F.regexp_replace("record", "\r$", "").alias("record"))
+    return records.filter("record <> ''")
+
+
 def scan_unit_dictionary(spark: SparkSession, path: str) -> DataFrame:
     """The eight-column unit dictionary, its columns named by position."""
     kinds = {"id": "int", "sigfig": "int"}
@@ -84,12 +127,12 @@ def save_and_reload(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sink_csv(df: DataFrame, path: str) -> None:
-    """Flat output with a header, missing written as ``NA``; one file per task.
+def sink_csv(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> None:
+    """Flat output with a header, missing written as ``NA``; one file per task, or more of so many rows.
 
     Quotes in a text are doubled. The format cannot tell the text ``NA``, or an empty one, from a missing value.
     """
-    df.write.mode("errorifexists").csv(path, header=True, nullValue="NA", emptyValue="", quote='"', escape='"')
+    df.write.mode("errorifexists").option("maxRecordsPerFile", rows_per_file).csv(path, header=True, nullValue="NA", emptyValue="", quote='"', escape='"')
 
 
 def sink_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -3,6 +3,8 @@
 from datetime import date
 from types import SimpleNamespace
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,6 +171,9 @@ def test_joined_cells(spark):
     wide = R.cast_wide_concat(long, ["k"], "n", "v", ["a", "b"])
     assert rows(wide) == [(1, "x|y", None), (2, None, "z")]
     assert rows(R.multi_valued_cells(wide, ["a", "b"])) == [("a", 1), ("b", 0)]
+    assert rows(R.multi_valued_counts(long, ["k"], "n", "v", ["a", "b", "c"])) == [("a", 1), ("b", 0), ("c", 0)]
+    one = spark.createDataFrame([(1, "a", "x|y")], "k int, n string, v string")
+    assert rows(R.multi_valued_counts(one, ["k"], "n", "v", ["a"])) == [("a", 0)]  # a value that holds the mark is one
 
 
 def test_concat_distinct_orders(spark):
@@ -243,6 +248,27 @@ def test_wide_tables_lose_nothing(spark):
         R.cast_wide(twice, ["k"], "label", "v").collect()
 
 
+@pytest.mark.parametrize("split", ["7", "40", "1000000"])
+def test_quoted_line_breaks_are_read_in_splits(spark, tmp_path, split):
+    """Files of all kinds of texts, cut anywhere, against the reader that takes each file as a whole."""
+    rng = random.Random(int(split))
+    marks = ["a", "bc", "é中", ",", '""', "\n", "\r\n", "\n\n", " ", "NA", "1"]
+    for file in range(3):
+        body = "".join(f'{k},"{"".join(rng.choices(marks, k=rng.randrange(9)))}",{rng.choice(["1.5", "", "NA", "x"])}{rng.choice([chr(10), chr(13) + chr(10), chr(10) * 2])}' for k in range(file * 40))
+        (tmp_path / f"{file}.csv").write_bytes(("k,t,v\n" + body).encode())
+    (tmp_path / "empty.csv").write_text("")
+    schema = "k int, t string, v double"
+    whole = spark.read.csv(str(tmp_path), schema=schema, header=True, nullValue="NA", emptyValue="", enforceSchema=True, quote='"', escape='"', multiLine=True)
+    want = rows(whole.withColumn("t", F.nullif("t", F.lit(""))))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = L.scan_csv_typed(spark, str(tmp_path), schema)
+        assert rows(got) == want and len(want) > 50
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_texts_survive_a_csv_round_trip(spark, tmp_path):
     texts = [(1, 'a "quoted" word, and comma', 1.5), (2, "two\nlines", None), (3, None, 2.0), (4, "back\\slash\\", 0.0), (5, '"', 1.0)]
     df = spark.createDataFrame(texts, "k int, t string, v double")
