@@ -26,12 +26,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from limnos.llm.shared import id_and_text, map_slices
-from limnos.llm.tokens import GENERATION, LONGEST_KEPT, PIECES, PLAIN, WHITE, _byte_letters
+from limnos.llm.tokens import FRONT, GENERATION, LONGEST_KEPT, PIECES, PLAIN, _byte_letters
 
 LIMIT = 1024
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 TOUCHED = 1 << 48  # above any count: white space touches the front of a part
-FRONT = re.compile(f"[{WHITE}]|$")
 
 
 def _library(path: str) -> Any:

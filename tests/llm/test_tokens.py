@@ -6,15 +6,19 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
-from limnos.llm import packing, token_files
+from limnos.llm import packing, token_files, tokens
 from limnos.llm.queries import TOKENIZER
 from limnos.llm.tokens import encoder
 from limnos.session import new_path
 
 
+LIBRARY = Tokenizer.from_file(TOKENIZER)
+
+
 def whole(text):
-    return encoder(TOKENIZER).tokenizer.encode(text or "", add_special_tokens=False).ids
+    return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
 def ids_of(data):
@@ -27,6 +31,20 @@ def test_pieces_give_the_ids_of_the_whole(text):
     assert ids_of(encoder(TOKENIZER).encode([text], 7)[0]) == [*whole(text), 7]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", " ", "  ", "\n", "the", "don't", "<|endoftext", "x\n", "\ny", "é.", "a,b", " ?!", "it's,"])).map("".join))
+def test_special_strings_are_the_librarys(text):
+    assert ids_of(encoder(TOKENIZER).encode([text], 7)[0]) == [*whole(text), 7]
+
+
+def test_memory_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "GENERATION", 3)
+    small = tokens.Encoder(TOKENIZER)
+    for text in ["unheardof wordings here", "and more of unheardof wordings", "a b c d e f g", "unheardof b, c"] * 3:
+        assert ids_of(small.encode([text], 0)[0])[:-1] == whole(text)
+        assert len(small.after_blank) <= 3 + 2 * len(text.split())
+
+
 def test_whole_documents(documents):
     for r in documents.collect():
         assert ids_of(encoder(TOKENIZER).encode([r.text], 0)[0])[:-1] == whole(r.text)
