@@ -123,3 +123,40 @@ def neighbour_join(df: DataFrame, x: str, y: str, radius: float, side: float,
         (F.hypot(F.col("dx"), F.col("dy")) * F.lit(side)).alias("distance"),
     )
     return reach.join(cells.withColumnsRenamed({"cx": "nx", "cy": "ny"}), ["nx", "ny"])
+
+
+POINTS_PER_BLOCK = 1000
+
+
+def sums_around_points(df: DataFrame, x: str, y: str, radius: float, sums: Mapping[str, str], bandwidth: float | None = None,
+                       points_per_block: int = POINTS_PER_BLOCK) -> DataFrame:
+    """For each different place of the rows: weight and sums of the rows within ``radius``, by the points' own distances.
+
+    Returns x, y, ``weight`` (the number of rows, or their Gaussian weights where a bandwidth is given) and the weighted
+    sums; a missing value adds nothing, and rows without a place are left out. Rows at one place are summed first. A place
+    meets the nine cells around it, a radius wide; cells are cut in blocks by the places' hash, and a place meets a block
+    in the task of that block, so a dense cell is spread over as many tasks as it has blocks. What leaves a task is sums
+    of a place over a block, never a pair.
+    """
+    rows = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), *[F.col(c).cast("double").alias(f"_{n}") for n, c in sums.items()])
+    places = rows.dropna(subset=["_x", "_y"]).groupBy("_x", "_y").agg(
+        F.count(F.lit(1)).cast("double").alias("_n"), *[F.coalesce(F.sum(f"_{n}"), F.lit(0.0)).alias(f"_{n}") for n in sums])
+    placed = with_cells(places, "_x", "_y", (0.0, 0.0), radius)
+    cells = placed.groupBy("cx", "cy").agg(F.ceil(F.count(F.lit(1)) / F.lit(points_per_block)).cast("int").alias("_blocks"))
+    block = F.pmod(F.xxhash64("_x", "_y"), F.col("_blocks")).cast("int").alias("_block")
+    packed = F.collect_list(F.struct(F.col("_x").alias("x"), F.col("_y").alias("y"), F.col("_n").alias("n"), *[F.col(f"_{n}").alias(f"s_{n}") for n in sums]))
+    blocks = placed.join(cells, ["cx", "cy"]).select("*", block).groupBy("cx", "cy", "_block").agg(packed.alias("_points"))
+    around = with_offsets(placed.select("_x", "_y", "cx", "cy"), 1.5).select("_x", "_y", (F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy"))
+    meets = around.join(cells, ["cx", "cy"]).select("_x", "_y", "cx", "cy", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+
+    def add(total: Column, point: Column) -> Column:
+        dx, dy = point["x"] - F.col("_x"), point["y"] - F.col("_y")
+        squared = dx * dx + dy * dy
+        weight = F.lit(1.0) if bandwidth is None else F.exp(squared * F.lit(-0.5 / bandwidth**2))
+        near = F.when(squared <= F.lit(radius * radius), weight).otherwise(0.0)
+        return F.struct((total["weight"] + near * point["n"]).alias("weight"), *[(total[n] + near * point[f"s_{n}"]).alias(n) for n in sums])
+
+    zero = F.struct(F.lit(0.0).alias("weight"), *[F.lit(0.0).alias(n) for n in sums])
+    partial = meets.join(blocks, ["cx", "cy", "_block"]).select("_x", "_y", F.aggregate("_points", zero, add).alias("_sum"))
+    total = partial.groupBy("_x", "_y").agg(*[F.sum(f"_sum.{n}").alias(n) for n in ["weight", *sums]])
+    return total.withColumnsRenamed({"_x": x, "_y": y})

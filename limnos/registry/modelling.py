@@ -39,6 +39,27 @@ def kernel_local_mean(spark, sf):
     return local.withColumn("local_mean", F.round("local_mean", 9))
 
 
+def _point_sums_sql(weight: str) -> str:
+    return f"""WITH e AS (SELECT embedding[1] * 1e6 AS east, embedding[2] * 1e6 AS north, label FROM embeddings),
+  d AS (SELECT a.east, a.north, (a.east - b.east) * (a.east - b.east) + (a.north - b.north) * (a.north - b.north) AS squared, b.label
+    FROM (SELECT DISTINCT east, north FROM e) a JOIN e b ON b.east BETWEEN a.east - 60000 AND a.east + 60000)
+  SELECT east, north, round(sum({weight}), 6) AS weight, round(sum({weight} * label), 6) AS total FROM d WHERE squared <= 3600000000 GROUP BY east, north"""
+
+
+@query("sums_around_points", _point_sums_sql("1.0e0"))
+def sums_around_points(spark, sf):
+    """Sites and their richness within 60 km of each site, by exact distances."""
+    found = L.sums_around_points(sites(spark, sf), "east", "north", 60_000.0, {"total": "rich"})
+    return found.withColumns({c: F.round(c, 6) for c in ("weight", "total")})
+
+
+@query("kernel_sums_at_points", _point_sums_sql("exp(-0.5e0 * squared / 400000000)"))
+def kernel_sums_at_points(spark, sf):
+    """The same weighted by a Gaussian kernel of 20 km, cut at 60 km."""
+    found = L.sums_around_points(sites(spark, sf), "east", "north", 60_000.0, {"total": "rich"}, bandwidth=20_000.0)
+    return found.withColumns({c: F.round(c, 6) for c in ("weight", "total")})
+
+
 @query("bandwidth_ladder", "SELECT k, round((max(l_extendedprice) - min(l_extendedprice)) / 2 * power(0.5, k), 6) AS band FROM lineitem, "
                            "generate_series(0, 7) AS g(k) GROUP BY k")
 def bandwidth_ladder(spark, sf):

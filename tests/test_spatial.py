@@ -47,6 +47,22 @@ def test_neighbour_cells_equal_brute_force(spark):
     assert {((r["cx"], r["cy"]), (r["nx"], r["ny"])) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("bandwidth", [None, 4.0])
+def test_sums_at_points_equal_brute_force(spark, bandwidth):
+    """Copies of places, a dense cell of many blocks, missing values and rows without a place."""
+    rng = np.random.default_rng(4)
+    points = [(float(x), float(y), float(v)) for x, y, v in zip(rng.uniform(-40, 40, 250), rng.uniform(-40, 40, 250), rng.poisson(5, 250))]
+    points += [(float(x), float(y), 1.0) for x, y in rng.uniform(10, 12, (150, 2))] + points[:40] + [(0.5, 0.5, None)] * 3
+    df = spark.createDataFrame([*points, (None, 1.0, 2.0), (1.0, None, 2.0)], "x double, y double, v double")
+    got = L.sums_around_points(df, "x", "y", 7.0, {"total": "v"}, bandwidth, points_per_block=20).collect()
+    assert {(r.x, r.y) for r in got} == {(x, y) for x, y, _ in points} and len(got) == len({(x, y) for x, y, _ in points})
+    for r in got:
+        near = [((r.x - x) ** 2 + (r.y - y) ** 2, v or 0.0) for x, y, v in points if (r.x - x) ** 2 + (r.y - y) ** 2 <= 49]
+        weights = [1.0 if bandwidth is None else math.exp(-0.5 * d / bandwidth**2) for d, _ in near]
+        assert r.weight == pytest.approx(sum(weights), rel=1e-9)
+        assert r.total == pytest.approx(sum(w * v for w, (_, v) in zip(weights, near)), rel=1e-9)
+
+
 @pytest.fixture(scope="module")
 def surface(spark):
     """Counts over 200 km with a wide wave and a covariate whose effect is known."""
