@@ -3,7 +3,8 @@
 Known forms are key assignments, access keys and hexadecimal runs. For the rest, each candidate string (a run of the
 characters that keys are written in) is cut into runs of one character class; a window slides over each run and its
 Shannon entropy is kept up to date from the counts of the one character that leaves and the one that enters. Windows
-at or above the class's threshold are joined to spans. An allow-list suppresses what is random in form only.
+at or above the class's threshold are joined to spans. An allow-list suppresses what is random in form only. The work is
+linear in the text's length but for sorting its spans.
 
 Null text is an empty text; an empty text has no spans. Repeated rows give repeated results. Spans are
 ``kind:start:end`` in code points, end exclusive.
@@ -50,19 +51,25 @@ CLASSES = (
     CharacterClass("entropy_alnum", re.compile(r"[0-9A-Za-z]+"), 20, 3.7),
     CharacterClass("entropy_base64", re.compile(r"[0-9A-Za-z+/_-]+"), 24, 4.0),
 )
-# What is random in form only: words and names in one case or joined by signs, numbers, identifiers of public kinds,
-# dates and times, published sample keys.
+# What is random in form only: words and names, in one case or with capitals where words begin, alone or joined by signs;
+# numbers, identifiers of public kinds, dates and times.
+SHORT_WORDS = "Am|An|As|At|Be|By|Do|Go|He|Id|If|In|Is|It|Me|My|No|Of|On|Or|So|To|Up|Us|We"
+WORDS = rf"[a-z]*(?:[A-Z]+[a-z]{{2,}}|[A-Z]*(?:{SHORT_WORDS}))*[A-Z]*"
 ALLOWED = tuple(
     re.compile(p)
     for p in (
-        r"[A-Za-z+/_.=-]+",
+        rf"(?:{WORDS}[+/_.=-])*{WORDS}",
         r"[0-9+/_.=-]+",
         r"[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}",
         r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9.+:Z-]+",
-        r".*EXAMPLE.*",
-        r"(?:[A-Za-z]+[0-9]{0,4}[._/+=-])+[A-Za-z0-9]{0,12}",
+        rf"(?:{WORDS}[0-9]{{0,4}}[._/+=-])+[A-Za-z0-9]{{0,12}}",
     )
 )
+SAMPLE, SAMPLE_LENGTH = "EXAMPLE", 64  # published sample keys hold this word and are no longer
+
+
+def _is_allowed(text: str) -> bool:
+    return any(a.fullmatch(text) for a in ALLOWED)
 
 
 def window_entropies(run: str, window: int) -> Iterator[float]:
@@ -83,15 +90,30 @@ def window_entropies(run: str, window: int) -> Iterator[float]:
             yield math.log2(window) - total / window
 
 
+def _outside(spans: list[tuple[int, int, str]], around: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Those of ``spans`` that lie in none of ``around``, by one sweep over both in order of their starts."""
+    opened = iter(sorted(around))
+    coming = next(opened, None)
+    reach, out = -1, []  # the furthest end of spans that start no later
+    for span in sorted(spans):
+        while coming is not None and coming[0] <= span[0]:
+            reach = max(reach, coming[1])
+            coming = next(opened, None)
+        if span[1] > reach:
+            out.append(span)
+    return out
+
+
 def entropy_spans(text: str) -> list[tuple[int, int, str]]:
     """Spans of suspicious windows, of the first class only where classes overlap."""
-    out: list[tuple[int, int, str]] = []
+    by_class: dict[str, list[tuple[int, int, str]]] = {c.kind: [] for c in CLASSES}
     for candidate in CANDIDATE.finditer(text):
-        if any(a.fullmatch(candidate[0]) for a in ALLOWED):
+        if _is_allowed(candidate[0]):
             continue
         for chars in CLASSES:
+            out = by_class[chars.kind]
             for run in chars.run.finditer(candidate[0]):
-                if len(run[0]) < chars.window or any(a.fullmatch(run[0]) for a in ALLOWED):
+                if len(run[0]) < chars.window or _is_allowed(run[0]) or len(run[0]) <= SAMPLE_LENGTH and SAMPLE in run[0]:
                     continue
                 begin = candidate.start() + run.start()
                 span = None
@@ -108,9 +130,8 @@ def entropy_spans(text: str) -> list[tuple[int, int, str]]:
                 if span:
                     out.append((*span, chars.kind))
     kept: list[tuple[int, int, str]] = []
-    for span in sorted(out, key=lambda s: (KINDS.index(s[2]), s[0])):
-        if not any(k[0] <= span[0] and span[1] <= k[1] for k in kept):
-            kept.append(span)
+    for spans in by_class.values():
+        kept += _outside(spans, kept)
     return kept
 
 
@@ -126,7 +147,7 @@ def all_spans(text: str | None) -> list[tuple[int, int, str]]:
     if not text:
         return []
     found = base_spans(text)
-    found += [s for s in entropy_spans(text) if not any(b[0] <= s[0] and s[1] <= b[1] for b in found)]
+    found += _outside(entropy_spans(text), found)
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
