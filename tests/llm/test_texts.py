@@ -2,8 +2,11 @@
 
 import hashlib
 import math
+import random
 import re
+import string
 import textwrap
+import time
 from collections import Counter
 from zlib import crc32
 
@@ -51,6 +54,60 @@ def test_entropy_finds_random_strings_and_leaves_allowed_ones():
         assert secrets.entropy_spans(harmless) == []
 
 
+def plain_entropy_spans(text):
+    """Suspicious spans by marking characters of all windows, class after class."""
+    kept = []
+    for chars in secrets.CLASSES:
+        found = []
+        for c in re.finditer(r"[A-Za-z0-9+/_.=-]+", text):
+            if len(c[0]) < 20 or any(a.fullmatch(c[0]) for a in secrets.ALLOWED):
+                continue
+            for r in chars.run.finditer(c[0]):
+                if any(a.fullmatch(r[0]) for a in secrets.ALLOWED) or len(r[0]) <= 64 and "EXAMPLE" in r[0]:
+                    continue
+                windows = []
+                for i in range(len(r[0]) - chars.window + 1):
+                    counts = Counter(r[0][i : i + chars.window]).values()
+                    if -sum(n / chars.window * math.log2(n / chars.window) for n in counts) >= chars.bits - 1e-12:
+                        windows.append(i)
+                for i in windows:
+                    at = c.start() + r.start() + i
+                    if found and found[-1][2] == c.start() + r.start() and at <= found[-1][1]:
+                        found[-1] = (found[-1][0], at + chars.window, found[-1][2])
+                    else:
+                        found.append((at, at + chars.window, c.start() + r.start()))
+        kept += [(s, e, chars.kind) for s, e, _ in found if not any(k[0] <= s and e <= k[1] for k in kept)]
+    return kept
+
+
+def test_entropy_spans_by_brute_force():
+    draw = random.Random(3)
+    alphabets = ["0123456789abcdef", string.ascii_letters, string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/-_", "ab1", string.ascii_lowercase]
+    for _ in range(300):
+        text = "".join("".join(draw.choices(draw.choice(alphabets), k=draw.randrange(1, 60))) + draw.choice(["", " ", "=", ".", "EXAMPLE", "/"]) for _ in range(8))
+        assert sorted(secrets.entropy_spans(text)) == sorted(plain_entropy_spans(text))
+        known = secrets.base_spans(text)
+        want = known + [s for s in plain_entropy_spans(text) if not any(k[0] <= s[0] and s[1] <= k[1] for k in known)]
+        assert sorted(secrets.all_spans(text)) == sorted(want)
+
+
+def test_keys_of_letters_are_found_and_names_are_not():
+    draw = random.Random(4)
+    keys = ["".join(draw.choices(string.ascii_letters, k=32)) for _ in range(500)]
+    assert sum(bool(secrets.entropy_spans(f"a {k} b")) for k in keys) >= 475
+    for name in ("getValueOfTheFirstElementInList", "INTERNATIONALISATION_OF_EVERYTHING", "org.example.ThisIsAVeryLongClassName", "one-two-three-four-five-six-seven", "HTTPServerOfOurOldTown"):
+        assert secrets.entropy_spans(name) == []
+    assert secrets.entropy_spans("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []
+
+
+def test_many_keys_in_one_text_take_linear_time():
+    draw = random.Random(5)
+    text = " ".join("".join(draw.choices(string.ascii_letters + string.digits, k=40)) for _ in range(12_000))
+    began = time.process_time()
+    assert len(secrets.all_spans(text)) >= 11_900
+    assert time.process_time() - began < 15
+
+
 def test_redaction_keeps_rows_and_columns(edges, nothing):
     out = secrets.redact(edges)
     assert out.schema == edges.schema and out.count() == edges.count()
