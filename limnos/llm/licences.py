@@ -4,8 +4,8 @@ A line is a paragraph; a line of more than WINDOW words is cut into overlapping
 are often wrapped, each line is also read on into the lines after it, up to the next line without words: its last OVERLAP
 words and the OVERLAP words that follow. No template is longer than that.
 
-Paragraphs become sets of word n-grams, hashed to a sparse vector; a multinomial logistic regression with an L1 penalty
-tells licence families from each other and from paragraphs that are no licence. It is trained on the labelled paragraphs
+Paragraphs become sets of word n-grams, each the 64-bit hash of the hashes of its words, put into a sparse vector; a
+multinomial logistic regression with an L1 penalty tells licence families from each other and from paragraphs that are no licence. It is trained on the labelled paragraphs
 below, with at most BACKGROUND different lines of the corpus as the unknown class, each counting once however often it
 occurs. Lines of the corpus fall into two halves: one is for the fit, all different paragraphs of the other calibrate: a
 family counts only above the probability that CALIBRATION of them stay below. Paragraphs at or above it are compared with
@@ -23,7 +23,7 @@ import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, NGram
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -127,12 +127,28 @@ def words(paragraph: Column) -> Column:
     return F.regexp_extract_all(F.lower(paragraph), F.lit(WORD), F.lit(0))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column through a generator, so that Spark does not compute it anew wherever it is used."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def _with_grams(df: DataFrame) -> DataFrame:
-    """``df`` with all n-grams of its words; fewer words than n have none of that length."""
+    """``df`` with the hashes of all n-grams of its words; fewer words than n have none of that length.
+
+    The hash of n words is that of the hash of n - 1 words and the hash of the last one, so no text is joined.
+    """
+    df = _once(df, "grams1", F.transform("words", lambda w: F.xxhash64(w)))
     for n in GRAMS[1:]:
-        df = NGram(n=n, inputCol="words", outputCol=f"grams{n}").transform(df)
-    longer = [f"grams{n}" for n in GRAMS[1:]]
-    return df.select("*", F.explode(F.array(F.concat("words", *longer))).alias("grams")).drop(*longer)  # a generator: nothing is computed anew
+        left = F.greatest(F.size("words") - (n - 1), F.lit(0))
+        df = _once(df, f"grams{n}", F.zip_with(F.slice(f"grams{n - 1}", 1, left), F.slice("grams1", n, left), lambda g, w: F.xxhash64(g, w)))
+    each = [f"grams{n}" for n in GRAMS]
+    return _once(df, "grams", F.concat(*each)).drop(*each)
+
+
+def _gram_hash(gram: Column) -> Column:
+    """The hash of one n-gram, given as an array of words."""
+    rest = F.slice(gram, 2, F.size(gram))
+    return F.aggregate(rest, F.xxhash64(gram[0]), lambda g, w: F.xxhash64(g, F.xxhash64(w)))
 
 
 def needed_words(share: float) -> list[str]:
@@ -160,36 +176,51 @@ def _windows(words_column: Column) -> Column:
     return F.when(size <= WINDOW, F.array(words_column)).otherwise(F.transform(starts, lambda i: F.slice(words_column, i, WINDOW)))
 
 
-def _lines(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, row, paragraph, line, lines): the words of each line that has any, with those of all lines of its text."""
+def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, row, lines): the words of all lines of each text."""
     lines = F.transform(F.split("text", "\n"), words)
-    texts = id_and_text(docs, id_column, text_column).select("doc_id", F.monotonically_increasing_id().alias("row"), F.explode(F.array(lines)).alias("lines"))
-    return texts.select("doc_id", "row", "lines", F.posexplode("lines").alias("paragraph", "line")).where(F.size("line") > 0)
+    texts = id_and_text(docs, id_column, text_column).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    return _once(texts, "lines", lines).drop("text")
+
+
+def _lines(texts: DataFrame, *also: str) -> DataFrame:
+    """(doc_id, row, paragraph, line, and columns of the text): each line that has words."""
+    return texts.select("doc_id", "row", *also, F.posexplode("lines").alias("paragraph", "line")).where(F.size("line") > 0)
 
 
 def paragraphs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, row, paragraph, words): the windows of all lines that hold a word; lines are numbered from 0."""
-    return _lines(docs, id_column, text_column).select("doc_id", "row", "paragraph", F.explode(_windows(F.col("line"))).alias("words"))
+    return _lines(_texts(docs, id_column, text_column)).select("doc_id", "row", "paragraph", F.explode(_windows(F.col("line"))).alias("words"))
 
 
 def _read_on(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, row, paragraph, words, own, after): the end of each line, and what follows up to a line without words."""
+    """(doc_id, row, paragraph, words, own, after): the end of each line, and what follows up to a line without words.
+
+    Only where any of these words is needed by a template: texts and lines that are far from such words are left early.
+    """
+    needed = needed_words(SIMILARITY)
+    near = F.transform("lines", lambda line: F.exists(line, lambda w: w.isin(needed)))
+    texts = _once(_texts(docs, id_column, text_column), "near", near).where(F.array_contains("near", True))
+    close = F.array_contains(F.slice("near", F.col("paragraph") + 1, OVERLAP + 1), True)
     after = F.slice("lines", F.col("paragraph") + 2, OVERLAP)
     stop = F.array_position(F.transform(after, F.size), 0).cast("int")
     after = F.slice(F.flatten(F.when(stop > 0, F.slice(after, 1, F.greatest(stop - 1, F.lit(0)))).otherwise(after)), 1, OVERLAP)
     own = F.slice("line", F.greatest(F.size("line") - OVERLAP, F.lit(0)) + 1, OVERLAP)
-    both = _lines(docs, id_column, text_column).select("doc_id", "row", "paragraph", F.inline(F.array(F.struct(own.alias("own"), after.alias("after")))))
-    return both.where(F.size("after") > 0).select("*", F.explode(F.array(F.concat("own", "after"))).alias("words"))
+    both = _lines(texts, "lines", "near").where(close).select("doc_id", "row", "paragraph", F.inline(F.array(F.struct(own.alias("own"), after.alias("after")))))
+    return _once(both.where(F.size("after") > 0), "words", F.concat("own", "after")).where(F.exists("words", lambda w: w.isin(needed)))
 
 
 def templates(spark: SparkSession) -> DataFrame:
     """(family, template, and its n-grams: all, the longest ones, and the telling ones): a table of fixed size."""
-    rows = spark.createDataFrame([(f, t) for f, texts in TEMPLATES.items() for t in texts], "family string, template string")
-    grams = _with_grams(rows.withColumn("words", words(F.col("template")))).withColumn("grams", F.array_distinct("grams"))
-    length = F.least(F.lit(GRAMS[-1]), F.size("words"))
-    telling = F.filter("grams", lambda g: F.exists(F.split(g, " "), lambda w: ~w.isin(sorted(COMMON))))
-    runs = F.filter("grams", lambda g: F.size(F.split(g, " ")) == length)
-    return saved(grams.select("family", "template", F.col("grams").alias("template_grams"), runs.alias("template_runs"), telling.alias("template_telling")).coalesce(1), "licence-templates")
+    rows = []
+    for family, template in ((f, t) for f, texts in TEMPLATES.items() for t in texts):
+        own = re.findall(WORD, template.lower())
+        grams = [own[i : i + n] for n in GRAMS for i in range(len(own) - n + 1)]
+        rows.append((family, template, grams, [g for g in grams if len(g) == min(GRAMS[-1], len(own))], [g for g in grams if not COMMON.issuperset(g)]))
+    kinds = ("template_grams", "template_runs", "template_telling")
+    given = spark.createDataFrame(rows, "family string, template string, " + ", ".join(f"{k} array<array<string>>" for k in kinds))
+    hashed = [F.array_distinct(F.transform(k, _gram_hash)).alias(k) for k in kinds]
+    return saved(given.select("family", "template", *hashed).coalesce(1), "licence-templates")
 
 
 def _known(spark: SparkSession) -> DataFrame:
@@ -278,7 +309,7 @@ def _wrapped(docs: DataFrame, scanner: Scanner, id_column: str, text_column: str
     The line alone and what follows alone must each hold fewer of the template's longest n-grams. Of the readings of a
     template that begin at neighbouring lines the best one stays, the first of equal ones.
     """
-    read = _with_grams(_read_on(docs, id_column, text_column).where(_holds_needed(SIMILARITY)))
+    read = _with_grams(_read_on(docs, id_column, text_column))
     grams = read.crossJoin(F.broadcast(templates(docs.sparkSession))).where((_share(F.col("template_grams")) >= SIMILARITY) & _certain(F.col("template_telling"), F.col("template_runs"))).withColumn("similarity", _share(F.col("template_grams")))
     for part in ("own", "after"):
         alone = _with_grams(grams.withColumnsRenamed({"words": "¶words", "grams": "¶grams"}).withColumn("words", F.col(part)))
