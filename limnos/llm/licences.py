@@ -176,10 +176,10 @@ def _windows(words_column: Column) -> Column:
     return F.when(size <= WINDOW, F.array(words_column)).otherwise(F.transform(starts, lambda i: F.slice(words_column, i, WINDOW)))
 
 
-def _texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """(doc_id, row, lines): the words of all lines of each text."""
+def _texts(docs: DataFrame, id_column: str, text_column: str, *also: Column) -> DataFrame:
+    """(doc_id, row, lines, and columns of the text): the words of all lines of each text."""
     lines = F.transform(F.split("text", "\n"), words)
-    texts = id_and_text(docs, id_column, text_column).select("doc_id", F.monotonically_increasing_id().alias("row"), "text")
+    texts = id_and_text(docs, id_column, text_column).select("doc_id", F.monotonically_increasing_id().alias("row"), "text", *also)
     return _once(texts, "lines", lines).drop("text")
 
 
@@ -241,10 +241,16 @@ def _vectors(with_grams: DataFrame) -> DataFrame:
     return HashingTF(numFeatures=BUCKETS, binary=True, inputCol="grams", outputCol="features").transform(with_grams)
 
 
+def _with_nearness(with_grams: DataFrame, where: Column) -> DataFrame:
+    """``near``: whether a paragraph is near a template, looked at only in the rows of ``where``."""
+    near = F.exists("known", lambda t: _share(t["template_telling"]) >= SIMILARITY / 2)
+    known = F.broadcast(_known(with_grams.sparkSession))
+    return _once(with_grams.crossJoin(known), "near", F.when(where & _holds_needed(SIMILARITY / 2), near).otherwise(F.lit(False))).drop("known")
+
+
 def _not_near(with_grams: DataFrame) -> DataFrame:
     """Without paragraphs that are near a template: they have no place in the unknown class."""
-    near = F.exists("known", lambda t: _share(t["template_telling"]) >= SIMILARITY / 2)
-    return with_grams.crossJoin(F.broadcast(_known(with_grams.sparkSession))).where(~F.when(_holds_needed(SIMILARITY / 2), near).otherwise(F.lit(False))).drop("known")
+    return _with_nearness(with_grams, F.lit(True)).where(~F.col("near")).drop("near")
 
 
 def background(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -260,19 +266,52 @@ def background(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     return cut.select(F.explode("cut").alias("words"), (F.lit(1.0) / F.size("cut")).alias("weight"))
 
 
-def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Scanner:
-    """Train on the labelled paragraphs and a bounded background of one half, calibrate on all of the other half."""
+def _trained(docs: DataFrame, id_column: str, text_column: str) -> tuple[LogisticRegressionModel, list[str]]:
+    """The model of the labelled paragraphs and a bounded background of one half, and the names of its classes."""
     spark = docs.sparkSession
     families = [UNKNOWN, *TEMPLATES]
     given = [(t, float(families.index(f))) for f, texts in TEMPLATES.items() for t in texts] + [(t, 0.0) for t in NO_LICENCE]
     labelled = spark.createDataFrame(given, "line string, label double").select(words(F.col("line")).alias("words"), "label", F.lit(20.0).alias("weight"))
     unknown = saved(_not_near(_with_grams(background(docs, id_column, text_column))).select("words", F.lit(0.0).alias("label"), "weight"), "licence-background")
     model = LogisticRegression(family="multinomial", weightCol="weight", regParam=2e-4, elasticNetParam=0.9, maxIter=40).fit(_vectors(_with_grams(labelled.unionByName(unknown).coalesce(1))))
-    lines = id_and_text(docs, id_column, text_column).select(F.explode(F.split("text", "\n")).alias("line")).where(F.pmod(F.xxhash64(F.lower("line")), F.lit(2)) == 1)
+    return model, families
+
+
+def _threshold(held: DataFrame) -> float:
+    """The probability that CALIBRATION of the different held-back paragraphs (hash, best) stay below."""
+    each = held.groupBy("hash").agg(F.max("best").alias("best"))
+    return max(LEAST_PROBABILITY, each.agg(F.percentile_approx("best", CALIBRATION, 100_000)).first()[0] or 0.0)
+
+
+def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Scanner:
+    """Train on the labelled paragraphs and a bounded background of one half, calibrate on all of the other half."""
+    model, families = _trained(docs, id_column, text_column)
+    lines = id_and_text(docs, id_column, text_column).select(F.explode(F.split("text", "\n")).alias("line")).where(_held_back(F.col("line")))
     held = lines.select(F.explode(F.array(words(F.col("line")))).alias("line")).where(F.size("line") > 0).select(F.explode(_windows(F.col("line"))).alias("words"))
-    scored = _with_family(model, families, _vectors(_not_near(_with_grams(held)))).groupBy(F.xxhash64("words").alias("hash")).agg(F.max("best").alias("best"))
-    above = scored.agg(F.percentile_approx("best", CALIBRATION, 100_000)).first()[0]
-    return Scanner(model, families, max(LEAST_PROBABILITY, above or 0.0))
+    scored = _with_family(model, families, _vectors(_not_near(_with_grams(held))))
+    return Scanner(model, families, _threshold(scored.select(F.xxhash64("words").alias("hash"), "best")))
+
+
+def _held_back(line: Column) -> Column:
+    return F.pmod(F.xxhash64(F.lower(line)), F.lit(2)) == 1
+
+
+def scan_itself(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``scan(docs, fit(docs))``, but each paragraph is scored once, for the threshold and for the scan.
+
+    What is saved of a paragraph is its probability, where it calibrates, and its words only where it may be a licence.
+    """
+    model, families = _trained(docs, id_column, text_column)
+    texts = _texts(docs, id_column, text_column, F.transform(F.split("text", "\n"), _held_back).alias("halves"))
+    cut = _lines(texts, "halves").select("doc_id", "row", "paragraph", F.element_at("halves", F.col("paragraph") + 1).alias("held"), F.explode(_windows(F.col("line"))).alias("words"))
+    scored = _with_family(model, families, _vectors(_with_nearness(_with_grams(cut), F.col("held"))))
+    scored = _once(scored, "candidate", (F.col("best") >= LEAST_PROBABILITY) | _holds_needed(SIMILARITY)).withColumn("calibrates", F.col("held") & ~F.col("near"))
+    kept = scored.where(F.col("candidate") | F.col("calibrates")).select(
+        "candidate", "calibrates", "best", F.when(F.col("calibrates"), F.xxhash64("words")).alias("hash"),
+        *[F.when(F.col("candidate"), F.col(c)).alias(c) for c in ("doc_id", "row", "paragraph", "words", "licences", "family")])
+    kept = saved(kept, "licence-scores")
+    scanner = Scanner(model, families, _threshold(kept.where("calibrates").select("hash", "best")))
+    return _found(_confirmed(_with_grams(kept.where("candidate").drop("candidate", "calibrates", "hash")), scanner), _wrapped(docs, scanner, id_column, text_column))
 
 
 def _with_family(model: LogisticRegressionModel, families: list[str], vectors: DataFrame) -> DataFrame:
@@ -287,13 +326,12 @@ def _probability(families: list[str], family: Column) -> Column:
     return F.element_at("licences", F.array_position(F.array(*map(F.lit, families[1:])), family).cast("int"))
 
 
-def _by_line(docs: DataFrame, scanner: Scanner, id_column: str, text_column: str) -> DataFrame:
-    """Lines that are predicted or confirmed, one row each."""
-    scored = _with_family(scanner.model, scanner.families, _vectors(_with_grams(paragraphs(docs, id_column, text_column))))
+def _confirmed(scored: DataFrame, scanner: Scanner) -> DataFrame:
+    """Lines that are predicted or confirmed, one row each, of scored paragraphs with their n-grams."""
     scored = scored.withColumn("predicted", F.col("best") >= scanner.least_probability).where(F.col("predicted") | _holds_needed(SIMILARITY))
     shares = F.transform("known", lambda t: F.struct(_share(t["template_grams"]).alias("similarity"), (t["family"] == F.col("family")).alias("same"), t["family"].alias("family"),
                                                      t["template"].alias("template"), t["template_runs"].alias("runs"), t["template_telling"].alias("telling")))
-    shares = scored.crossJoin(F.broadcast(_known(docs.sparkSession))).select("*", F.explode(F.array(shares)).alias("shares")).drop("known")
+    shares = scored.crossJoin(F.broadcast(_known(scored.sparkSession))).select("*", F.explode(F.array(shares)).alias("shares")).drop("known")
     sure = lambda t: (t["similarity"] >= SIMILARITY) & ((F.col("predicted") & t["same"]) | _certain(t["telling"], t["runs"]))
     confirmed, own = F.array_max(F.filter("shares", sure)), F.array_max(F.filter("shares", lambda t: t["same"]))
     nearest = shares.select("*", F.explode(F.array(F.struct(confirmed.isNotNull().alias("confirmed"), F.coalesce(confirmed, own).alias("t")))).alias("nearest"))
@@ -329,6 +367,11 @@ def scan(docs: DataFrame, scanner: Scanner, id_column: str = "doc_id", text_colu
     doc_id, paragraph (the line's number), family, its probability, template and similarity of the nearest template of
     that family, and confirmed: the similarity is SIMILARITY or more.
     """
+    scored = _with_family(scanner.model, scanner.families, _vectors(_with_grams(paragraphs(docs, id_column, text_column))))
+    return _found(_confirmed(scored, scanner), _wrapped(docs, scanner, id_column, text_column))
+
+
+def _found(lines: DataFrame, wrapped: DataFrame) -> DataFrame:
     columns = ["doc_id", "paragraph", "found"]
-    rows = _by_line(docs, scanner, id_column, text_column).select(columns).union(_wrapped(docs, scanner, id_column, text_column).select(columns))
+    rows = lines.select(columns).union(wrapped.select(columns))
     return rows.select("doc_id", F.col("paragraph").cast("bigint").alias("paragraph"), *[f"found.{c}" for c in ("family", "probability", "template", "similarity", "confirmed")])

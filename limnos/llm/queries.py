@@ -33,8 +33,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return licences.scan(docs, licences.fit(docs))
+    return licences.scan_itself(table(spark, sf_dir, "documents"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections import Counter
 from zlib import crc32
 
 import pytest
+from pyspark.sql import functions as F
 
 from limnos.llm import decontaminate, licences, quality, queries, secrets
 from tests.llm.conftest import SF
@@ -125,10 +126,16 @@ def test_licences_are_found_and_confirmed(edges, nothing, documents):
     want = {(r.doc_id, k, lines[line]) for r in documents.collect() for k, line in enumerate((r.text or "").split("\n")) if line in lines}
     assert {(r.doc_id, r.paragraph, r.family) for r in found} == want
     assert [(r.paragraph, r.family) for r in sorted(licences.scan(edges, scanner).where("doc_id = 11").collect())] == [(3, "Proprietary"), (4, "Apache-2.0")]
-    assert licences.scan(nothing, scanner).count() == 0
+    assert licences.scan(nothing, scanner).count() == 0 == licences.scan_itself(nothing).count()
     assert licences.fit(nothing).least_probability == licences.LEAST_PROBABILITY
 
 
+def test_one_pass_of_licences_finds_the_rows_of_fit_and_scan(edges, documents):
+    docs = documents.unionByName(edges.select(*documents.columns))
+    rows = lambda df: sorted(map(str, df.withColumns({c: F.round(c, 6) for c in ("probability", "similarity")}).collect()))
+    assert rows(licences.scan_itself(docs)) == rows(licences.scan(docs, licences.fit(docs)))
+
+
 def test_repeated_lines_do_not_fill_the_licence_background(spark, monkeypatch):
     monkeypatch.setattr(licences, "BACKGROUND", 40)
     lines = [f"plain line of number {i} about the harbour" for i in range(200)]
