@@ -2,39 +2,19 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterator
 from functools import wraps
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limnos.session import new_path
+from limnos.session import new_path, ship_package
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 SLICE_ROWS = 1000  # rows that a task holds as Python objects at once
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the session's workers once, so that tasks can import it wherever they run."""
-    application = spark.sparkContext.applicationId
-    if application not in _SHIPPED:
-        package = Path(__file__).resolve().parent.parent
-        archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="limnos-")), "limnos.zip")
-        with zipfile.ZipFile(archive, "w") as out:
-            for source in sorted(package.rglob("*.py")):
-                out.write(source, source.relative_to(package.parent))
-        spark.sparkContext.addPyFile(archive)
-        _SHIPPED.add(application)
-
-
 def on_workers(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     """A query or stage, whose first argument is the session, with the package at its workers.
 

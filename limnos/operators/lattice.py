@@ -12,9 +12,14 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from limnos.operators.nearby import sums_nearby
+from limnos.session import ship_package
+
 CELLS_PER_BAND = 2
 REACH = 3
 
@@ -125,7 +130,7 @@ def neighbour_join(df: DataFrame, x: str, y: str, radius: float, side: float,
     return reach.join(cells.withColumnsRenamed({"cx": "nx", "cy": "ny"}), ["nx", "ny"])
 
 
-POINTS_PER_BLOCK = 1000
+POINTS_PER_BLOCK = 50_000
 
 
 def sums_around_points(df: DataFrame, x: str, y: str, radius: float, sums: Mapping[str, str], bandwidth: float | None = None,
@@ -133,30 +138,45 @@ def sums_around_points(df: DataFrame, x: str, y: str, radius: float, sums: Mappi
     """For each different place of the rows: weight and sums of the rows within ``radius``, by the points' own distances.
 
     Returns x, y, ``weight`` (the number of rows, or their Gaussian weights where a bandwidth is given) and the weighted
-    sums; a missing value adds nothing, and rows without a place are left out. Rows at one place are summed first. A place
-    meets the nine cells around it, a radius wide; cells are cut in blocks by the places' hash, and a place meets a block
-    in the task of that block, so a dense cell is spread over as many tasks as it has blocks. What leaves a task is sums
-    of a place over a block, never a pair.
+    sums; a missing value adds nothing, and rows without a place are left out. Rows at one place are summed first. Places
+    of a tile, a radius wide, meet those of the nine tiles around them in one task. Where there are many, both sides are cut
+    in blocks by the places' hash and each pair of blocks is a task's group, so none grows with density. Inside, cells wholly
+    within the radius count by their sums (``nearby``), and only what the circle may cut is met point by point.
     """
+    ship_package(df.sparkSession)
     rows = df.select(F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"), *[F.col(c).cast("double").alias(f"_{n}") for n, c in sums.items()])
+    amounts = ["_n", *[f"_{n}" for n in sums]]
     places = rows.dropna(subset=["_x", "_y"]).groupBy("_x", "_y").agg(
         F.count(F.lit(1)).cast("double").alias("_n"), *[F.coalesce(F.sum(f"_{n}"), F.lit(0.0)).alias(f"_{n}") for n in sums])
     placed = with_cells(places, "_x", "_y", (0.0, 0.0), radius)
-    cells = placed.groupBy("cx", "cy").agg(F.ceil(F.count(F.lit(1)) / F.lit(points_per_block)).cast("int").alias("_blocks"))
-    block = F.pmod(F.xxhash64("_x", "_y"), F.col("_blocks")).cast("int").alias("_block")
-    packed = F.collect_list(F.struct(F.col("_x").alias("x"), F.col("_y").alias("y"), F.col("_n").alias("n"), *[F.col(f"_{n}").alias(f"s_{n}") for n in sums]))
-    blocks = placed.join(cells, ["cx", "cy"]).select("*", block).groupBy("cx", "cy", "_block").agg(packed.alias("_points"))
-    around = with_offsets(placed.select("_x", "_y", "cx", "cy"), 1.5).select("_x", "_y", (F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy"))
-    meets = around.join(cells, ["cx", "cy"]).select("_x", "_y", "cx", "cy", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
-
-    def add(total: Column, point: Column) -> Column:
-        dx, dy = point["x"] - F.col("_x"), point["y"] - F.col("_y")
-        squared = dx * dx + dy * dy
-        weight = F.lit(1.0) if bandwidth is None else F.exp(squared * F.lit(-0.5 / bandwidth**2))
-        near = F.when(squared <= F.lit(radius * radius), weight).otherwise(0.0)
-        return F.struct((total["weight"] + near * point["n"]).alias("weight"), *[(total[n] + near * point[f"s_{n}"]).alias(n) for n in sums])
-
-    zero = F.struct(F.lit(0.0).alias("weight"), *[F.lit(0.0).alias(n) for n in sums])
-    partial = meets.join(blocks, ["cx", "cy", "_block"]).select("_x", "_y", F.aggregate("_points", zero, add).alias("_sum"))
-    total = partial.groupBy("_x", "_y").agg(*[F.sum(f"_sum.{n}").alias(n) for n in ["weight", *sums]])
+    tiles = placed.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("_here"))
+    moved = [(F.col("cx") + F.col("dx")).alias("cx"), (F.col("cy") + F.col("dy")).alias("cy")]
+    around = with_offsets(tiles, 1.5).select(*moved, F.col("_here").alias("_near")).groupBy("cx", "cy").agg(F.sum("_near").alias("_near"))
+    blocks = tiles.join(around, ["cx", "cy"]).select(
+        "cx", "cy", F.ceil(F.col("_here") / F.lit(points_per_block)).cast("int").alias("_targets"),
+        F.ceil(F.col("_near") / F.lit(4 * points_per_block)).cast("int").alias("_sources"))
+    mixed = F.xxhash64("_x", "_y")
+
+    def dealt(points: DataFrame, own: str, other: str, columns: Sequence[Column]) -> DataFrame:
+        """Points of a tile, each in its block of one side and once for each block of the other."""
+        own_block = F.pmod(mixed, F.col(f"_{own}s")).cast("int").alias(f"_{own}")
+        every = F.explode(F.sequence(F.lit(0), F.col(f"_{other}s") - 1)).alias(f"_{other}")
+        return points.join(blocks, ["cx", "cy"]).select("cx", "cy", *columns, own_block, every)
+
+    keys = ["cx", "cy", "_target", "_source"]
+    targets = dealt(placed.select("_x", "_y", "cx", "cy"), "target", "source", [F.col("_x").alias("_to_x"), F.col("_y").alias("_to_y")])
+    sources = dealt(with_offsets(placed, 1.5).select("_x", "_y", *amounts, *moved), "source", "target", [F.col(c) for c in ("_x", "_y", *amounts)])
+    names = ["weight", *sums]
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({n: pa.array([], pa.float64()) for n in ["_x", "_y", *names]})
+        tx, ty, sx, sy = left["_to_x"].to_numpy(), left["_to_y"].to_numpy(), right["_x"].to_numpy(), right["_y"].to_numpy()
+        found = sums_nearby(tx, ty, sx, sy, np.array([right[c].to_numpy() for c in amounts]),
+                            (left["cx"][0].as_py(), left["cy"][0].as_py()), radius, bandwidth)
+        return pa.table({"_x": tx, "_y": ty, **dict(zip(names, found))})
+
+    schema = ", ".join(f"`{n}` double" for n in ["_x", "_y", *names])
+    partial = targets.groupBy(*keys).cogroup(sources.groupBy(*keys)).applyInArrow(meet, schema)
+    total = partial.groupBy("_x", "_y").agg(*[F.sum(f"`{n}`").alias(n) for n in names])
     return total.withColumnsRenamed({"_x": x, "_y": y})

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +59,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the session's workers once, so that tasks can import it wherever they run."""
+    application = spark.sparkContext.applicationId
+    if application not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="limnos-")), "limnos.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(package.rglob("*.py")):
+                out.write(source, source.relative_to(package.parent))
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(application)

@@ -9,6 +9,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import functions as F
 
 from limnos.operators import lattice as L
+from limnos.operators import nearby
 from limnos.plans import spatial_counts as M
 
 
@@ -63,6 +64,28 @@ def test_sums_at_points_equal_brute_force(spark, bandwidth):
         assert r.total == pytest.approx(sum(w * v for w, (_, v) in zip(weights, near)), rel=1e-9)
 
 
+def near_sums(bandwidth, sources=30_000, targets=200):
+    """(found, wanted) sums of a crowded tile, where whole cells are added by their sums."""
+    rng = np.random.default_rng(5)
+    sx, sy = rng.uniform(-60, 120, (2, sources))
+    tx, ty = rng.uniform(0, 60, (2, targets))
+    amounts = np.array([np.ones(sources), rng.integers(0, 9, sources).astype(float)])
+    assert nearby._grid(sources, 60.0, bandwidth)[1]
+    squared = (sx - tx[:, None]) ** 2 + (sy - ty[:, None]) ** 2
+    weights = (squared <= 3600) * (1.0 if bandwidth is None else np.exp(-0.5 * squared / bandwidth**2))
+    return nearby.sums_nearby(tx, ty, sx, sy, amounts, (0, 0), 60.0, bandwidth), amounts @ weights.T
+
+
+def test_counts_around_points_add_whole_cells(monkeypatch):
+    """Cells inside the circle are added as sums; few pairs of points are met."""
+    met = []
+    repeat = np.repeat
+    monkeypatch.setattr(nearby.np, "repeat", lambda who, count: met.append(count.sum()) or repeat(who, count))
+    found, wanted = near_sums(None)
+    assert (found == wanted).all()
+    assert sum(met) / 2 < 0.4 * wanted[0].sum()
+
+
 @pytest.fixture(scope="module")
 def surface(spark):
     """Counts over 200 km with a wide wave and a covariate whose effect is known."""
