@@ -86,6 +86,12 @@ def test_counts_around_points_add_whole_cells(monkeypatch):
     assert sum(met) / 2 < 0.4 * wanted[0].sum()
 
 
+@pytest.mark.parametrize("bandwidth", [20.0, 35.0])
+def test_kernel_sums_from_moments_are_exact(bandwidth):
+    found, wanted = near_sums(bandwidth)
+    assert np.allclose(found, wanted, rtol=1e-12, atol=0)
+
+
 @pytest.fixture(scope="module")
 def surface(spark):
     """Counts over 200 km with a wide wave and a covariate whose effect is known."""
