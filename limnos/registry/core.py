@@ -6,9 +6,10 @@ checking engine share, so that both sides start from the same columns.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from limnos.session import new_path, spread
 
@@ -45,13 +46,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Role:
-    """Named expressions over one table, usable from both engines."""
+    """Named expressions over one table, usable from both engines.
 
-    def __init__(self, source: str, columns: dict[str, str]) -> None:
-        self.source, self.columns = source, columns
+    ``shared`` are parts that many expressions repeat. Spark works them out once a row: a part inside a CASE is otherwise
+    worked out for each of its branches, and rounding a number costs more than all else.
+    """
+
+    def __init__(self, source: str, columns: dict[str, str], shared: Sequence[str] = ()) -> None:
+        self.source, self.columns, self.shared = source, columns, shared
 
     def df(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return table(spark, sf_dir, self.source).selectExpr(*[f"{e} AS {n}" for n, e in self.columns.items()])
+        df, columns = table(spark, sf_dir, self.source), self.columns
+        for i, part in enumerate(self.shared):
+            df = df.withColumn(f"_shared{i}", F.expr(part))
+            columns = {n: e.replace(part, f"_shared{i}") for n, e in columns.items()}
+        return df.selectExpr(*[f"{e} AS {n}" for n, e in columns.items()])
 
     @property
     def sql(self) -> str:
@@ -124,6 +133,7 @@ LAB = Role(
                  f"ELSE concat(CAST({_QUANTITY} AS STRING), ',', CAST({_TAX} AS STRING)) END",
         "warmth": f"concat(CAST({_TAX} AS STRING), ',5')",
     },
+    shared=[_DISCOUNT, _TAX],
 )
 
 # The samples as landed: an array of observations, each with an array of values.
@@ -154,12 +164,17 @@ def landed_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[],
     return spark.read.parquet(_LANDED[key])
 
 
-def lab_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested laboratory samples as landed; each is built from its own row, so nothing is grouped."""
-    return landed_once(spark, sf_dir, "lab-samples", lambda: spread(LAB.df(spark, sf_dir)).selectExpr(
+def lab_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested laboratory samples, each built from its own row, so nothing is grouped; for queries that land them themselves."""
+    return spread(LAB.df(spark, sf_dir)).selectExpr(
         *SAMPLE_COLUMNS,
         f"slice(array({_MAIN}, {_WARM}), 1, CASE WHEN empty THEN 0 WHEN warm THEN 2 ELSE 1 END) AS observations",
-    ))
+    )
+
+
+def lab_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as landed once for an application."""
+    return landed_once(spark, sf_dir, "lab-samples", lambda: lab_rows(spark, sf_dir))
 
 
 LAB_LONG_SQL = f"""

@@ -51,6 +51,7 @@ PLANTS = Role(
         "start_x": "CAST(o_custkey * 10 AS STRING)",
         "analysed": f"CASE WHEN o_orderpriority = '2-HIGH' THEN CAST({_DAY} + 1 AS STRING) ELSE CAST({_DAY} AS STRING) END",
     },
+    shared=[_K],
 )
 
 ATTRIBUTES = ["sampleId", "samplingSiteId", "samplingDate", "samplingSiteX", "samplingSiteY", "observationCount", "county", "subProgramName"]
