@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from limnos.operators import nested as N
 from limnos.operators import reshape as R
 from limnos.plans.laboratory import flatten_laboratory
-from limnos.registry.core import LAB, LAB_LONG_SQL, SAMPLE_COLUMNS, TAXA, lab_samples, query, table
+from limnos.registry.core import LAB, LAB_LONG_SQL, SAMPLE_COLUMNS, TAXA, lab_rows, lab_samples, query, table
 from limnos.session import new_path
 from limnos.sources import landed
 
@@ -20,9 +20,9 @@ _COLUMNS = ", ".join(SAMPLE_COLUMNS)
 @query("scan_samples", f"WITH lab AS ({LAB.sql}) SELECT {_COLUMNS}, CASE WHEN empty THEN 0 WHEN warm THEN 2 ELSE 1 END AS n_obs FROM lab")
 def scan_samples(spark, sf):
     """Land one JSON document per line, then scan the documents' arrays."""
-    samples = lab_samples(spark, sf)
+    samples = lab_rows(spark, sf)
     path = new_path(spark, "documents")
-    samples.select(F.to_json(F.struct(F.array(F.struct(*samples.columns)).alias("samples"))).alias("value")).write.text(path)
+    landed.sink_documents(samples, path)
     return landed.scan_samples(spark, path, samples.schema).select(*SAMPLE_COLUMNS, F.size("observations").alias("n_obs"))
 
 
@@ -66,7 +66,7 @@ def scan_reference_list(spark, sf):
 @query("checkpoint", f"WITH lab AS ({LAB.sql}) SELECT sampleId, CASE WHEN empty THEN 0 WHEN warm THEN 2 ELSE 1 END AS n_obs, "
                           "CASE WHEN NOT empty THEN propertyCode END AS first_code FROM lab")
 def checkpoint(spark, sf):
-    saved = landed.save_and_reload(lab_samples(spark, sf), new_path(spark, "saved"))
+    saved = landed.save_and_reload(lab_rows(spark, sf), new_path(spark, "saved"))
     return saved.select("sampleId", F.size("observations").alias("n_obs"),
                         F.get("observations", F.lit(0))["propertyCode"].alias("first_code"))
 

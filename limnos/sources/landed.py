@@ -26,6 +26,15 @@ def scan_samples(
     return documents.selectExpr(f"inline({array})")
 
 
+def sink_documents(samples: DataFrame, path: str, array: str = "samples", rows_per_file: int = 500_000) -> None:
+    """Land each row as one JSON document on a line, compressed, as the same names stand in each.
+
+    A compressed file is read by one task as a stream, so a file holds at most so many documents.
+    """
+    document = F.to_json(F.struct(F.array(F.struct(*samples.columns)).alias(array))).alias("value")
+    samples.select(document).write.option("maxRecordsPerFile", rows_per_file).text(path, compression="snappy")
+
+
 def restrict_to_stations(
     samples: DataFrame,
     stations: DataFrame,

@@ -198,3 +198,21 @@ def test_correlation_tables_use_report_names(spark):
     few, full = correlation_tables(spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)))
     assert few.count() == 45 and full.count() == 153
     assert {"WFD Richness", "TP"} <= {r["a"] for r in full.collect()} | {r["b"] for r in full.collect()}
+
+
+def test_documents_are_landed_compressed_and_read_back_whole(spark, tmp_path):
+    rows = spark.range(250).selectExpr("id AS sampleId", "concat('text ', id) AS note", "array(named_struct('label', 'a', 'value', CAST(id AS STRING))) AS entries")
+    path = str(tmp_path / "documents")
+    landed.sink_documents(rows.coalesce(1), path, rows_per_file=100)
+    files = [f.name for f in (tmp_path / "documents").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 3 and all(name.endswith(".snappy") for name in files)
+    assert sorted(landed.scan_samples(spark, path, rows.schema).collect()) == sorted(rows.collect())
+
+
+def test_a_role_works_out_shared_parts_once(spark):
+    """Rounding stands once in the plan for each part that is rounded, however many columns and branches read it."""
+    from limnos.registry import core, plants
+
+    for role, parts in ((core.LAB, 2), (plants.PLANTS, 1)):
+        plan = role.df(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("round(") == parts
