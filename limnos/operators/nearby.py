@@ -17,6 +17,7 @@ MOST_PAIRS = 2_000_000  # pairs held at once
 WIDEST = 0.125  # bandwidths, of a cell whose moments are used
 CLOSE = 1e-14  # greatest error of a series
 SLACK = 1e-6  # of a cell's side, for rounding on its edges
+MOMENTS_FROM = 12_000  # sources, a ninth of them targets, from which moments cost less than the pairs within the circle
 
 
 def _grid(points: int, radius: float, bandwidth: float | None) -> tuple[int, bool]:
@@ -25,7 +26,12 @@ def _grid(points: int, radius: float, bandwidth: float | None) -> tuple[int, boo
     if bandwidth is None:
         return cells, cells > 4
     needed = math.ceil(radius / bandwidth / WIDEST)
-    return (max(cells, needed), True) if points > needed * needed * 4 and needed <= MOST_CELLS else (cells, False)
+    return (max(cells, needed), True) if points > max(MOMENTS_FROM, needed * needed * 4) and needed <= MOST_CELLS else (cells, False)
+
+
+def _times(matrix: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """The matrix product on this task's core alone: a library of many threads would take those of the other tasks."""
+    return np.einsum("ij,jk->ik", matrix, columns)
 
 
 def _terms(width: float) -> int:
@@ -91,10 +97,10 @@ def _whole_cells(t_row, t_col, t_off, s_row, s_col, s_off, amounts, cells, width
             done += 1
             for dx in {-done, done}:
                 part = moments[..., cells + dx:2 * cells + dx].reshape(terms, -1)
-                rows += (_translation(dx, width, terms) @ part).reshape(rows.shape)
+                rows += _times(_translation(dx, width, terms), part).reshape(rows.shape)
         for dy in {-away, away}:
             part = np.moveaxis(rows[:, :, :, cells + dy:2 * cells + dy], 2, 0).reshape(terms, -1)
-            local += (_translation(dy, width, terms) @ part).reshape(local.shape)
+            local += _times(_translation(dy, width, terms), part).reshape(local.shape)
     of_x, of_y = (_powers(off, terms, False) for off in t_off)
     out = np.zeros((kinds, len(t_row)))
     for k in range(terms):
