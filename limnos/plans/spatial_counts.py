@@ -24,7 +24,7 @@ coarse-to-fine idea and give the same kinds of results; figures differ from othe
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -259,11 +259,23 @@ def _with_terms(cells: DataFrame, above: DataFrame | None, levels: int) -> DataF
     return joined.withColumns({c: F.col(c) * times for c in ("fitted", "held_fitted") if c in cells.columns})
 
 
-def _local_step(cells: DataFrame) -> DataFrame:
+def _smooth_models(cells: DataFrame, models: Sequence[str], shared: str, own: str, result: Callable[[Column, Column], Column], name: str) -> DataFrame:
+    """Cells of all models with a result of two sums around them: of a column that all models share, and of each model's own.
+
+    The models of a cell travel as columns of one row, so a cell meets its neighbours once, not once a model.
+    """
+    owns = [f"own{i}" for i in range(len(models))]
+    wide = cells.groupBy("cx", "cy").agg(
+        F.max(shared).alias("shared"), *[F.sum(F.when(F.col("model") == m, F.col(own)).otherwise(0.0)).alias(c) for m, c in zip(models, owns)])
+    around = smooth_cells(wide, [], ["shared", *owns])
+    results = F.map_from_arrays(F.array(*map(F.lit, models)), F.array(*[result(F.col("shared"), F.col(c)) for c in owns]))
+    return cells.join(around.select("cx", "cy", results.alias("_results")), ["cx", "cy"]).withColumn(name, F.col("_results")[F.col("model")]).drop("_results")
+
+
+def _local_step(cells: DataFrame, models: Sequence[str]) -> DataFrame:
     """Cells with the log ratio of observed to fitted counts around them."""
-    around = smooth_cells(cells, ["model"], ["seen", "fitted"])
-    ratio = (F.col("seen") + F.lit(PRIOR_COUNT)) / (F.col("fitted") + F.lit(PRIOR_COUNT))
-    return cells.join(around.select("model", "cx", "cy", F.log(ratio).alias("step")), ["model", "cx", "cy"])
+    prior = F.lit(PRIOR_COUNT)
+    return _smooth_models(cells, models, "seen", "fitted", lambda seen, fitted: F.log((seen + prior) / (fitted + prior)), "step")
 
 
 def _accept(cells: DataFrame, accepted: Sequence[str]) -> DataFrame:
@@ -316,7 +328,7 @@ def select_scales(df: DataFrame, data: ModelData, sets: Sets, ladder: Ladder | N
             running = [name for name in sets if failures[name] < patience]
             if not running:
                 break
-            stepped = cut_lineage(_local_step(_with_terms(pyramid.level(k), terms, 1)))
+            stepped = cut_lineage(_local_step(_with_terms(pyramid.level(k), terms, 1), list(sets)))
             gain = F.sum(F.col("held_seen") * F.col("step") - F.col("held_fitted") * F.expm1("step"))
             found = {r["model"]: r["gain"] for r in stepped.groupBy("model").agg(gain.alias("gain")).collect()}
             accepted = [name for name in running if found.get(name, 0.0) > 0.0]
@@ -356,7 +368,7 @@ def fit_selected(df: DataFrame, selection: Selection) -> SpatialFit:
     terms, above = None, 0
     for k in used:
         accepted = [name for name, chosen in selection.bands.items() if ladder.bandwidths[k] in chosen]
-        terms, above = cut_lineage(_accept(_local_step(_with_terms(pyramid.level(k), terms, k - above)), accepted)), k
+        terms, above = cut_lineage(_accept(_local_step(_with_terms(pyramid.level(k), terms, k - above), list(sets)), accepted)), k
     if terms is None:
         terms = _with_terms(pyramid.level(0), None, 0).select("model", "cx", "cy", "parts")
     # one join brings the spatial terms of all models to the rows; the regressions then only scan
@@ -403,9 +415,8 @@ def predict_mean_sd(fit: SpatialFit) -> DataFrame:
     times = F.exp(_spatial_sum())
     squared = F.greatest(F.col("yy") - F.lit(2.0) * times * F.col("ym") + times * times * F.col("mm"), F.lit(0.0))
     cells = cut_lineage(sums.at(fit.level).join(fit.cells, ["model", "cx", "cy"]).withColumn("squared", squared))
-    spread = smooth_cells(cells, ["model"], ["squared", "n"]).select(
-        "model", "cx", "cy", F.sqrt(F.col("squared") / F.col("n")).alias("pred_sd"))
-    known = cells.select("model", "cx", "cy", "parts").join(spread, ["model", "cx", "cy"])
+    known = _smooth_models(cells, list(fit.selection.sets), "n", "squared", lambda n, squared: F.sqrt(squared / n), "pred_sd").select(
+        "model", "cx", "cy", "parts", "pred_sd")
     rows = _attach_spatial(fit.rows, known, fit.linear, ("parts", "pred_sd"))
     return rows.select("model", fit.selection.data.id, (F.col("_mu") * F.exp(_spatial_sum())).alias("pred"), "pred_sd")
 

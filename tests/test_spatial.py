@@ -241,3 +241,12 @@ def test_model_labels(spark):
 def test_family_is_checked(surface):
     with pytest.raises(ValueError):
         M.holdout_select(surface, M.ModelData("site", "rich", "east", "north"), family="gaussian")
+
+
+def test_cells_meet_their_neighbours_once_for_all_models(spark, monkeypatch):
+    smooth, met = M.smooth_cells, []
+    monkeypatch.setattr(M, "smooth_cells", lambda cells, *rest: met.append(cells.count()) or smooth(cells, *rest))
+    rows = [(i, i % 5, float(i % 8) * 100, float(i % 3) * 100, float(i % 4)) for i in range(96)]
+    df = spark.createDataFrame(rows, "id int, y int, e double, n double, t double")
+    found = M.select_scales(df, M.ModelData("id", "y", "e", "n"), {M.NULL_MODEL: [], "t": ["t"]}, scales=1)
+    assert met == [10] and set(found.gains) == {M.NULL_MODEL, "t"}  # 5 by 2 occupied cells, whatever the number of models
