@@ -12,6 +12,8 @@ from limnos.llm import decontaminate, packing, quality, secrets, simhash
 from limnos.llm.queries import TOKENIZER
 from limnos.llm.shared import on_workers, saved, table
 
+GENERATION = 50_000  # pieces that a packing worker remembers: the executor's memory still holds what earlier stages have taken
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on these documents and the table of labels, accepts."""
@@ -35,7 +37,7 @@ def redacted_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents and their places in sequences."""
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, TOKENIZER, generation=GENERATION)
 
 
 STAGES = [

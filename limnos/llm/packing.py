@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from limnos.llm.shared import id_and_text, in_slices, saved
+from limnos.llm.shared import forget, id_and_text, in_slices, saved
 from limnos.llm.tokens import encoder
 
 CAPACITY = 1024
@@ -127,11 +127,11 @@ def fillings(counts: np.ndarray, capacity: int = CAPACITY) -> list[Filling]:
     return reduced if used(reduced) <= used(plain) else plain
 
 
-def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text", generation: int | None = None) -> DataFrame:
     """Pieces of all documents, saved: doc_id, piece, start, length, ids, and the piece's task and rank there within its length."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, number = encoder(tokenizer_path), TaskContext.get().partitionId()
+        known, number = encoder(tokenizer_path, generation), TaskContext.get().partitionId()
         ranks = np.zeros(capacity + 1, np.int64)
         for batch in in_slices(batches, 500):
             rows = []
@@ -175,6 +175,7 @@ def placed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
               .join(bases, ["length", "task"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("base")).alias("rank")))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             length, rank = batch.column(3).to_numpy(), batch.column(5).to_numpy()
             sequence, offset = np.zeros(len(length), np.int64), np.zeros(len(length), np.int64)
@@ -188,9 +189,12 @@ def placed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(task, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset."""
-    return placed(cut_pieces(docs, tokenizer_path, capacity, end_id, id_column, text_column), capacity)
+def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, id_column: str = "doc_id", text_column: str = "text", generation: int | None = None) -> DataFrame:
+    """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id and offset.
+
+    ``generation`` is how many pieces a worker remembers, in place of ``tokens.GENERATION``: fewer take less memory and more time.
+    """
+    return placed(cut_pieces(docs, tokenizer_path, capacity, end_id, id_column, text_column, generation), capacity)
 
 
 def sequences(pieces: DataFrame, places: DataFrame) -> DataFrame:

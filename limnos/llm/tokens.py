@@ -14,6 +14,8 @@ import os
 import re
 from typing import Any
 
+from limnos.llm.shared import remembered
+
 # Unicode's White_Space, which the tokenizer's own splitting goes by.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECES = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
@@ -23,7 +25,7 @@ GENERATION = 400_000  # distinct pieces in one of the two generations that a wor
 FRONT = re.compile(f"[{WHITE}]|$")
 LONGEST_KEPT = 64  # longer pieces are rarely met again
 
-_ENCODERS: dict[str, Any] = {}
+_ENCODERS: dict[tuple[str, int | None], Any] = remembered({})
 
 
 def _byte_letters() -> dict[int, int]:
@@ -36,7 +38,8 @@ def _byte_letters() -> dict[int, int]:
 class Encoder:
     """The library's tokenizer with a memory of bounded size for the ids of pieces."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, generation: int | None = None) -> None:
+        self.generation = generation
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -67,7 +70,7 @@ class Encoder:
         else:
             ids = b"".join([self.pieces[first], *found] if first else found)
         for memory in (self.pieces, self.after_blank):
-            if len(memory) > GENERATION:
+            if len(memory) > (self.generation or GENERATION):
                 memory.turn()
         return ids
 
@@ -133,8 +136,8 @@ class PartsAfterBlank(_Memory):
         return b"".join(map(self.pieces.__getitem__, PIECES.findall(" " + key)))
 
 
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, generation: int | None = None) -> Encoder:
+    """One encoder for each worker process and vocabulary file, which remembers GENERATION pieces or so many as are asked for."""
+    if (path, generation) not in _ENCODERS:
+        _ENCODERS[path, generation] = Encoder(path, generation)
+    return _ENCODERS[path, generation]

@@ -1,7 +1,8 @@
 """The pipeline stage by stage, on the given documents and on edges."""
 
 import corpus_pipeline
-from limnos.llm import decontaminate, quality, secrets, simhash
+from limnos.llm import decontaminate, quality, secrets, simhash, tokens
+from limnos.llm.queries import TOKENIZER
 from limnos.llm.shared import saved
 from tests.llm.conftest import SF
 
@@ -41,3 +42,14 @@ def test_stages_on_edges_and_nothing(spark, edges, nothing):
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and rows.count() > 0
+
+
+def test_packing_remembers_fewer_pieces(monkeypatch):
+    """Its workers share the executor with the memory of the stages before; ids are the same however few are remembered."""
+    asked = []
+    monkeypatch.setattr(corpus_pipeline.packing, "pack", lambda docs, path, **more: asked.append(more["generation"]))
+    corpus_pipeline.packed_sequences(None, None, SF)
+    assert asked[0] < tokens.GENERATION
+    few, texts = tokens.Encoder(TOKENIZER, 3), ["some words, more words", "and\nothers by the dozen"]
+    assert few.encode(texts, 0) == tokens.encoder(TOKENIZER).encode(texts, 0)
+    assert len(few.after_blank) <= 3 + 5

@@ -3,6 +3,7 @@
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,6 +11,7 @@ from tokenizers import Tokenizer
 
 from limnos.llm import packing, token_files, tokens
 from limnos.llm.queries import TOKENIZER
+from limnos.llm.shared import map_slices
 from limnos.llm.tokens import encoder
 from limnos.session import new_path
 
@@ -45,6 +47,22 @@ def test_memory_is_bounded(monkeypatch):
         assert len(small.after_blank) <= 3 + 2 * len(text.split())
 
 
+def test_workers_give_up_pieces_when_another_operator_begins(spark):
+    """Spark uses a worker process for all stages; what one has remembered must not weigh on the next."""
+    one = spark.range(1).coalesce(1)
+
+    def encode(batches):
+        for batch in batches:
+            encoder(TOKENIZER).encode(["some words"], 0)
+            yield pa.RecordBatch.from_arrays([pa.array([len(tokens._ENCODERS)] * batch.num_rows, pa.int64())], ["n"])
+
+    def left(batch):
+        return pa.RecordBatch.from_arrays([pa.array([len(tokens._ENCODERS)] * batch.num_rows, pa.int64())], ["n"])
+
+    assert one.mapInArrow(encode, "n bigint").first()["n"] == 1
+    assert map_slices(one, left, "n bigint").first()["n"] == 0
+
+
 def test_whole_documents(documents):
     for r in documents.collect():
         assert ids_of(encoder(TOKENIZER).encode([r.text], 0)[0])[:-1] == whole(r.text)
