@@ -105,14 +105,15 @@ def unit_quality_report(flat: DataFrame, values: DataFrame, depth_means: DataFra
     """Unit variants, duplicated groups before unit conversion and duplicates left after, as rows."""
     station_keys = ["stationId", "samplingDate", "propertyAbbrevName", "minDepth", "maxDepth"]
     groups = duplicate_groups(values, station_keys, "unit")
-    measures = [
-        ("extra_units", distinct_excess(flat, DICTIONARY[:3], "unit")),
-        ("duplicate_groups", groups.agg(F.count(F.lit(1)))),
-        ("mixed_unit_groups", groups.agg(F.count_if(F.col("n_units") > 1))),
-        ("depth_duplicate_rate", duplicate_rate(depth_means, OCCASION)),
+    counted = groups.agg(F.count(F.lit(1)).alias("duplicate_groups"), F.count_if(F.col("n_units") > 1).alias("mixed_unit_groups"))
+    measures = [  # both counts of the groups come from one pass
+        distinct_excess(flat, DICTIONARY[:3], "unit").toDF("extra_units"),
+        counted,
+        duplicate_rate(depth_means, OCCASION).toDF("depth_duplicate_rate"),
     ]
     out = None
-    for name, one in measures:
-        row = one.select(F.lit(name).alias("measure"), one[one.columns[0]].cast("double").alias("value"))
-        out = row if out is None else out.unionByName(row)
+    for one in measures:
+        entries = [F.struct(F.lit(name).alias("measure"), F.col(name).cast("double").alias("value")) for name in one.columns]
+        rows = one.select(F.inline(F.array(*entries)))
+        out = rows if out is None else out.unionByName(rows)
     return out

@@ -216,3 +216,15 @@ def test_a_role_works_out_shared_parts_once(spark):
     for role, parts in ((core.LAB, 2), (plants.PLANTS, 1)):
         plan = role.df(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("round(") == parts
+
+
+def test_unit_report_counts_its_groups_in_one_pass(spark):
+    rows = [(1, "2020-01-01", "pH", 0.0, 1.0, unit, "c", "n") for unit in ("a", "b")] + [(2, "2020-01-01", "pH", 0.0, 1.0, "a", "c", "n")] * 2
+    values = spark.createDataFrame(rows, "stationId int, samplingDate string, propertyAbbrevName string, minDepth double, maxDepth double, "
+                                         "unit string, propertyCode string, propertyName string")
+    means = values.withColumn("samplingSiteId", F.col("stationId")).distinct()
+    report = P.unit_quality_report(values, values, means)
+    assert {r["measure"]: r["value"] for r in report.collect()} == {
+        "extra_units": 1.0, "duplicate_groups": 2.0, "mixed_unit_groups": 1.0, "depth_duplicate_rate": pytest.approx(1 / 3)}
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sum(_n") == 1
