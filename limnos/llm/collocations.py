@@ -16,7 +16,8 @@ count depends on the bitmap, as it never loses a frequent phrase.
 
 A row of the relation is a block of one language, of about ``BLOCK_WORDS`` occurrences. What is shuffled to count is one row
 for each different phrase of a block, so a word or phrase that is everywhere has one row a block; occurrences themselves
-are shuffled once, by block. The driver holds the bitmap and nothing else.
+are shuffled once, by block, into tasks of about ``TASK_BLOCKS`` blocks, and files of blocks have row groups of some
+megabytes, so that a task holds few blocks however many there are. The driver holds the bitmap and nothing else.
 
 Texts are lower-cased in A-Z only. Null texts are empty. A null language is ``und``. Repeated rows count each; ids are not
 read; other columns are left out, so none can clash; no rows give no rows. Texts of any length are taken whole. There may be
@@ -41,6 +42,9 @@ BREAKS = ".,;:!?\n\x0b\x0c\r"
 TOKEN = re.compile("[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]")
 CAPITALS = re.compile("[A-Z]+")
 BLOCK_WORDS = 1 << 20
+TASK_BLOCKS = 4
+# A row is a block: by default a writer first looks at its size after 100 rows, and a reader takes a row group at once.
+BLOCK_FILES = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 UNKNOWN = "und"
 GAP = -1
 WORD_BITS = 31
@@ -123,8 +127,10 @@ def _numbered(rows: DataFrame) -> DataFrame:
 
 def word_pairs(relation: DataFrame, words: DataFrame) -> DataFrame:
     """The relation semi-joined with the frequent words, now by their numbers, and its pairs of neighbours with counts."""
+    tasks = max(relation.sparkSession.sparkContext.defaultParallelism, -(-relation.count() // TASK_BLOCKS))  # Spark merges parts that it is not told
     each = relation.select("block", "lang", F.posexplode("words").alias("place", "phrase"))
-    numbers = each.join(words, ["lang", "phrase"]).groupBy("block").agg(F.collect_list("place").alias("old"), F.collect_list("id").alias("new"))
+    found = each.join(words, ["lang", "phrase"]).repartition(tasks, "block")
+    numbers = found.groupBy("block").agg(F.collect_list("place").alias("old"), F.collect_list("id").alias("new"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches, 1):
@@ -136,7 +142,7 @@ def word_pairs(relation: DataFrame, words: DataFrame) -> DataFrame:
             keys, counts = _counted(_keys(places, np.ones(len(places), bool), 2))
             yield _batch({"block": [block], "places": [places], "key0": [keys[0]], "counts": [counts]}, PAIRS)
 
-    joined = relation.select("block", F.size("words").alias("size"), "places").join(numbers, "block")
+    joined = relation.select("block", F.size("words").alias("size"), "places").repartition(tasks, "block").join(numbers, "block")
     return joined.select("block", "size", "places", "old", "new").mapInArrow(task, PAIRS)
 
 
@@ -218,11 +224,11 @@ def _spelled(phrases: DataFrame, words: DataFrame, size: int) -> DataFrame:
 
 def frequent_phrases(docs: DataFrame, longest: int, least: int, lang_column: str = "lang", text_column: str = "text", block_words: int = BLOCK_WORDS) -> Frequent:
     """Phrases of 1 to ``longest`` words that occur ``least`` times in their language."""
-    relation = saved(word_occurrences(docs, lang_column, text_column, block_words), "occurrences")
+    relation = saved(word_occurrences(docs, lang_column, text_column, block_words), "occurrences", **BLOCK_FILES)
     each = relation.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("p"))
     totals = saved(relation.select("lang", F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n")).groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     words = _numbered(each.groupBy("lang", F.col("p.words").alias("phrase")).agg(F.sum("p.counts").alias("f")).where(F.col("f") >= least))
-    relation = saved(word_pairs(relation, words), "occurrences")
+    relation = saved(word_pairs(relation, words), "occurrences", **BLOCK_FILES)
     sizes, rows = [words], relation
     for size in range(2, longest + 1):
         keys = [f"key{i}" for i in range((size + 1) // 2)]

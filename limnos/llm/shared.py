@@ -94,9 +94,9 @@ def rewritten(batch: pa.RecordBatch, text_column: str, texts: list, length_colum
     return out
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, **options: object) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage ends here, lost executors lose nothing."""
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

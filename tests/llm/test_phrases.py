@@ -5,16 +5,21 @@ import random
 import re
 from collections import Counter
 from fractions import Fraction
+from urllib.parse import urlparse
+from urllib.request import url2pathname
 from zlib import crc32
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from limnos.llm import collocations, repetitions, token_counts
 from limnos.llm.queries import TOKENIZER
+from limnos.llm.shared import saved
 
 ALL = ["documents", "edges", "nothing"]
 
@@ -75,6 +80,24 @@ def test_scores_are_exact_beyond_64_bits(spark):
     assert (row.l, row.r, row.score) == (big, big + 2, 1000000 * (big - 1) ** 2 // (big * (big + 2)))
 
 
+def test_a_task_meets_few_blocks(spark):
+    relation = spark.createDataFrame([(b, "en", ["a", "b"], [2, 1], [0, 1, 0, -1]) for b in range(64)], collocations.WORDS)
+    words = spark.createDataFrame([("en", "a", 128, 0), ("en", "b", 64, 1)], "lang string, phrase string, f bigint, id int")
+    pairs = collocations.word_pairs(relation, words).withColumn("task", F.spark_partition_id()).collect()
+    assert sorted(r.block for r in pairs) == list(range(64))
+    assert all(r.counts == [1, 1] for r in pairs)
+    assert max(Counter(r.task for r in pairs).values()) <= 5 * collocations.TASK_BLOCKS
+
+
+def test_files_of_blocks_have_small_row_groups(spark):
+    """However many blocks a task writes: each row here holds 2 MB that do not compress."""
+    wide = spark.range(0, 40, 1, 1).select("id", F.transform(F.sequence(F.lit(1), F.lit(250_000)), lambda i: F.xxhash64("id", i)).alias("places"))
+    files = [url2pathname(urlparse(f).path) for f in saved(wide, "blocks", **collocations.BLOCK_FILES).inputFiles()]
+    groups = [meta.row_group(i) for meta in map(pq.read_metadata, files) for i in range(meta.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 40
+    assert max(g.num_rows for g in groups) <= 6
+
+
 @pytest.fixture(scope="module")
 def library():
     return Tokenizer.from_file(TOKENIZER)
