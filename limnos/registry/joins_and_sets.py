@@ -10,7 +10,7 @@ from limnos.operators import sets as S
 from limnos.operators.aggregates import distinct_rows
 from limnos.plans.laboratory import harmonise_units, measured_values, unit_factors, flatten_laboratory
 from limnos.registry.columns_and_text import CENSORED_SQL
-from limnos.registry.core import CHEMISTRY, LAB, LAB_LONG_SQL, TAXA, lab_samples, query, table
+from limnos.registry.core import CHEMISTRY, LAB, LAB_LONG_SQL, TAXA, lab_samples, landed_once, query, table
 
 # ---------------------------------------------------------------- joins
 
@@ -22,16 +22,19 @@ DICTIONARY_SQL = """SELECT DISTINCT propertyAbbrevName, unit AS unitC,
 
 
 def unit_dictionary(spark, sf):
-    """The same dictionary from the flat columns."""
+    """The same dictionary from the flat columns, landed, so that Spark knows that it is small and sends it to the rows.
+
+    As a plan it would have the size of its source, and all rows would be dealt by a handful of units.
+    """
     lab = LAB.df(spark, sf).filter("NOT empty")
     warm = lab.filter("warm").selectExpr("'Temp' AS propertyAbbrevName", "'°C' AS unit")
     pairs = distinct_rows(lab.select("propertyAbbrevName", "unit").union(warm), ["propertyAbbrevName", "unit"])
     abbrev, unit = F.col("propertyAbbrevName"), F.col("unit")
-    return pairs.filter(abbrev != "Färg").select(
+    return landed_once(spark, sf, "unit-dictionary", lambda: pairs.filter(abbrev != "Färg").select(
         abbrev, unit.alias("unitC"),
         F.when(abbrev == "Alk/Acid", "mekv/l").when(abbrev == "Tot-P", "µg/l").otherwise(unit).alias("unitAlt"),
         F.when(unit == "mg/l", "1000").when(unit == "°C", "0,001").otherwise("1").alias("convFactRaw"),
-    )
+    ))
 
 
 @query("join_nullsafe_left", f"WITH {LAB_LONG_SQL}, d AS ({DICTIONARY_SQL}) SELECT observationId, l.unit, d.unitAlt, d.convFactRaw "

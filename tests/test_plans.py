@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnos import fixed_values as fixed
+from limnos import registry
 from limnos.plans import laboratory as P
 from limnos.plans import site_years as Y
 from limnos.plans import surveys as V
@@ -85,6 +86,16 @@ def test_laboratory_from_documents(spark, tmp_path, per_line):
     assert got["Alkalinitet"]["val"] == 0.2 and got["Färgtal"]["val"] is None and got["Färgtal"]["unitF"] is None
 
 
+def test_units_are_sent_to_the_values(spark):
+    """Of unknown size, the dictionary would have all values dealt by a handful of units."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        plan = registry.runners()["harmonise_units"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_laboratory_years_are_filtered(spark, tmp_path):
     samples = landed.scan_samples(spark, land(tmp_path / "lab", LAB), LAB_SAMPLE, one_document_per_line=False)
     stations = samples.select("stationId").distinct()
