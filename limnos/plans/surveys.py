@@ -15,7 +15,7 @@ from limnos.operators.joins import join_nullsafe, lookup_join
 from limnos.operators.nested import eav_to_columns, explode_outer, parse_kv
 from limnos.operators.picks import highest_effort
 from limnos.operators.reshape import cast_wide_fill
-from limnos.session import new_path
+from limnos.session import in_parts, new_path
 from limnos.sources.landed import save_and_reload
 
 SURVEY = "sampleId"
@@ -100,10 +100,19 @@ def clean_taxon_name(name: Column) -> Column:
     return text.replace_many(plain, fixed.TAXON_PATTERNS)
 
 
+def taxon_names(observations: DataFrame, name: str = "propertyName", out: str = "taxaClean") -> DataFrame:
+    """Each recorded name with its clean one and its number of rows (``_rows``).
+
+    Saved in the shared folder, so that Spark knows their size and sends few names to the rows: as a plan they would have the
+    size of the observations, and all rows would be dealt by a handful of names.
+    """
+    counted = observations.groupBy(name).agg(F.count(F.lit(1)).alias("_rows"))
+    return save_and_reload(counted.withColumn(out, clean_taxon_name(F.col(name))), new_path(observations.sparkSession, "taxon-names"))
+
+
 def taxon_clean(observations: DataFrame, name: str = "propertyName", out: str = "taxaClean") -> DataFrame:
     """Clean each distinct name once and attach it; names are few, rows are many."""
-    names = observations.select(name).distinct()
-    return lookup_join(observations, names.withColumn(out, clean_taxon_name(F.col(name))), name)
+    return lookup_join(observations, taxon_names(observations, name, out).drop("_rows"), name)
 
 
 def taxon_table(observations: DataFrame, survey_keys: Sequence[str] = (SURVEY,),
@@ -154,9 +163,11 @@ def _summary(df: DataFrame, keys: Sequence[str], suffixed: bool, sums: dict[str,
 
 
 def survey_taxa(observations: DataFrame) -> DataFrame:
-    """Covariates and recorded amount per survey and clean taxon (long form)."""
-    named = taxon_clean(recode_observations(observations))
-    return _summary(named, [SURVEY, "taxaClean"], False, {"value": "value", "analysisDate": "analysisDate"})
+    """Covariates and recorded amount per survey and clean taxon (long form). Runs one job, which saves and counts the names."""
+    keys, names = [SURVEY, "taxaClean"], taxon_names(observations)
+    rows = names.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    named = lookup_join(recode_observations(observations), names.drop("_rows"), "propertyName")
+    return _summary(in_parts(named, keys, rows), keys, False, {"value": "value", "analysisDate": "analysisDate"})
 
 
 def survey_covariates(taxa: DataFrame) -> DataFrame:

@@ -6,9 +6,11 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: str = "*", app: str = "limnos", shuffle_partitions: int = 8) -> SparkSession:
@@ -53,6 +55,19 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+ROWS_A_TASK = 500_000
+
+
+def in_parts(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``df``, of so many ``rows``, dealt by keys into parts of about ``ROWS_A_TASK``.
+
+    Spark sizes parts by their compressed bytes, unless their number is given: rows that repeat few texts, merged to
+    64 MB, take some gigabytes as groups in a task.
+    """
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_A_TASK))
+    return df.repartition(parts, *[F.col(f"`{k}`") for k in keys])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so that a lost executor does not replay an iteration."""
     context = df.sparkSession.sparkContext

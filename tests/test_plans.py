@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from limnos import fixed_values as fixed
-from limnos import registry
+from limnos import registry, session
 from limnos.plans import laboratory as P
 from limnos.plans import site_years as Y
 from limnos.plans import surveys as V
@@ -168,6 +168,18 @@ def test_survey_covariates(spark, tmp_path):
     assert taxa.filter("sampleId = 6").first()["taxaClean"] == fixed.PLACEHOLDER_TAXON
 
 
+def test_taxa_of_surveys_are_dealt_by_their_number(spark, monkeypatch):
+    """Not by bytes, in which rows that repeat few texts are small; and names, being few, are sent to the rows."""
+    monkeypatch.setattr(session, "ROWS_A_TASK", 20)
+    rows = [(n, "2010-08-01", "N/A", "2010-08-01", t, "1") for n in range(200) for t in ("Iris", "Carex × saamica")]
+    kinds = "sampleId int, samplingDate string, qualityCode string, analysisDate string, propertyName string, value string"
+    observed = spark.createDataFrame(rows, kinds).withColumns({n: F.lit(None).cast("string") for n in fixed.OBSERVATION_METADATA_NAMES.values()})
+    taxa = V.survey_taxa(observed)
+    assert sorted((r["sampleId"], r["taxaClean"]) for r in taxa.collect()) == sorted((n, t) for n in range(200) for t in ("Iris pseudacorus", "Carex"))
+    assert taxa.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0] <= 60
+    assert "SortMergeJoin" not in taxa._jdf.queryExecution().executedPlan().toString()
+
+
 def test_site_years_and_richness(spark, tmp_path):
     chemistry = spark.createDataFrame(
         [(1, "2010-07-01", "Tot_P", 10.0), (1, "2010-05-01", "Tot_P", 5.0), (1, "2010-01-01", "Tot_N", 3.0), (1, "2010-07-05", "Tot_N_ps", 8.0),
