@@ -211,12 +211,13 @@ def select_surveys(df: DataFrame) -> DataFrame:
 def community_surveys(samples: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(selected surveys with covariates, their taxa in long form).
 
-    Which surveys are selected depends on their own attributes only, so they are selected first, and
-    only their observations are summarised. Both tables are read more than once and therefore saved in
-    the shared folder, so the nested samples are not unpacked again.
+    Which surveys are selected depends on their own attributes only, so they are selected first, and only
+    their metadata are parsed and their observations summarised. Both tables are read more than once and
+    therefore saved in the shared folder, so the nested samples are not unpacked again.
     """
     spark = samples.sparkSession
-    chosen = save_and_reload(select_surveys(fix_attributes(survey_base(samples))), new_path(spark, "chosen-surveys"))
+    selected = select_surveys(values.date_parts(samples, "samplingDate")).select(*[F.col(f"`{n}`") for n in samples.columns])
+    chosen = save_and_reload(fix_attributes(survey_base(selected)), new_path(spark, "chosen-surveys"))
     recorded = samples.select(SURVEY, "samplingDate", "observations")
     wanted = join_nullsafe(recorded, chosen.select(SURVEY), [SURVEY], "left_semi")
     taxa = save_and_reload(survey_taxa(survey_observations(wanted)), new_path(spark, "survey-taxa"))

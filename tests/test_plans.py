@@ -161,6 +161,14 @@ def test_survey_selection_and_community(spark, tmp_path):
         1: (0.0, 1.0, 2.0), 2: (0.0, 0.0, 0.0), 4: (0.0, 0.0, 0.0)}
 
 
+def test_only_selected_surveys_are_parsed(spark, tmp_path, monkeypatch):
+    parsed, parse = [], V.survey_base
+    monkeypatch.setattr(V, "survey_base", lambda samples: parsed.append(sorted(r["sampleId"] for r in samples.collect())) or parse(samples))
+    chosen, _ = V.community_surveys(plant_samples(spark, tmp_path))
+    assert parsed == [[2, 4, 6]]
+    assert sorted(r["sampleId"] for r in chosen.collect()) == [2, 4, 6]
+
+
 def test_survey_covariates(spark, tmp_path):
     taxa = V.survey_taxa(V.survey_observations(plant_samples(spark, tmp_path)))
     first = V.survey_covariates(taxa).filter("sampleId = 1").first()
